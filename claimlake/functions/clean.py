@@ -23,10 +23,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def try_cast(c, to: str) -> Column:
+    """ANSI-safe cast: a value that does not convert becomes null."""
+    return _c(c).try_cast(to)
+
+
 def parse_yyyymmdd(c) -> Column:
     """FN1: ``yyyyMMdd`` text (or an integer) to DATE; blank / malformed -> null."""
     s = F.trim(_c(c).cast("string"))
-    return F.try_to_date(F.nullif(s, F.lit("")), F.lit(RAW_DATE_FORMAT))
+    return F.try_to_date(F.nullif(s, F.lit("")), RAW_DATE_FORMAT)
 
 
 def fill_null_date(c, default: _dt.date = DEFAULT_CLAIM_DATE) -> Column:
@@ -35,23 +40,23 @@ def fill_null_date(c, default: _dt.date = DEFAULT_CLAIM_DATE) -> Column:
 
 
 def to_double(c) -> Column:
-    """Text -> double, null when not numeric."""
-    return F.try_cast(F.nullif(F.trim(_c(c).cast("string")), F.lit("")), "double")
+    """Text or number -> double; blank or non-numeric text -> null."""
+    return try_cast(_c(c), "double")
 
 
 def cast_smallint(c) -> Column:
     """FN4: narrow to SMALLINT; out-of-range or non-integral text -> null (quarantined)."""
-    return F.try_cast(F.try_cast(_c(c), "bigint"), "smallint")
+    return try_cast(try_cast(_c(c), "bigint"), "smallint")
 
 
 def cast_int(c) -> Column:
-    return F.try_cast(F.try_cast(_c(c), "bigint"), "int")
+    return try_cast(try_cast(_c(c), "bigint"), "int")
 
 
 def fill_zero_short(c, width: str = "smallint") -> Column:
     """FN3: null -> 0, then truncate toward zero into a narrow integer."""
     num = to_double(c)
-    return F.coalesce(F.try_cast(num, width), F.lit(0).cast(width))
+    return F.coalesce(try_cast(num, width), F.lit(0).cast(width))
 
 
 def normalise_npi(c) -> Column:

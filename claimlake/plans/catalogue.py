@@ -269,3 +269,326 @@ def q_predicate_code_present(spark, sf):
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Median predicted annual cost by state (the headline dashboard)."""
     return q_median_cost_by_state(spark, sf)
+
+
+# ------------------------------------------------------- cleaning functions
+def _raw_claim_dates(spark, sf):
+    o = si.read_table(spark, sf, "orders")
+    d = F.col("o_orderdate")
+    raw = (F.when(F.col("o_orderkey") % 7 == 0, F.lit(""))
+           .when(F.col("o_orderkey") % 11 == 0,
+                 F.concat(F.date_format(d, "yyyy"), F.lit("XX"), F.date_format(d, "dd")))
+           .otherwise(F.date_format(d, "yyyyMMdd")))
+    return o.select(F.col("o_orderkey").alias("CLM_ID"), raw.alias("raw"))
+
+
+RAW_DATES_SQL = """SELECT o_orderkey AS CLM_ID, CASE WHEN o_orderkey % 7 = 0 THEN ''
+  WHEN o_orderkey % 11 = 0 THEN strftime(o_orderdate, '%Y') || 'XX' || strftime(o_orderdate, '%d')
+  ELSE strftime(o_orderdate, '%Y%m%d') END AS raw FROM orders"""
+
+
+@register("parse_yyyymmdd", f"""SELECT CLM_ID, raw, CAST(try_strptime(raw, '%Y%m%d') AS DATE) AS parsed
+FROM ({RAW_DATES_SQL}) r""")
+def q_parse_yyyymmdd(spark, sf):
+    from claimlake.functions.clean import parse_yyyymmdd
+    return _raw_claim_dates(spark, sf).withColumn("parsed", parse_yyyymmdd("raw"))
+
+
+@register("fill_null_date", V(
+    "SELECT CLM_ID, coalesce(CLM_FROM_DT, DATE '2008-01-01') AS CLM_FROM_DT FROM inp", "inp"))
+def q_fill_null_date(spark, sf):
+    from claimlake.functions.clean import fill_null_date
+    return si.inp(spark, sf).select("CLM_ID", fill_null_date("CLM_FROM_DT").alias("CLM_FROM_DT"))
+
+
+@register("fill_zero_short", """SELECT l_orderkey * 10 + l_linenumber AS PDE_ID,
+  CAST(coalesce(TRY_CAST(trunc(CASE WHEN l_linenumber = 1 THEN NULL ELSE l_quantity + l_discount END)
+       AS SMALLINT), 0) AS SMALLINT) AS QTY_DSPNSD_NUM FROM lineitem""")
+def q_fill_zero_short(spark, sf):
+    """FN3: blank quantity -> 0; fractional quantity truncated (30.9 -> 30)."""
+    from claimlake.functions.clean import fill_zero_short
+    li = si.read_table(spark, sf, "lineitem")
+    raw = F.when(F.col("l_linenumber") == 1, F.lit(None)).otherwise(F.col("l_quantity") + F.col("l_discount"))
+    return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("PDE_ID"),
+                     fill_zero_short(raw).alias("QTY_DSPNSD_NUM"))
+
+
+@register("cast_smallint", """SELECT l_orderkey * 10 + l_linenumber AS PDE_ID, l_orderkey AS raw,
+  TRY_CAST(l_orderkey AS SMALLINT) AS value,
+  (TRY_CAST(l_orderkey AS SMALLINT) IS NULL AND l_orderkey IS NOT NULL) AS quarantined FROM lineitem""")
+def q_cast_smallint(spark, sf):
+    """FN4: narrowing cast; values over 32,767 are flagged for quarantine, not wrapped."""
+    from claimlake.functions.clean import cast_smallint
+    li = si.read_table(spark, sf, "lineitem")
+    v = cast_smallint(F.col("l_orderkey"))
+    return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("PDE_ID"),
+                     F.col("l_orderkey").alias("raw"), v.alias("value"),
+                     (v.isNull() & F.col("l_orderkey").isNotNull()).alias("quarantined"))
+
+
+@register("cast_string", V("SELECT PDE_ID, NULLIF(PROD_SRVC_ID, '') AS PROD_SRVC_ID FROM pde", "pde"))
+def q_cast_string(spark, sf):
+    from claimlake.functions.clean import cast_string
+    return si.pde(spark, sf).select("PDE_ID", cast_string("PROD_SRVC_ID").alias("PROD_SRVC_ID"))
+
+
+@register("normalise_npi", """SELECT c_custkey, NULLIF(CAST(CAST(trunc(coalesce(
+    CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey * 1000003.0 + 0.25 END, -1)) AS BIGINT) AS VARCHAR), '-1')
+  AS AT_PHYSN_NPI FROM customer""")
+def q_normalise_npi(spark, sf):
+    from claimlake.functions.clean import normalise_npi
+    c = si.read_table(spark, sf, "customer")
+    raw = F.when(F.col("c_custkey") % 3 == 0, F.lit(None)) \
+        .otherwise(F.col("c_custkey") * F.lit(1000003.0) + F.lit(0.25))
+    return c.select("c_custkey", normalise_npi(raw).alias("AT_PHYSN_NPI"))
+
+
+# ------------------------------------------------- links, text and paths
+ANCHOR_RX = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+ANCHORS_SQL = f"""SELECT page_id, url, href,
+    NULLIF(regexp_extract(body, '^([^<]*)', 1), '') AS text,
+    CASE WHEN regexp_extract(body, '^([^<]*)', 1) = ''
+         THEN NULLIF(regexp_extract(body, '(?s)^<[^>]+>[^<]*</[^>]+>([^<]*)', 1), '') END AS child1
+  FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '{ANCHOR_RX}', 1)) AS href,
+               unnest(regexp_extract_all(html, '{ANCHOR_RX}', 2)) AS body FROM pages) x"""
+
+# Fixed made-up anchors that exercise every classification rule (the page
+# table holds no claims-download links); always combined with the page anchors.
+LINK_RULE_ROWS = [
+    ("DE1.0 Sample 1", None, "/sample-1"),
+    ("DE1.0 Sample 1 2008 Beneficiary Summary File", None, "/f/DE1_0_2008_Beneficiary_Summary_File_Sample_1.zip"),
+    ("DE1.0 Sample 1 2008-2010 Inpatient Claims Sample", None, "/f/DE1_0_2008_to_2010_Inpatient_Claims_Sample_1.zip"),
+    ("DE1.0 Sample 1 2008-2010 Outpatient Claims Sample", None, "/f/DE1_0_2008_to_2010_Outpatient_Claims_Sample_1.zip"),
+    ("DE1.0 Sample 1 2008-2010 Prescription Drug Events", None, "https://files.example.org/DE1_0_2008_to_2010_Prescription_Drug_Events_Sample_1.zip"),
+    ("Inpatient Claims Sample", None, "/f/short_link.zip"),
+    ("Claims file", " (ZIP, 4MB)", "/f/DE1_0_2008_to_2010_Outpatient_Claims_Sample_2.zip"),
+    ("Claims file", " (ZIP)", "/f/DE1_0_2008_to_2010_Inpatient_Claims_Sample_2.zip"),
+    (None, " (ZIP)", "/f/DE1_0_2009_Beneficiary_Summary_File_Sample_2.zip"),
+    ("a b c d e f g", " (ZIP)", "/f/DE1_0_2008_to_2010_Outpatient_Claims_Sample_3.zip"),
+]
+RULE_PAGE_URL = "https://www.example.org/sample-files"
+
+
+def _sql_lit(v):
+    return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+RULES_SQL = " UNION ALL ".join(
+    f"SELECT CAST(-1 AS BIGINT) AS page_id, '{RULE_PAGE_URL}' AS url, {_sql_lit(h)} AS href, "
+    f"CAST({_sql_lit(t)} AS VARCHAR) AS text, CAST({_sql_lit(c)} AS VARCHAR) AS child1"
+    for t, c, h in LINK_RULE_ROWS)
+ALL_ANCHORS_SQL = f"SELECT * FROM ({ANCHORS_SQL}) p UNION ALL {RULES_SQL}"
+
+LINK_KIND_SQL = """CASE WHEN text IS NULL OR len(string_split(text, ' ')) < 5 THEN
+    CASE WHEN CASE WHEN strpos(child1, '(') > 0 THEN split_part(substr(child1, strpos(child1, '(') + 1), ')', 1) END = 'ZIP'
+         THEN 'zip_fallback' ELSE 'ignored' END
+  WHEN string_split(text, ' ')[5] = 'Beneficiary' THEN 'beneficiary'
+  WHEN string_split(text, ' ')[-3] = 'Inpatient' THEN 'inpatient'
+  WHEN string_split(text, ' ')[-3] = 'Outpatient' THEN 'outpatient'
+  WHEN string_split(text, ' ')[-3] = 'Prescription' THEN 'drug_events'
+  ELSE 'ignored' END"""
+
+
+def anchors(spark, sf):
+    from claimlake.sources.html import page_anchors
+    return page_anchors(si.read_table(spark, sf, "pages"))
+
+
+def all_anchors(spark, sf):
+    rules = spark.createDataFrame(
+        [(-1, RULE_PAGE_URL, h, t, c) for t, c, h in LINK_RULE_ROWS],
+        "page_id long, url string, href string, text string, child1 string")
+    return anchors(spark, sf).unionByName(rules)
+
+
+@register("page_links", f"SELECT page_id, href, text, child1 FROM ({ANCHORS_SQL}) a")
+def q_page_links(spark, sf):
+    return anchors(spark, sf).select("page_id", "href", "text", "child1")
+
+
+@register("split_token", f"""SELECT page_id, href, text, string_split(text, ' ')[1] AS t0,
+  string_split(text, ' ')[5] AS t4, string_split(text, ' ')[-3] AS t_3,
+  len(string_split(text, ' ')) AS n_tokens FROM ({ALL_ANCHORS_SQL}) a""")
+def q_split_token(spark, sf):
+    from claimlake.functions.text import split_token, token_count
+    t = F.col("text")
+    return all_anchors(spark, sf).select(
+        "page_id", "href", "text", split_token(t, 0).alias("t0"), split_token(t, 4).alias("t4"),
+        split_token(t, -3).alias("t_3"), token_count(t).alias("n_tokens"))
+
+
+@register("text_in_parens", """SELECT page_id,
+  CASE WHEN strpos(html, '(') > 0 THEN split_part(substr(html, strpos(html, '(') + 1), ')', 1) END AS in_parens
+  FROM pages""")
+def q_text_in_parens(spark, sf):
+    from claimlake.functions.text import text_in_parens
+    return si.read_table(spark, sf, "pages").select("page_id", text_in_parens("html").alias("in_parens"))
+
+
+@register("path_basename", "SELECT page_id, url, string_split(url, '/')[-1] AS base_name FROM pages")
+def q_path_basename(spark, sf):
+    from claimlake.functions.text import path_basename
+    return si.read_table(spark, sf, "pages").select("page_id", "url", path_basename("url").alias("base_name"))
+
+
+@register("path_restem", """SELECT page_id, split_part(string_split(url, '/')[-1], '.', 1) || '.parquet' AS parquet_name
+  FROM pages""")
+def q_path_restem(spark, sf):
+    from claimlake.functions.text import path_basename, path_restem
+    return si.read_table(spark, sf, "pages").select(
+        "page_id", path_restem(path_basename("url"), ".parquet").alias("parquet_name"))
+
+
+@register("path_concat", f"""SELECT page_id, href, regexp_extract(url, '^(https?://[^/]+)', 1) || href AS full_url
+  FROM ({ANCHORS_SQL}) a""")
+def q_path_concat(spark, sf):
+    from claimlake.functions.text import path_concat
+    from claimlake.sources.html import site_of
+    return anchors(spark, sf).select("page_id", "href",
+                                     path_concat(site_of(F.col("url")), F.col("href")).alias("full_url"))
+
+
+@register("link_classify", f"SELECT page_id, href, text, child1, {LINK_KIND_SQL} AS link_kind FROM ({ALL_ANCHORS_SQL}) a")
+def q_link_classify(spark, sf):
+    from claimlake.plans.links import link_kind
+    return all_anchors(spark, sf).select("page_id", "href", "text", "child1",
+                                         link_kind(F.col("text"), F.col("child1")).alias("link_kind"))
+
+
+FILE_KIND_SQL = """CASE WHEN string_split(file_name, '_')[6] = 'Inpatient' THEN 'inpatient'
+  WHEN string_split(file_name, '_')[6] = 'Outpatient' THEN 'outpatient'
+  WHEN string_split(file_name, '_')[4] = 'Beneficiary' THEN 'beneficiary' END"""
+
+
+@register("filename_classify", f"""SELECT page_id, href, file_name, {FILE_KIND_SQL} AS file_kind FROM (
+  SELECT page_id, href, string_split(href, '/')[-1] AS file_name FROM ({ALL_ANCHORS_SQL}) a) f""")
+def q_filename_classify(spark, sf):
+    from claimlake.functions.text import path_basename
+    from claimlake.plans.links import filename_kind
+    a = all_anchors(spark, sf).select("page_id", "href", path_basename("href").alias("file_name"))
+    return a.withColumn("file_kind", filename_kind(F.col("file_name")))
+
+
+@register("download_catalogue", f"""SELECT page_id, href, text, child1, link_kind,
+  coalesce(string_split(text, ' ')[1] = 'DE1.0', false) AS sample_page,
+  CASE WHEN link_kind = 'zip_fallback' THEN {FILE_KIND_SQL} WHEN link_kind = 'ignored' THEN NULL
+       ELSE link_kind END AS table_kind,
+  CASE WHEN link_kind = 'drug_events' THEN href ELSE regexp_extract(url, '^(https?://[^/]+)', 1) || href END
+    AS download_url,
+  file_name, split_part(file_name, '.', 1) || '.parquet' AS parquet_name
+FROM (SELECT *, {LINK_KIND_SQL} AS link_kind, string_split(href, '/')[-1] AS file_name
+      FROM ({ALL_ANCHORS_SQL}) a) k""")
+def q_download_catalogue(spark, sf):
+    from claimlake.plans.links import download_catalogue
+    return download_catalogue(all_anchors(spark, sf))
+
+
+# ----------------------------------------------------------------- profiles
+INP_COLS = ["DESYNPUF_ID", "CLM_ID", "CLM_FROM_DT", "CLM_PMT_AMT", "ICD9_DGNS_CD_1",
+            "ICD9_PRCDR_CD_1", "HCPCS_CD_1"]
+
+
+@register("profile_distinct", V(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)"
+    f" AS BIGINT) AS n_distinct FROM inp" for c in INP_COLS), "inp"))
+def q_profile_distinct(spark, sf):
+    from claimlake.operators.profile import distinct_profile
+    return distinct_profile(si.inp(spark, sf), INP_COLS)
+
+
+@register("profile_describe", V(" UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS count,
+  round(avg(TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)), 2) AS mean,
+  round(stddev_samp(TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)), 2) AS stddev,
+  min(CAST({c} AS VARCHAR)) AS min, max(CAST({c} AS VARCHAR)) AS max FROM inp_text"""
+    for c in INP_COLS).replace("FROM inp_text", "FROM (SELECT " + ", ".join(
+        f"CAST({c} AS VARCHAR) AS {c}" for c in INP_COLS) + " FROM inp) t"), "inp"))
+def q_profile_describe(spark, sf):
+    """PF2 on the claim rows read as text, as the notebook's untyped CSV scan gives them."""
+    from claimlake.operators.profile import describe_profile
+    text = si.inp(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in INP_COLS])
+    d = describe_profile(text)
+    return d.withColumn("mean", F.round("mean", 2)).withColumn("stddev", F.round("stddev", 2))
+
+
+BEN_PROFILE_COLS = ["DESYNPUF_ID", "BENE_BIRTH_DT", "BENE_SEX_IDENT_CD", "BENE_RACE_CD",
+                    "SP_STATE_CODE", *CONDITION_FLAGS, "MEDREIMB_IP", "BENRES_IP"]
+
+
+@register("profile_group_mean", V(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, round(avg(MEDREIMB_IP), 4) AS avg_MEDREIMB_IP"
+    f" FROM ben GROUP BY {c}" for c in BEN_PROFILE_COLS), "ben"))
+def q_profile_group_mean(spark, sf):
+    from claimlake.operators.profile import group_mean_profile
+    g = group_mean_profile(si.ben(spark, sf), "MEDREIMB_IP", BEN_PROFILE_COLS)
+    return g.withColumn("avg_MEDREIMB_IP", F.round("avg_MEDREIMB_IP", 4))
+
+
+@register("preview_limit", V("SELECT * FROM features ORDER BY PATIENT_ID LIMIT 20", "features"))
+def q_preview_limit(spark, sf):
+    from claimlake.operators.profile import preview
+    return preview(features(spark, sf), 20, ["PATIENT_ID"])
+
+
+# ---------------------------------------------------- sort, dedupe, joins
+@register("sort_predictions", V("SELECT PATIENT_ID, prediction FROM acp ORDER BY prediction DESC", "acp"))
+def q_sort_predictions(spark, sf):
+    from claimlake.operators.dedupe import sort_desc
+    return sort_desc(acp(spark, sf).select("PATIENT_ID", "prediction"), "prediction", "PATIENT_ID")
+
+
+@register("dedupe_keep_top", V("""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY PATIENT_ID, AGE_YRS, GENDER, RACE, STATE, DX, PX, HCPCS
+  ORDER BY prediction DESC, ANNUAL_COST) AS rn FROM acp) t WHERE rn = 1""", "acp"))
+def q_dedupe_keep_top(spark, sf):
+    from claimlake.operators.dedupe import keep_top
+    from claimlake.schemas import DEDUPE_KEYS
+    return keep_top(acp(spark, sf), DEDUPE_KEYS, "prediction", ["ANNUAL_COST"])
+
+
+CLAIM_SCORES_SQL = """SELECT b.BENE_SEX_IDENT_CD AS GENDER, b.BENE_RACE_CD AS RACE, b.SP_STATE_CODE AS STATE,
+    i.ICD9_DGNS_CD_1 AS DX_CODE, i.ICD9_PRCDR_CD_1 AS PX_CODE, i.CLM_ID, i.CLM_PMT_AMT AS prediction
+  FROM inp i JOIN ben b ON i.DESYNPUF_ID = b.DESYNPUF_ID"""
+
+
+@register("dedupe_keep_top_claims", V(f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY GENDER, RACE, STATE, DX_CODE, PX_CODE ORDER BY prediction DESC, CLM_ID) AS rn
+  FROM ({CLAIM_SCORES_SQL}) c) t WHERE rn = 1""", "ben", "inp"))
+def q_dedupe_keep_top_claims(spark, sf):
+    """SO2 where many rows share keys (one row per claim), null keys included."""
+    from claimlake.operators.dedupe import keep_top
+    b = si.ben(spark, sf).select("DESYNPUF_ID", F.col("BENE_SEX_IDENT_CD").alias("GENDER"),
+                                 F.col("BENE_RACE_CD").alias("RACE"), F.col("SP_STATE_CODE").alias("STATE"))
+    i = si.inp(spark, sf).select("DESYNPUF_ID", F.col("ICD9_DGNS_CD_1").alias("DX_CODE"),
+                                 F.col("ICD9_PRCDR_CD_1").alias("PX_CODE"), "CLM_ID",
+                                 F.col("CLM_PMT_AMT").alias("prediction"))
+    c = i.join(b, "DESYNPUF_ID").drop("DESYNPUF_ID")
+    return keep_top(c, ["GENDER", "RACE", "STATE", "DX_CODE", "PX_CODE"], "prediction", ["CLM_ID"])
+
+
+@register("join_natural", V("""SELECT f.PATIENT_ID, f.AGE_YRS, f.DX, f.STATE, a.prediction
+  FROM features f JOIN acp a ON f.AGE_YRS IS NOT DISTINCT FROM a.AGE_YRS
+   AND f.DX IS NOT DISTINCT FROM a.DX AND f.STATE IS NOT DISTINCT FROM a.STATE""", "acp"))
+def q_join_natural(spark, sf):
+    """JO2: rejoin scores to rows on the shared feature columns (equal features match)."""
+    from claimlake.operators.joins import natural_join
+    left = features(spark, sf).select("PATIENT_ID", "AGE_YRS", "DX", "STATE")
+    right = acp(spark, sf).select("AGE_YRS", "DX", "STATE", "prediction")
+    return natural_join(left, right)
+
+
+# ------------------------------------------------------ positional / types
+@register("project_positional", "SELECT o_orderstatus, o_totalprice, o_orderdate FROM orders")
+def q_project_positional(spark, sf):
+    from claimlake.operators.project import select_slice
+    return select_slice(si.read_table(spark, sf, "orders"), 2, 5)
+
+
+@register("cast_by_type", """SELECT TRY_CAST(l_orderkey AS SMALLINT) AS l_orderkey,
+  TRY_CAST(l_partkey AS SMALLINT) AS l_partkey, TRY_CAST(l_suppkey AS SMALLINT) AS l_suppkey, l_linenumber,
+  CAST(l_quantity AS VARCHAR) AS l_quantity, CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
+  CAST(l_discount AS VARCHAR) AS l_discount, CAST(l_tax AS VARCHAR) AS l_tax,
+  l_returnflag, l_linestatus, l_shipdate FROM lineitem""")
+def q_cast_by_type(spark, sf):
+    from claimlake.operators.project import cast_by_type
+    return cast_by_type(si.read_table(spark, sf, "lineitem"), "smallint", (4, 8))
