@@ -266,11 +266,6 @@ def q_predicate_code_present(spark, sf):
                                     code_present("ICD9_PRCDR_CD_1").alias("px_present"))
 
 
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """Median predicted annual cost by state (the headline dashboard)."""
-    return q_median_cost_by_state(spark, sf)
-
-
 # ------------------------------------------------------- cleaning functions
 def _raw_claim_dates(spark, sf):
     o = si.read_table(spark, sf, "orders")
@@ -592,3 +587,81 @@ def q_project_positional(spark, sf):
 def q_cast_by_type(spark, sf):
     from claimlake.operators.project import cast_by_type
     return cast_by_type(si.read_table(spark, sf, "lineitem"), "smallint", (4, 8))
+
+
+# -------------------------------------------------------------------- model
+def _index_sql() -> str:
+    from claimlake.schemas import CATEGORICAL_COLUMNS
+    parts = [f"""SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value,
+    CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS DOUBLE) AS label_index
+  FROM features GROUP BY {c}""" for c in CATEGORICAL_COLUMNS]
+    return V(" UNION ALL ".join(parts), "features")
+
+
+@register("string_index", _index_sql())
+def q_string_index(spark, sf):
+    """ML1: the fitted label order of all 14 categorical columns (one multi-column fit)."""
+    from claimlake.plans.model import string_indexer
+    from claimlake.schemas import CATEGORICAL_COLUMNS
+    f = features(spark, sf)
+    idx = string_indexer().fit(f).transform(f)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
+                               F.col(f"{c}_index").alias("label_index")) for c in CATEGORICAL_COLUMNS])
+    return idx.select(F.inline(pairs)).distinct()
+
+
+@register("assemble_features")
+def q_assemble_features(spark, sf):
+    from claimlake.plans.model import prepare, vector_text
+    _, a = prepare(features(spark, sf))
+    return a.select("PATIENT_ID", vector_text("features").alias("features"))
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf):
+    from claimlake.plans.model import hash_split
+    tr, te = hash_split(features(spark, sf))
+    return (tr.select("PATIENT_ID", "AGE_YRS", F.lit("train").alias("split"))
+            .unionByName(te.select("PATIENT_ID", "AGE_YRS", F.lit("test").alias("split"))))
+
+
+def _one_feature_fit(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    from claimlake.plans.model import fit
+    f = VectorAssembler(inputCols=["AGE_YRS"], outputCol="x").transform(features(spark, sf))
+    return f, fit(f, "x")
+
+
+@register("linreg_fit", V("""SELECT round(regr_slope(ANNUAL_COST, AGE_YRS), 6) AS slope,
+  round(regr_intercept(ANNUAL_COST, AGE_YRS), 6) AS intercept FROM features""", "features"))
+def q_linreg_fit(spark, sf):
+    """ML4 with one feature, checkable against SQL regression aggregates."""
+    _, m = _one_feature_fit(spark, sf)
+    return spark.range(1).select(F.round(F.lit(float(m.coefficients[0])), 6).alias("slope"),
+                                 F.round(F.lit(float(m.intercept)), 6).alias("intercept"))
+
+
+@register("linreg_r2", V("SELECT round(regr_r2(ANNUAL_COST, AGE_YRS), 6) AS r2 FROM features", "features"))
+def q_linreg_r2(spark, sf):
+    """ML5: R^2 of the one-feature fit on the rows it was trained on."""
+    f, m = _one_feature_fit(spark, sf)
+    return spark.range(1).select(F.round(F.lit(float(m.evaluate(f).r2)), 6).alias("r2"))
+
+
+@register("score_predictions")
+def q_score_predictions(spark, sf):
+    from claimlake.plans.model import run
+    return run(features(spark, sf)).scored.select("PATIENT_ID", "AGE_YRS", "ANNUAL_COST", "prediction")
+
+
+@register("annual_cost_predictions")
+def q_annual_cost_predictions(spark, sf):
+    from claimlake.plans.model import annual_cost_predictions
+    return annual_cost_predictions(features(spark, sf))
+
+
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """Median predicted annual cost by state over the model's scored table."""
+    from claimlake.plans.model import annual_cost_predictions
+    scored = annual_cost_predictions(features(spark, sf))
+    return dash.median_cost_by(scored, "STATE")
