@@ -53,10 +53,17 @@ def cast_int(c) -> Column:
     return try_cast(try_cast(_c(c), "bigint"), "int")
 
 
+def cast_long(c) -> Column:
+    return try_cast(_c(c), "bigint")
+
+
 def fill_zero_short(c, width: str = "smallint") -> Column:
-    """FN3: null -> 0, then truncate toward zero into a narrow integer."""
+    """FN3: null -> 0, then truncate toward zero into a narrow integer.
+
+    A value that does not fit the width becomes null (quarantined), not 0.
+    """
     num = to_double(c)
-    return F.coalesce(try_cast(num, width), F.lit(0).cast(width))
+    return F.when(num.isNull(), F.lit(0).cast(width)).otherwise(try_cast(num, width))
 
 
 def normalise_npi(c) -> Column:
