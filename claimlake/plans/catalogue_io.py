@@ -75,7 +75,7 @@ def q_scan_zip_csv(spark, sf):
     from claimlake.sources.archives import scan_zip_csv, write_zip_csv
     c = si.read_table(spark, sf, "customer")
     root = scratch_path(spark, "scan_zip_csv")
-    write_zip_csv(c, root, "customer", files=4)
+    write_zip_csv(c, root, "customer", files=spark.sparkContext.defaultParallelism)
     raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in c.schema.fields])
     raw = scan_zip_csv(spark, root, raw_schema)
     return raw.select(*[try_cast(f.name, f.dataType.simpleString()).alias(f.name) for f in c.schema.fields])
@@ -279,7 +279,7 @@ def _ingest_roundtrip(spark, raw: DataFrame, table: str):
     from claimlake.plans.ingest import ingest, read_ingested
     from claimlake.sources.archives import write_zip_csv
     root = scratch_path(spark, f"ingest_{table}")
-    write_zip_csv(raw, f"{root}/landing", ARCHIVE_STEMS[table], files=3)
+    write_zip_csv(raw, f"{root}/landing", ARCHIVE_STEMS[table], files=spark.sparkContext.defaultParallelism)
     res = ingest(spark, f"{root}/landing", table, f"{root}/lake")
     return res, read_ingested(spark, res.path, table)
 
