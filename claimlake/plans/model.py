@@ -75,6 +75,11 @@ class ModelRun:
     train: DataFrame
     test: DataFrame
     scored: DataFrame
+    base: DataFrame
+
+    def release(self) -> None:
+        """Drop the persisted feature table once the scores are written."""
+        self.base.unpersist()
 
     def r2(self, which: str = "train") -> float:
         """ML5: R^2 on the training rows (as reported originally) or the test rows."""
@@ -88,7 +93,7 @@ def run(features_df: DataFrame, seed: int = 42, train_fraction: float = 0.7) ->
     train, test = hash_split(assembled, train_fraction, seed)
     model = fit(train)
     scored = model.transform(test)  # ML6: all columns kept, no rejoin needed
-    return ModelRun(model, train, test, scored)
+    return ModelRun(model, train, test, scored, base)
 
 
 def vector_text(c: str = "features") -> F.Column:
