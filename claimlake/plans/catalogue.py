@@ -212,6 +212,20 @@ def q_trend_cost_by_age(spark, sf):
     return t.select(*[F.round(c, 6).alias(c) for c in ("slope", "intercept", "r2")], "n_marks")
 
 
+@register("trend_median_cost_by_age", V(
+    """SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
+  round(regr_r2(y, x), 6) AS r2, regr_count(y, x) AS n_marks FROM (
+  SELECT CAST(ceil(AGE_YRS) AS INTEGER) AS x, round(median(prediction), 6) AS y FROM acp GROUP BY 1) m""",
+    "acp"))
+def q_trend_median_cost_by_age(spark, sf):
+    """AG12 on the second dashboard: trend over the median-by-rounded-up-age marks."""
+    from claimlake.operators.aggregate import trend_line
+    marks = dash.median_cost_by_age(acp(spark, sf)).select(
+        F.col("rounded_age"), F.round("median_prediction", 6).alias("y"))
+    t = trend_line(marks, "rounded_age", "y")
+    return t.select(*[F.round(c, 6).alias(c) for c in ("slope", "intercept", "r2")], "n_marks")
+
+
 @register("agg_default_measures", V(
     """SELECT round(sum(ANNUAL_COST), 4) AS sum_ANNUAL_COST, count(PATIENT_ID) AS count_PATIENT_ID,
   CAST(sum(DX) AS BIGINT) AS sum_DX, CAST(sum(STATE) AS BIGINT) AS sum_STATE FROM features""", "features"))

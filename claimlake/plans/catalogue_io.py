@@ -329,3 +329,29 @@ def q_ingest_incremental(spark, sf):
     run_incremental(spark, *args)
     run_incremental(spark, *args)  # nothing new: adds no rows
     return spark.read.schema(ev.schema).parquet(f"{root}/target")
+
+
+@register("warehouse_refresh", V("""SELECT 'beneficiary_summary' AS table_name, count(*) AS n_rows FROM ben
+UNION ALL SELECT 'inpatient_claims', count(*) FROM inp
+UNION ALL SELECT 'outpatient_claims', count(*) FROM inp
+UNION ALL SELECT 'prescription_drug_events', count(*) FROM pde
+UNION ALL SELECT 'annual_cost_predictions', count(*) FROM acp""", "ben", "inp", "pde", "acp"))
+def q_warehouse_refresh(spark, sf):
+    """JB8: full refresh of all five warehouse tables, then their row counts."""
+    from claimlake.plans.warehouse import create_schema, full_refresh
+    db = f"cms_{uuid.uuid4().hex[:8]}"
+    create_schema(spark, db, scratch_path(spark, "warehouse"))
+    sources = {
+        "beneficiary_summary": si.ben(spark, sf),
+        "inpatient_claims": si.inp(spark, sf),
+        "outpatient_claims": si.inp(spark, sf),
+        "prescription_drug_events": si.pde(spark, sf),
+        "annual_cost_predictions": acp(spark, sf),
+    }
+    out = None
+    for t, df in sources.items():
+        full_refresh(spark, f"{db}.{t}", df, t)
+        c = spark.table(f"{db}.{t}").groupBy().agg(F.count(F.lit(1)).alias("n_rows")) \
+            .select(F.lit(t).alias("table_name"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
