@@ -43,15 +43,18 @@ def rank_median(df: DataFrame, keys: list[str], value: str, alias: str,
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = F.struct(*[F.col(k) for k in keys]).alias("_g")
 
-    # 1. Histogram of distinct values per group; repeated values collapse map-side.
+    # 1. Histogram of distinct values per group; repeated values collapse
+    #    map-side.  Null values stay (as one row per group) so that groups
+    #    without any value still appear in the result.
     hist = (df.select(g, F.col(value).alias("_v"))
-            .where(F.col("_v").isNotNull())
             .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")))
 
     # 2. Global order on (group, value); fix which task holds which range.
     ranked = (hist.repartitionByRange(parts, "_g", "_v")
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint())
+    groups = ranked.select("_g").distinct()
+    ranked = ranked.where(F.col("_v").isNotNull())
 
     # 3. Per (group, task) counts -> rank offset of each task inside its group.
     per_task = ranked.groupBy("_g", "_pid").agg(F.sum("_c").alias("_pc"))
@@ -62,11 +65,10 @@ def rank_median(df: DataFrame, keys: list[str], value: str, alias: str,
                 .withColumn("_n", F.sum("_pc").over(w_grp)))
 
     # 4. The tasks holding rank (n-1) div 2 and n div 2 (0-based), and the
-    #    rank inside the task.
-    lo = (F.col("_n") - 1).cast("long") / 2
+    #    rank inside the task.  At most two rows per group.
     targets = None
-    for which, rank in (("lo", F.floor(lo)), ("hi", F.floor(F.col("_n") / 2))):
-        t = (per_task.withColumn("_r", rank)
+    for which, rank in (("lo", F.floor((F.col("_n") - 1) / 2)), ("hi", F.floor(F.col("_n") / 2))):
+        t = (per_task.withColumn("_r", rank.cast("long"))
              .where((F.col("_off") <= F.col("_r")) & (F.col("_r") < F.col("_off") + F.col("_pc")))
              .select("_g", "_pid", F.lit(which).alias("_which"),
                      (F.col("_r") - F.col("_off")).alias("_lr")))
@@ -84,7 +86,5 @@ def rank_median(df: DataFrame, keys: list[str], value: str, alias: str,
     med = mids.select("_g", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * 0.5).alias(alias))
 
     # Groups whose values are all null still get a row (null median).
-    all_groups = df.select(g).distinct()
-    out = all_groups.join(med, all_groups["_g"].eqNullSafe(med["_g"]), "left") \
-        .select(all_groups["_g"], med[alias])
+    out = groups.join(med, "_g", "left")
     return out.select(*[F.col("_g")[k].alias(k) for k in keys], alias)
