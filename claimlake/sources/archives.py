@@ -1,18 +1,21 @@
 """ZIP-archived CSV scan (SC3) and a ZIP writer for round-trip fixtures.
 
-An archive is not splittable, so the work is parallel over archives: the
-binary-file source lists them (its ``content`` column is never read, so no
-archive is loaded whole into a row) and packs them into tasks by size.  Each
-task opens its archives through the Arrow filesystem layer (local, HDFS or
-object-store URIs), reads the FIRST member only, and streams it through
-pandas in fixed-size row chunks, so a task's memory is bounded by the chunk
-size, not the archive size.  Every value stays text here; typing happens
-afterwards in JVM expressions.  A corrupt archive fails its task visibly.
+An archive is not splittable, so decompression is parallel over archives:
+the binary-file source lists them (its ``content`` column is never read, so
+no archive is loaded whole into a row) and packs them into tasks by size.
+Each task opens its archives through the Arrow filesystem layer (local, HDFS
+or object-store URIs), reads the FIRST member only, and streams its CSV
+records out in fixed-size batches, so a task's memory is bounded by the batch
+size, not the archive size.  The records are then rebalanced over evenly
+sized tasks and parsed by the JVM CSV parser (``from_csv``); every value stays
+text, typing happens afterwards in JVM expressions.  A corrupt archive fails
+its task visibly.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlake.sources.files import RAW_DATE_FORMAT, RAW_ENCODING
@@ -41,41 +44,91 @@ def list_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFr
             .option("recursiveFileLookup", True).load(root).select("path", "length"))
 
 
-def scan_zip_csv(spark: SparkSession, root: str, raw_schema: T.StructType, glob: str = "*.zip",
-                 encoding: str = RAW_ENCODING, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """SC3: rows of the first CSV member of every archive under ``root``, all text.
+def _records(text):
+    """CSV records of a text stream; a quoted field may span lines."""
+    pending = None
+    for line in text:
+        line = line.rstrip("\r\n")
+        pending = line if pending is None else pending + "\n" + line
+        if pending.count('"') % 2 == 0:
+            yield pending
+            pending = None
+    if pending is not None:
+        yield pending
 
-    Adds ``_source_file`` (archive path) and ``_member`` (member name).  Columns
-    are matched by header name; a column the file lacks is null.
+
+def scan_zip_lines(spark: SparkSession, root: str, columns: list[str], glob: str = "*.zip",
+                   encoding: str = RAW_ENCODING, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Raw CSV records (header removed) of the first member of every archive.
+
+    The task only decompresses and splits records; parsing happens later in
+    the JVM.  When a file's header differs from ``columns`` (other order,
+    missing columns) its records are rewritten in ``columns`` order here.
     """
-    cols = [f.name for f in raw_schema.fields]
-    out = T.StructType(list(raw_schema.fields) + [
-        T.StructField("_source_file", T.StringType()), T.StructField("_member", T.StringType())])
+    cols = list(columns)
 
     def read_archives(batches):
+        import csv
+        import io
         import zipfile
 
         import pandas as pd
 
+        def rewrite(rec, idx):
+            fields = next(csv.reader([rec]))
+            out = io.StringIO()
+            csv.writer(out, lineterminator="").writerow(
+                [fields[i] if i is not None and i < len(fields) else "" for i in idx])
+            return out.getvalue()
+
         for batch in batches:
             for path in batch["path"]:
                 fs, p = _fs(path)
                 with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as zf:
                     member = zf.namelist()[0]
                     with zf.open(member) as raw:
-                        reader = pd.read_csv(raw, dtype=str, keep_default_na=False, na_values=[""],
-                                             encoding=encoding, chunksize=chunk_rows)
-                        for chunk in reader:
-                            for c in cols:
-                                if c not in chunk.columns:
-                                    chunk[c] = None
-                            chunk = chunk[cols].astype(object)
-                            chunk = chunk.where(chunk.notna(), None)
-                            chunk["_source_file"] = path
-                            chunk["_member"] = member
-                            yield chunk
+                        text = io.TextIOWrapper(raw, encoding=encoding, newline="")
+                        recs = _records(text)
+                        head = next(recs, None)
+                        if head is None:
+                            continue
+                        header = next(csv.reader([head.lstrip("\ufeff")]))
+                        idx = None if header == cols else [
+                            header.index(c) if c in header else None for c in cols]
+                        buf = []
+                        for rec in recs:
+                            if not rec:
+                                continue
+                            buf.append(rec if idx is None else rewrite(rec, idx))
+                            if len(buf) >= chunk_rows:
+                                yield pd.DataFrame({"line": buf, "_source_file": path, "_member": member})
+                                buf = []
+                        if buf:
+                            yield pd.DataFrame({"line": buf, "_source_file": path, "_member": member})
+
+    return list_archives(spark, root, glob).mapInPandas(
+        read_archives, "line string, _source_file string, _member string")
 
-    return list_archives(spark, root, glob).mapInPandas(read_archives, out)
+
+def scan_zip_csv(spark: SparkSession, root: str, raw_schema: T.StructType, glob: str = "*.zip",
+                 encoding: str = RAW_ENCODING, chunk_rows: int = CHUNK_ROWS,
+                 rebalance: bool = True) -> DataFrame:
+    """SC3: rows of the first CSV member of every archive under ``root``, all text.
+
+    Adds ``_source_file`` (archive path) and ``_member`` (member name).  Columns
+    are matched by header name; a column the file lacks is null.  With
+    ``rebalance`` the raw records are spread over evenly sized tasks (AQE splits
+    a hot archive's output) before they are parsed, so one huge archive costs
+    one task of decompression, not one task of parsing, typing and writing.
+    """
+    cols = [f.name for f in raw_schema.fields]
+    lines = scan_zip_lines(spark, root, cols, glob, encoding, chunk_rows)
+    if rebalance:
+        lines = lines.hint("rebalance")
+    ddl = ", ".join(f"`{c}` STRING" for c in cols)
+    parsed = lines.select(F.from_csv("line", ddl, {"escape": '"', "mode": "PERMISSIVE"}).alias("_r"),
+                          "_source_file", "_member")
+    return parsed.select(*[F.col("_r")[c].alias(c) for c in cols], "_source_file", "_member")
 
 
 def write_zip_csv(df: DataFrame, out_dir: str, stem: str, files: int | None = None,
@@ -97,6 +150,7 @@ def write_zip_csv(df: DataFrame, out_dir: str, stem: str, files: int | None = No
         import zipfile
 
         import pandas as pd
+        from pyspark import TaskContext
 
         for batch in batches:
             for path in batch["path"]:
@@ -105,10 +159,15 @@ def write_zip_csv(df: DataFrame, out_dir: str, stem: str, files: int | None = No
                 name = f"{stem}_{n}"
                 in_fs, in_p = _fs(path)
                 out_fs, out_p = _fs(f"{target}/{name}.zip")
-                with out_fs.open_output_stream(out_p) as dst_file, \
+                # write under this attempt's own name, then rename: a retried or
+                # speculative attempt never leaves a half-written archive behind
+                ctx = TaskContext.get()
+                tmp_p = f"{out_p}.attempt-{ctx.taskAttemptId() if ctx else 0}.tmp"
+                with out_fs.open_output_stream(tmp_p) as dst_file, \
                         zipfile.ZipFile(dst_file, "w", zipfile.ZIP_DEFLATED) as zf, \
                         zf.open(f"{name}.csv", "w") as dst, in_fs.open_input_stream(in_p) as src:
                     shutil.copyfileobj(src, dst, 1 << 20)
+                out_fs.move(tmp_p, out_p)
                 yield pd.DataFrame({"archive": [f"{target}/{name}.zip"]})
 
     parts = list_archives(spark, csv_dir, "*.csv").select("path")
