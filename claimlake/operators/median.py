@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimlake.session import ensure_checkpoint_dir
+
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
 
 
@@ -40,6 +42,7 @@ def grouped_median(df: DataFrame, keys: list[str], value: str, alias: str,
 def rank_median(df: DataFrame, keys: list[str], value: str, alias: str,
                 partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = F.struct(*[F.col(k) for k in keys]).alias("_g")
 

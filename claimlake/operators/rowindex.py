@@ -13,8 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimlake.session import ensure_checkpoint_dir
+
 
 def with_row_index(df: DataFrame, order_cols: list, name: str = "row_index") -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
     cols = list(df.columns)
     s = (df.orderBy(*order_cols)
          .withColumn("_pid", F.spark_partition_id())

@@ -201,7 +201,7 @@ def q_agg_record_count(spark, sf):
 
 @register("trend_cost_by_age", V(
     """SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
-  round(regr_r2(y, x), 6) AS r2, regr_count(y, x) AS n_marks FROM (
+  round(regr_r2(y, x), 6) AS r2, CAST(regr_count(y, x) AS BIGINT) AS n_marks FROM (
   SELECT CAST(floor(AGE_YRS) AS INTEGER) AS x, round(sum(prediction), 4) AS y FROM acp GROUP BY 1) m""",
     "acp"))
 def q_trend_cost_by_age(spark, sf):
@@ -214,7 +214,7 @@ def q_trend_cost_by_age(spark, sf):
 
 @register("trend_median_cost_by_age", V(
     """SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
-  round(regr_r2(y, x), 6) AS r2, regr_count(y, x) AS n_marks FROM (
+  round(regr_r2(y, x), 6) AS r2, CAST(regr_count(y, x) AS BIGINT) AS n_marks FROM (
   SELECT CAST(ceil(AGE_YRS) AS INTEGER) AS x, round(median(prediction), 6) AS y FROM acp GROUP BY 1) m""",
     "acp"))
 def q_trend_median_cost_by_age(spark, sf):
@@ -417,7 +417,7 @@ def q_page_links(spark, sf):
 
 @register("split_token", f"""SELECT page_id, href, text, string_split(text, ' ')[1] AS t0,
   string_split(text, ' ')[5] AS t4, string_split(text, ' ')[-3] AS t_3,
-  len(string_split(text, ' ')) AS n_tokens FROM ({ALL_ANCHORS_SQL}) a""")
+  CAST(len(string_split(text, ' ')) AS INTEGER) AS n_tokens FROM ({ALL_ANCHORS_SQL}) a""")
 def q_split_token(spark, sf):
     from claimlake.functions.text import split_token, token_count
     t = F.col("text")

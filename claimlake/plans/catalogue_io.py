@@ -150,6 +150,16 @@ def q_sink_csv_indexed(spark, sf):
 
 
 # -------------------------------------------------------------- warehouse
+def _warehouse_sources(spark, sf) -> dict:
+    return {
+        "beneficiary_summary": si.ben(spark, sf),
+        "inpatient_claims": si.inp(spark, sf),
+        "outpatient_claims": si.inp(spark, sf),
+        "prescription_drug_events": si.pde(spark, sf),
+        "annual_cost_predictions": acp(spark, sf),
+    }
+
+
 def _db(spark, tables):
     from claimlake.plans.warehouse import create_schema
     db = f"cms_{uuid.uuid4().hex[:8]}"
@@ -159,10 +169,15 @@ def _db(spark, tables):
 
 @register("table_ddl")
 def q_table_ddl(spark, sf):
+    """SK6: the five tables as created from the DDL, each filled once; columns with row counts."""
+    from claimlake.plans.warehouse import full_refresh
     db = _db(spark, None)
     out = None
-    for t in S.TABLES:
-        d = spark.sql(f"DESCRIBE TABLE {db}.{t}").select(F.lit(t).alias("table_name"), "col_name", "data_type")
+    for t, df in _warehouse_sources(spark, sf).items():
+        full_refresh(spark, f"{db}.{t}", df, t)
+        rows = spark.table(f"{db}.{t}").count()
+        d = spark.sql(f"DESCRIBE TABLE {db}.{t}").select(
+            F.lit(t).alias("table_name"), "col_name", "data_type", F.lit(rows).alias("table_rows"))
         out = d if out is None else out.unionByName(d)
     return out
 
@@ -341,15 +356,8 @@ def q_warehouse_refresh(spark, sf):
     from claimlake.plans.warehouse import create_schema, full_refresh
     db = f"cms_{uuid.uuid4().hex[:8]}"
     create_schema(spark, db, scratch_path(spark, "warehouse"))
-    sources = {
-        "beneficiary_summary": si.ben(spark, sf),
-        "inpatient_claims": si.inp(spark, sf),
-        "outpatient_claims": si.inp(spark, sf),
-        "prescription_drug_events": si.pde(spark, sf),
-        "annual_cost_predictions": acp(spark, sf),
-    }
     out = None
-    for t, df in sources.items():
+    for t, df in _warehouse_sources(spark, sf).items():
         full_refresh(spark, f"{db}.{t}", df, t)
         c = spark.table(f"{db}.{t}").groupBy().agg(F.count(F.lit(1)).alias("n_rows")) \
             .select(F.lit(t).alias("table_name"), "n_rows")
