@@ -15,20 +15,19 @@ def keep_top(df: DataFrame, keys: list[str], by: str, tiebreak: list[str]) -> Da
     """SO2: per key subset keep the row with the highest ``by``.
 
     Ties on ``by`` keep the row that is smallest on ``tiebreak`` (a declared,
-    repeatable order).  Written as a max over a struct ordered
-    (by, -tiebreak...) instead of a row_number window: the aggregate combines
-    map-side, so a key holding a third of all rows is reduced to one row per
-    task before the shuffle instead of being sorted in one task.  Null keys
-    form their own group, as in a drop-duplicates.
+    repeatable order; any orderable types).  A null ``by`` loses to any value.
+    Written as a min over a struct ordered (by is null, -by, tiebreak...)
+    instead of a row_number window: the aggregate combines map-side, so a
+    key holding a third of all rows is reduced to one row per task before
+    the shuffle instead of being sorted in one task.  Null keys form their
+    own group, as in a drop-duplicates.
     """
-    others = [c for c in df.columns if c not in keys]
-    order_fields = [F.col(by).alias("_by")]
-    for i, t in enumerate(tiebreak):
-        # negate ascending tiebreaks so that max() picks the smallest
-        dt = df.schema[t].dataType.simpleString()
-        if dt in ("string",):
-            raise TypeError("string tiebreaks are not supported; use a numeric key")
-        order_fields.append((-F.col(t)).alias(f"_tb{i}"))
-    packed = F.struct(*order_fields, *[F.col(c) for c in others]).alias("_top")
-    top = df.groupBy(*keys).agg(F.max(packed).alias("_top"))
-    return top.select(*keys, *[F.col("_top")[c].alias(c) for c in others]).select(*df.columns)
+    others = [c for c in df.columns if c not in keys and c not in tiebreak and c != by]
+    order = [F.col(by).isNull().alias("_null"), (-F.col(by)).alias("_neg")]
+    order += [F.col(t).alias(f"_tb{i}") for i, t in enumerate(tiebreak)]
+    packed = F.struct(*order, F.col(by).alias("_by"), *[F.col(c) for c in others])
+    top = df.groupBy(*keys).agg(F.min(packed).alias("_top"))
+    picked = [F.col("_top._by").alias(by)]
+    picked += [F.col(f"_top._tb{i}").alias(t) for i, t in enumerate(tiebreak)]
+    picked += [F.col("_top")[c].alias(c) for c in others]
+    return top.select(*keys, *picked).select(*df.columns)

@@ -127,3 +127,14 @@ def test_row_index_is_consecutive(spark):
     pairs = sorted((r.i, r.k) for r in out)
     assert [i for i, _ in pairs] == list(range(5000))
     assert [k for _, k in pairs] == list(range(4999, -1, -1))
+
+
+def test_keep_top_string_and_date_tiebreaks(spark):
+    import datetime as dt
+    rows = [("k", 5.0, "b", dt.date(2009, 1, 1)), ("k", 5.0, "a", dt.date(2010, 1, 1)),
+            ("j", None, "a", dt.date(2008, 1, 1)), ("j", 1.0, "z", dt.date(2008, 1, 1))]
+    df = spark.createDataFrame(rows, "key string, p double, name string, d date")
+    by_name = sorted(tuple(r) for r in keep_top(df, ["key"], "p", ["name"]).collect())
+    assert by_name == [("j", 1.0, "z", dt.date(2008, 1, 1)), ("k", 5.0, "a", dt.date(2010, 1, 1))]
+    by_date = {r.key: r.name for r in keep_top(df, ["key"], "p", ["d"]).collect()}
+    assert by_date == {"k": "b", "j": "z"}
