@@ -633,10 +633,8 @@ def q_assemble_features(spark, sf):
 
 @register("train_test_split")
 def q_train_test_split(spark, sf):
-    from claimlake.plans.model import hash_split
-    tr, te = hash_split(features(spark, sf))
-    return (tr.select("PATIENT_ID", "AGE_YRS", F.lit("train").alias("split"))
-            .unionByName(te.select("PATIENT_ID", "AGE_YRS", F.lit("test").alias("split"))))
+    from claimlake.plans.model import split_label
+    return features(spark, sf).select("PATIENT_ID", "AGE_YRS", split_label().alias("split"))
 
 
 def _one_feature_fit(spark, sf):

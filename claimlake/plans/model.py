@@ -50,13 +50,20 @@ def prepare(features_df: DataFrame) -> tuple[PipelineModel, DataFrame]:
     return pm, pm.transform(features_df)
 
 
+def split_label(train_fraction: float = 0.7, seed: int = 42,
+                key_cols: tuple[str, ...] = ("PATIENT_ID", "AGE_YRS")) -> F.Column:
+    """ML3: 'train' / 'test' from a seeded hash of the row key (one projection, no pass)."""
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(SPLIT_BUCKETS))
+    cut = int(round(train_fraction * SPLIT_BUCKETS))
+    return F.when(bucket < cut, F.lit("train")).otherwise(F.lit("test"))
+
+
 def hash_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42,
                key_cols: tuple[str, ...] = ("PATIENT_ID", "AGE_YRS")) -> tuple[DataFrame, DataFrame]:
     """ML3: deterministic split by a seeded hash of the row key."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(SPLIT_BUCKETS))
-    cut = int(round(train_fraction * SPLIT_BUCKETS))
-    tagged = df.withColumn("_train", bucket < cut)
-    return (tagged.where("_train").drop("_train"), tagged.where("NOT _train").drop("_train"))
+    tagged = df.withColumn("_split", split_label(train_fraction, seed, key_cols))
+    return (tagged.where("_split = 'train'").drop("_split"),
+            tagged.where("_split = 'test'").drop("_split"))
 
 
 def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42):
