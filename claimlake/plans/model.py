@@ -44,9 +44,15 @@ def assembler(cols: list[str] = FEATURE_COLUMNS) -> VectorAssembler:
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip")
 
 
-def prepare(features_df: DataFrame) -> tuple[PipelineModel, DataFrame]:
+# The earlier, smaller model (3 categorical inputs, 7 features).
+V1_CATEGORICALS = ["GENDER", "RACE", "STATE"]
+V1_FEATURES = ["AGE_YRS", "GENDER_index", "RACE_index", "STATE_index", "DX", "PX", "HCPCS"]
+
+
+def prepare(features_df: DataFrame, categoricals: list[str] = CATEGORICAL_COLUMNS,
+            feature_cols: list[str] = FEATURE_COLUMNS) -> tuple[PipelineModel, DataFrame]:
     """ML7: indexer + assembler fitted on all rows, as the original did."""
-    pm = Pipeline(stages=[string_indexer(), assembler()]).fit(features_df)
+    pm = Pipeline(stages=[string_indexer(categoricals), assembler(feature_cols)]).fit(features_df)
     return pm, pm.transform(features_df)
 
 
@@ -93,10 +99,15 @@ class ModelRun:
         return self.model.evaluate(self.train if which == "train" else self.test).r2
 
 
-def run(features_df: DataFrame, seed: int = 42, train_fraction: float = 0.7) -> ModelRun:
-    """ML1-ML6: index, assemble, split, fit, score the test rows."""
+def run(features_df: DataFrame, seed: int = 42, train_fraction: float = 0.7,
+        categoricals: list[str] = CATEGORICAL_COLUMNS,
+        feature_cols: list[str] = FEATURE_COLUMNS) -> ModelRun:
+    """ML1-ML6: index, assemble, split, fit, score the test rows.
+
+    ``categoricals=V1_CATEGORICALS, feature_cols=V1_FEATURES`` gives the earlier model.
+    """
     base = features_df.persist(StorageLevel.MEMORY_AND_DISK)
-    _, assembled = prepare(base)
+    _, assembled = prepare(base, categoricals, feature_cols)
     train, test = hash_split(assembled, train_fraction, seed)
     model = fit(train)
     scored = model.transform(test)  # ML6: all columns kept, no rejoin needed

@@ -61,3 +61,10 @@ def test_join_aggregates_claims_before_joining(spark):
     plan = C.features(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     join_pos, agg_pos = plan.find("Join Inner"), plan.find("Aggregate [DESYNPUF_ID")
     assert 0 <= join_pos < agg_pos  # aggregate sits below (inside) the join
+
+
+def test_earlier_model_variant(spark):
+    from claimlake.plans.model import V1_CATEGORICALS, V1_FEATURES
+    m = run(C.features(spark, SF_SMALL), categoricals=V1_CATEGORICALS, feature_cols=V1_FEATURES)
+    assert len(m.model.coefficients) == 7
+    assert "SP_CHF_index" not in m.scored.columns and "STATE_index" in m.scored.columns
