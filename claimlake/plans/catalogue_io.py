@@ -363,3 +363,21 @@ def q_warehouse_refresh(spark, sf):
             .select(F.lit(t).alias("table_name"), "n_rows")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+@register("ingest_incremental_claims", V(ddl_sql(S.DRUG_EVENTS, PDE_EXPECTED, "pde"), "pde"))
+def q_ingest_incremental_claims(spark, sf):
+    """ST1 on raw archives: drug-event archives land in two drops; each is ingested once."""
+    from claimlake.sources.archives import write_zip_csv
+    from claimlake.streaming.incremental import run_archive_ingest
+    raw = _raw_drug_events(spark, sf)
+    root = scratch_path(spark, "incremental_claims")
+    early = F.col("SRVC_DT") < F.lit(dt.date(1995, 1, 1))
+    stem = ARCHIVE_STEMS["prescription_drug_events"]
+    args = (f"{root}/landing", "prescription_drug_events", f"{root}/target", f"{root}/checkpoint")
+    n = spark.sparkContext.defaultParallelism
+    write_zip_csv(raw.where(early), f"{root}/landing", f"{stem}_A", files=n)
+    run_archive_ingest(spark, *args)
+    write_zip_csv(raw.where(~early | F.col("SRVC_DT").isNull()), f"{root}/landing", f"{stem}_B", files=n)
+    run_archive_ingest(spark, *args)
+    return spark.read.schema(S.table_struct("prescription_drug_events")).parquet(f"{root}/target")

@@ -65,6 +65,12 @@ def scan_zip_lines(spark: SparkSession, root: str, columns: list[str], glob: str
     the JVM.  When a file's header differs from ``columns`` (other order,
     missing columns) its records are rewritten in ``columns`` order here.
     """
+    return archive_records(list_archives(spark, root, glob), columns, encoding, chunk_rows)
+
+
+def archive_records(listing: DataFrame, columns: list[str], encoding: str = RAW_ENCODING,
+                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Records of the archives named in ``listing.path`` (a batch or a streaming listing)."""
     cols = list(columns)
 
     def read_archives(batches):
@@ -106,7 +112,7 @@ def scan_zip_lines(spark: SparkSession, root: str, columns: list[str], glob: str
                         if buf:
                             yield pd.DataFrame({"line": buf, "_source_file": path, "_member": member})
 
-    return list_archives(spark, root, glob).mapInPandas(
+    return listing.select("path").mapInPandas(
         read_archives, "line string, _source_file string, _member string")
 
 
@@ -125,6 +131,11 @@ def scan_zip_csv(spark: SparkSession, root: str, raw_schema: T.StructType, glob:
     lines = scan_zip_lines(spark, root, cols, glob, encoding, chunk_rows)
     if rebalance:
         lines = lines.hint("rebalance")
+    return parse_records(lines, cols)
+
+
+def parse_records(lines: DataFrame, cols: list[str]) -> DataFrame:
+    """CSV records -> one text column per name, parsed by the JVM CSV parser."""
     ddl = ", ".join(f"`{c}` STRING" for c in cols)
     parsed = lines.select(F.from_csv("line", ddl, {"escape": '"', "mode": "PERMISSIVE"}).alias("_r"),
                           "_source_file", "_member")

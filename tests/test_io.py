@@ -108,3 +108,24 @@ def test_incremental_equals_batch_and_reruns_add_nothing(spark, tmp_dir):
     spark.range(100, 105).select("id", F.col("id").cast("string").alias("v")).write.mode("append").parquet(landing)
     assert run_incremental(spark, landing, st, target, ck)["rows"] == 5
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == list(range(105))
+
+
+def test_incremental_archive_ingest(spark, tmp_dir):
+    from claimlake.streaming.incremental import run_archive_ingest
+    landing, target, ck = (os.path.join(tmp_dir, x) for x in ("landing", "target", "ck"))
+    os.makedirs(landing)
+    cols = [n for n, _ in S.DRUG_EVENTS]
+
+    def drop(name, ids):
+        lines = [",".join(cols)] + [f"P{i},{i},2009010{i % 9 + 1},{i},{i}.9,{i % 30},0.5,{i}.25" for i in ids]
+        _zip(os.path.join(landing, f"{name}.zip"), [(f"{name}.csv", "\n".join(lines) + "\n")])
+
+    drop("DE1_0_2008_to_2010_Prescription_Drug_Events_Sample_1", range(0, 50))
+    run_archive_ingest(spark, landing, "prescription_drug_events", target, ck)
+    run_archive_ingest(spark, landing, "prescription_drug_events", target, ck)  # nothing new
+    drop("DE1_0_2008_to_2010_Prescription_Drug_Events_Sample_2", range(50, 80))
+    run_archive_ingest(spark, landing, "prescription_drug_events", target, ck)
+    rows = spark.read.schema(S.table_struct("prescription_drug_events")).parquet(target).collect()
+    assert sorted(r.PDE_ID for r in rows) == list(range(80))
+    r7 = next(r for r in rows if r.PDE_ID == 7)
+    assert (r7.SRVC_DT, r7.QTY_DSPNSD_NUM, r7.TOT_RX_CST_AMT) == (dt.date(2009, 1, 8), 7, 7.25)
