@@ -74,11 +74,6 @@ def type_raw(raw: DataFrame, table: str) -> DataFrame:
     return raw.select(*typed, rejected, *extra)
 
 
-def clean_claims_text(df: DataFrame, table: str) -> DataFrame:
-    """Typing only (no archive): for raw text already in a DataFrame (CSV scans, tests)."""
-    return type_raw(df, table)
-
-
 @dataclass
 class IngestResult:
     table: str

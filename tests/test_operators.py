@@ -138,3 +138,10 @@ def test_keep_top_string_and_date_tiebreaks(spark):
     assert by_name == [("j", 1.0, "z", dt.date(2008, 1, 1)), ("k", 5.0, "a", dt.date(2010, 1, 1))]
     by_date = {r.key: r.name for r in keep_top(df, ["key"], "p", ["d"]).collect()}
     assert by_date == {"k": "b", "j": "z"}
+
+
+def test_approx_median_close(spark):
+    df = spark.range(10001).select((F.col("id") % 3).alias("g"), (F.col("id") * 1.0).alias("v"))
+    exact = {r.g: r.m for r in grouped_median(df, ["g"], "v", "m").collect()}
+    approx = {r.g: r.m for r in grouped_median(df, ["g"], "v", "m", approx_accuracy=10000).collect()}
+    assert all(abs(exact[g] - approx[g]) <= 3.0 for g in exact)
