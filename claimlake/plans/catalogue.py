@@ -624,7 +624,28 @@ def q_string_index(spark, sf):
     return idx.select(F.inline(pairs)).distinct()
 
 
-@register("assemble_features")
+def _assemble_sql() -> str:
+    from claimlake.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS
+    ctes, joins = [], []
+    for i, c in enumerate(CATEGORICAL_COLUMNS):
+        ctes.append(f"""ix{i} AS (SELECT CAST({c} AS VARCHAR) AS v,
+    CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS DOUBLE) AS i
+    FROM features GROUP BY {c})""")
+        joins.append(f"JOIN ix{i} ON CAST(f.{c} AS VARCHAR) = ix{i}.v")
+    pos = {c: i for i, c in enumerate(CATEGORICAL_COLUMNS)}
+    vals = []
+    for col in FEATURE_COLUMNS:
+        if col.endswith("_index"):
+            vals.append(f"CAST(ix{pos[col[:-len('_index')]]}.i AS VARCHAR)")
+        else:
+            vals.append(f"CAST(CAST(f.{col} AS DOUBLE) AS VARCHAR)")
+    body = (", ".join(ctes) + f"""
+SELECT f.PATIENT_ID, '[' || concat_ws(',', {', '.join(vals)}) || ']' AS features
+FROM features f {' '.join(joins)}""")
+    return V("SELECT 1", "features").replace("\nSELECT 1", ",\n" + body)
+
+
+@register("assemble_features", _assemble_sql())
 def q_assemble_features(spark, sf):
     from claimlake.plans.model import prepare, vector_text
     _, a = prepare(features(spark, sf))

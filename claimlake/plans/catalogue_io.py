@@ -167,7 +167,22 @@ def _db(spark, tables):
     return db
 
 
-@register("table_ddl")
+_SPARK_TYPE_NAMES = {"string": "string", "date": "date", "short": "smallint", "int": "int",
+                     "long": "bigint", "double": "double"}
+_TABLE_SOURCES_SQL = {"beneficiary_summary": "ben", "inpatient_claims": "inp", "outpatient_claims": "inp",
+                      "prescription_drug_events": "pde", "annual_cost_predictions": "acp"}
+
+
+def _table_ddl_sql() -> str:
+    parts = []
+    for t, layout in S.TABLES.items():
+        for name, kind in layout:
+            parts.append(f"SELECT '{t}' AS table_name, '{name}' AS col_name, '{_SPARK_TYPE_NAMES[kind]}' AS data_type, "
+                         f"(SELECT count(*) FROM {_TABLE_SOURCES_SQL[t]}) AS table_rows")
+    return V(" UNION ALL ".join(parts), "ben", "inp", "pde", "acp")
+
+
+@register("table_ddl", _table_ddl_sql())
 def q_table_ddl(spark, sf):
     """SK6: the five tables as created from the DDL, each filled once; columns with row counts."""
     from claimlake.plans.warehouse import full_refresh
@@ -177,7 +192,7 @@ def q_table_ddl(spark, sf):
         full_refresh(spark, f"{db}.{t}", df, t)
         rows = spark.table(f"{db}.{t}").count()
         d = spark.sql(f"DESCRIBE TABLE {db}.{t}").select(
-            F.lit(t).alias("table_name"), "col_name", "data_type", F.lit(rows).alias("table_rows"))
+            F.lit(t).alias("table_name"), "col_name", "data_type", F.lit(rows).cast("long").alias("table_rows"))
         out = d if out is None else out.unionByName(d)
     return out
 
