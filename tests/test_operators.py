@@ -145,3 +145,13 @@ def test_approx_median_close(spark):
     exact = {r.g: r.m for r in grouped_median(df, ["g"], "v", "m").collect()}
     approx = {r.g: r.m for r in grouped_median(df, ["g"], "v", "m", approx_accuracy=10000).collect()}
     assert all(abs(exact[g] - approx[g]) <= 3.0 for g in exact)
+
+
+def test_approx_distinct_within_error(spark):
+    from claimlake.operators.aggregate import approx_distinct_columns
+    df = spark.range(20000).select((F.col("id") % 7).alias("a"), (F.col("id") % 5003).alias("b"),
+                                   F.col("id").cast("string").alias("c"))
+    got = {r.column: r.approx_distinct for r in approx_distinct_columns(df, 0.02).collect()}
+    exact = {"a": 7, "b": 5003, "c": 20000}
+    for k, v in exact.items():
+        assert abs(got[k] - v) <= 0.06 * v
