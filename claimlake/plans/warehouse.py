@@ -36,13 +36,19 @@ def create_schema(spark: SparkSession, db: str, root: str, tables: list[str] | N
     spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}.db'")
     locs = {}
     for t in tables or list(S.TABLES):
-        loc = f"{root}/{db}.db/{t}/v-initial"
+        loc = f"{root}/{db}.db/{t}/{_version_name(0)}"
         spark.sql(f"DROP TABLE IF EXISTS {db}.{t}")
         spark.sql(S.create_table_sql(f"{db}.{t}", S.TABLES[t], loc))
         locs[t] = loc
     return locs
 
 
+def _version_name(millis: int | None = None) -> str:
+    """Version folder names sort by creation time: v-<epoch ms>-<random>."""
+    ms = int(time.time() * 1000) if millis is None else millis
+    return f"v-{ms:013d}-{uuid.uuid4().hex[:8]}"
+
+
 def table_location(spark: SparkSession, qualified: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}").where("col_name = 'Location'").collect()
     return rows[0]["data_type"]
@@ -53,13 +59,38 @@ def full_refresh(spark: SparkSession, qualified: str, df: DataFrame, table: str
     table = table or qualified.split(".")[-1]
     current = table_location(spark, qualified).rstrip("/")
     base = current.rsplit("/", 1)[0]
-    staged = f"{base}/v-{uuid.uuid4().hex[:12]}"
+    staged = f"{base}/{_version_name()}"
     conform(df, table).write.mode("errorifexists").parquet(staged)
     spark.sql(f"ALTER TABLE {qualified} SET LOCATION '{staged}'")
     spark.catalog.refreshTable(qualified)
     return staged
 
 
+def drop_old_versions(spark: SparkSession, qualified: str, keep_previous: int = 1) -> list[str]:
+    """Delete version folders of a refreshed table except the current one and the
+    ``keep_previous`` newest before it (readers may still be scanning those).
+
+    Driver-side metadata work only (a folder listing and deletes through the
+    Hadoop FileSystem API); returns the deleted paths.
+    """
+    current = table_location(spark, qualified).rstrip("/")
+    base = current.rsplit("/", 1)[0]
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base_path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = base_path.getFileSystem(conf)
+    versions = [st for st in fs.listStatus(base_path)
+                if st.isDirectory() and st.getPath().getName().startswith("v-")]
+    versions.sort(key=lambda st: st.getPath().getName(), reverse=True)
+    cur_name = current.rsplit("/", 1)[-1]
+    older = [st for st in versions if st.getPath().getName() != cur_name]
+    deleted = []
+    for st in older[keep_previous:]:
+        fs.delete(st.getPath(), True)
+        deleted.append(str(st.getPath()))
+    return deleted
+
+
 def append(spark: SparkSession, qualified: str, df: DataFrame, table: str | None = None) -> None:
     """SK5: append rows, matching columns by name."""
     table = table or qualified.split(".")[-1]

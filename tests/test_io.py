@@ -129,3 +129,17 @@ def test_incremental_archive_ingest(spark, tmp_dir):
     assert sorted(r.PDE_ID for r in rows) == list(range(80))
     r7 = next(r for r in rows if r.PDE_ID == 7)
     assert (r7.SRVC_DT, r7.QTY_DSPNSD_NUM, r7.TOT_RX_CST_AMT) == (dt.date(2009, 1, 8), 7, 7.25)
+
+
+def test_old_versions_are_dropped_but_current_kept(spark, tmp_dir):
+    from claimlake.plans.warehouse import drop_old_versions
+    db = "cms_test_versions"
+    create_schema(spark, db, tmp_dir, ["prescription_drug_events"])
+    t = f"{db}.prescription_drug_events"
+    for i in range(4):
+        full_refresh(spark, t, spark.createDataFrame([(f"id{i}", i)], "DESYNPUF_ID string, PDE_ID long"))
+    deleted = drop_old_versions(spark, t, keep_previous=1)
+    assert len(deleted) >= 2  # two old loads (and the initial folder if it was created)
+    base = os.path.join(tmp_dir, f"{db}.db", "prescription_drug_events")
+    assert len([d for d in os.listdir(base) if d.startswith("v-")]) == 2  # current + one previous
+    assert [r.DESYNPUF_ID for r in spark.table(t).collect()] == ["id3"]
