@@ -23,7 +23,9 @@ def split_token(s, n: int, sep: str = " ") -> Column:
 
 
 def token_count(s, sep: str = " ") -> Column:
-    return F.size(F.split(_c(s), F.lit(sep), -1))
+    """Number of ``sep``-separated tokens; null for null input (also when ANSI is off)."""
+    col = _c(s)
+    return F.when(col.isNotNull(), F.size(F.split(col, F.lit(sep), -1)))
 
 
 def text_in_parens(s) -> Column:

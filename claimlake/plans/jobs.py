@@ -23,7 +23,8 @@ from claimlake.plans.features import feature_table
 from claimlake.plans.ingest import TABLE_PREFIXES, ingest, read_ingested
 from claimlake.plans.model import run as run_model
 from claimlake.plans.model import scored_table
-from claimlake.plans.warehouse import create_schema, full_refresh, write_predictions
+from claimlake.plans.warehouse import (create_schema, drop_old_versions, full_refresh,
+                                       write_predictions)
 
 # File-name patterns of the four raw file kinds.
 ARCHIVE_GLOBS = {
@@ -86,8 +87,11 @@ def model_job(spark: SparkSession, lake: str, predictions_path: str, seed: int =
 
 
 def warehouse_job(spark: SparkSession, db: str, root: str, lake: str, predictions_path: str,
-                  create: bool = True) -> dict:
-    """Full refresh of the five tables from the lake and the scored table."""
+                  create: bool = True, keep_previous: int = 1) -> dict:
+    """Full refresh of the five tables from the lake and the scored table.
+
+    After each swap, version folders older than ``keep_previous`` loads are removed.
+    """
     if create:
         create_schema(spark, db, root)
     counts = {}
@@ -97,6 +101,7 @@ def warehouse_job(spark: SparkSession, db: str, root: str, lake: str, prediction
         else:
             src = lake_table(spark, lake, table)
         full_refresh(spark, f"{db}.{table}", src, table)
+        drop_old_versions(spark, f"{db}.{table}", keep_previous)
         counts[table] = spark.table(f"{db}.{table}").count()
     return counts
 
