@@ -311,8 +311,8 @@ def q_fill_null_date(spark, sf):
 
 
 @register("fill_zero_short", """SELECT l_orderkey * 10 + l_linenumber AS PDE_ID,
-  CAST(coalesce(TRY_CAST(trunc(CASE WHEN l_linenumber = 1 THEN NULL ELSE l_quantity + l_discount END)
-       AS SMALLINT), 0) AS SMALLINT) AS QTY_DSPNSD_NUM FROM lineitem""")
+  CASE WHEN l_linenumber = 1 THEN CAST(0 AS SMALLINT)
+       ELSE TRY_CAST(trunc(l_quantity + l_discount) AS SMALLINT) END AS QTY_DSPNSD_NUM FROM lineitem""")
 def q_fill_zero_short(spark, sf):
     """FN3: blank quantity -> 0; fractional quantity truncated (30.9 -> 30)."""
     from claimlake.functions.clean import fill_zero_short
