@@ -68,3 +68,35 @@ def test_earlier_model_variant(spark):
     m = run(C.features(spark, SF_SMALL), categoricals=V1_CATEGORICALS, feature_cols=V1_FEATURES)
     assert len(m.model.coefficients) == 7
     assert "SP_CHF_index" not in m.scored.columns and "STATE_index" in m.scored.columns
+
+
+def test_feature_table_edge_cases(spark):
+    import datetime as dt
+
+    from claimlake.plans.features import feature_table
+    from claimlake.schemas import CONDITION_FLAGS
+    flags = ", ".join(f"{c} smallint" for c in CONDITION_FLAGS)
+    ben_schema = (f"DESYNPUF_ID string, BENE_BIRTH_DT date, BENE_SEX_IDENT_CD smallint, BENE_RACE_CD smallint, "
+                  f"SP_STATE_CODE smallint, {flags}, BENRES_IP double")
+    f1, f2 = [1] * len(CONDITION_FLAGS), [2] * len(CONDITION_FLAGS)
+    ben = spark.createDataFrame([
+        ("A", dt.date(1940, 1, 1), 1, 1, 5, *f1, 0.0),      # two years of one patient, other flags
+        ("A", dt.date(1940, 1, 1), 1, 1, 5, *f2, 300.0),
+        ("B", dt.date(1950, 6, 1), 2, 3, 7, *f1, 10.0),     # all claims blank-dated
+        ("C", dt.date(1960, 1, 1), 2, 2, 9, *f1, 20.0),     # no claims
+    ], ben_schema)
+    inp = spark.createDataFrame([
+        ("A", dt.date(2009, 1, 1), "4280", "nan", None),
+        ("A", dt.date(2010, 1, 1), "nan", "9904", "nan"),
+        ("A", None, None, "V5789", None),
+        ("B", None, "V5789", None, None),
+        ("Z", dt.date(2009, 1, 1), "4280", "1", "2"),        # claims without a beneficiary
+    ], "DESYNPUF_ID string, CLM_FROM_DT date, ICD9_DGNS_CD_1 string, ICD9_PRCDR_CD_1 string, HCPCS_CD_1 string")
+    rows = feature_table(ben, inp).collect()
+    assert sorted(r.PATIENT_ID for r in rows) == ["A", "A", "B"]
+    a = [r for r in rows if r.PATIENT_ID == "A"]
+    assert {(r.DX, r.PX, r.HCPCS) for r in a} == {(1, 2, 0)}
+    assert {r.ANNUAL_COST for r in a} == {0.0, 300.0} and {r.SP_CHF for r in a} == {1, 2}
+    assert a[0].AGE_YRS == (dt.date(2010, 1, 1) - dt.date(1940, 1, 1)).days / 365.0
+    b = next(r for r in rows if r.PATIENT_ID == "B")
+    assert b.AGE_YRS == (dt.date(2008, 1, 1) - dt.date(1950, 6, 1)).days / 365.0  # filled claim date
