@@ -162,7 +162,7 @@ def _warehouse_sources(spark, sf) -> dict:
 
 def _db(spark, tables):
     from claimlake.plans.warehouse import create_schema
-    db = f"cms_{uuid.uuid4().hex[:8]}"
+    db = f"claims_{uuid.uuid4().hex[:8]}"
     create_schema(spark, db, scratch_path(spark, "warehouse"), tables)
     return db
 
@@ -369,7 +369,7 @@ UNION ALL SELECT 'annual_cost_predictions', count(*) FROM acp""", "ben", "inp",
 def q_warehouse_refresh(spark, sf):
     """JB8: full refresh of all five warehouse tables, then their row counts."""
     from claimlake.plans.warehouse import create_schema, full_refresh
-    db = f"cms_{uuid.uuid4().hex[:8]}"
+    db = f"claims_{uuid.uuid4().hex[:8]}"
     create_schema(spark, db, scratch_path(spark, "warehouse"))
     out = None
     for t, df in _warehouse_sources(spark, sf).items():

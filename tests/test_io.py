@@ -82,7 +82,7 @@ def test_ingest_types_and_quarantines_without_dropping(spark, tmp_dir):
 
 
 def test_full_refresh_replaces_and_append_matches_by_name(spark, tmp_dir):
-    db = "cms_test_refresh"
+    db = "claims_test_refresh"
     create_schema(spark, db, tmp_dir, ["prescription_drug_events"])
     t = f"{db}.prescription_drug_events"
     first = spark.createDataFrame([("a", 1, 5.0)], "DESYNPUF_ID string, PDE_ID long, TOT_RX_CST_AMT double")
@@ -133,7 +133,7 @@ def test_incremental_archive_ingest(spark, tmp_dir):
 
 def test_old_versions_are_dropped_but_current_kept(spark, tmp_dir):
     from claimlake.plans.warehouse import drop_old_versions
-    db = "cms_test_versions"
+    db = "claims_test_versions"
     create_schema(spark, db, tmp_dir, ["prescription_drug_events"])
     t = f"{db}.prescription_drug_events"
     for i in range(4):

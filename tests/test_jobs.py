@@ -28,10 +28,10 @@ def test_end_to_end(spark, tmp_dir):
     summary = model_job(spark, lake, preds, log_path=log)
     assert 0 < summary["scored_rows"] < 150 and len(summary["coefficients"]) == 18
 
-    counts = warehouse_job(spark, "cms_e2e", os.path.join(tmp_dir, "wh"), lake, preds)
+    counts = warehouse_job(spark, "claims_e2e", os.path.join(tmp_dir, "wh"), lake, preds)
     assert counts["beneficiary_summary"] == 150 and counts["annual_cost_predictions"] == summary["scored_rows"]
 
-    scored = spark.table("cms_e2e.annual_cost_predictions")
+    scored = spark.table("claims_e2e.annual_cost_predictions")
     pack = dashboard_pack(scored)
     states = pack["median_cost_by_state"].collect()
     assert sum(1 for _ in states) == scored.select("STATE").distinct().count()
