@@ -35,3 +35,11 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["STATE", "median_prediction"]
     assert df.count() > 0
+
+
+def test_every_survey_id_has_registered_queries():
+    from tools.coverage import COVERAGE
+    missing = [(sid, k) for sid, (_, keys) in COVERAGE.items() for k in keys if k not in QUERIES]
+    assert not missing
+    covered = {k for _, keys in COVERAGE.values() for k in keys}
+    assert covered == set(QUERIES)
