@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -52,8 +53,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    # Unset (local tests only): make our own.
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="claimlake-ckpt-"))
+    # Unset (local tests only): make our own.  On a cluster this must be a
+    # shared folder, so say loudly that a machine-local one is being used.
+    local = tempfile.mkdtemp(prefix="claimlake-ckpt-")
+    if not sc.master.startswith("local"):
+        warnings.warn(f"spark.checkpoint.dir is not set; using machine-local {local}. "
+                      "Set it to a shared folder on a cluster.", RuntimeWarning, stacklevel=2)
+    sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
 
 
