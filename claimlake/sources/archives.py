@@ -116,19 +116,44 @@ def archive_records(listing: DataFrame, columns: list[str], encoding: str = RAW_
         read_archives, "line string, _source_file string, _member string")
 
 
+# Fixed value: an archive this many times larger than the average counts as hot.
+HOT_ARCHIVE_RATIO = 4.0
+
+
+def needs_rebalance(spark: SparkSession, listing: DataFrame) -> bool:
+    """Size check on the archive listing (file metadata only, no archive is read).
+
+    Spread the records over the cluster when one archive is much larger than
+    the average (it would otherwise be parsed, typed and written by one task)
+    or when there are fewer archives than task slots.
+    """
+    stats = listing.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("big"),
+                        F.avg("length").alias("avg")).first()
+    if not stats["n"]:
+        return False
+    few = stats["n"] < spark.sparkContext.defaultParallelism
+    hot = stats["avg"] and stats["big"] > HOT_ARCHIVE_RATIO * stats["avg"]
+    return bool(few or hot)
+
+
 def scan_zip_csv(spark: SparkSession, root: str, raw_schema: T.StructType, glob: str = "*.zip",
                  encoding: str = RAW_ENCODING, chunk_rows: int = CHUNK_ROWS,
-                 rebalance: bool = True) -> DataFrame:
+                 rebalance: bool | str = "auto") -> DataFrame:
     """SC3: rows of the first CSV member of every archive under ``root``, all text.
 
     Adds ``_source_file`` (archive path) and ``_member`` (member name).  Columns
-    are matched by header name; a column the file lacks is null.  With
-    ``rebalance`` the raw records are spread over evenly sized tasks (AQE splits
-    a hot archive's output) before they are parsed, so one huge archive costs
-    one task of decompression, not one task of parsing, typing and writing.
+    are matched by header name; a column the file lacks is null.  When
+    rebalancing (``"auto"``: decided by :func:`needs_rebalance`) the raw records
+    are spread over evenly sized tasks (AQE splits a hot archive's output)
+    before they are parsed, so one huge archive costs one task of
+    decompression, not one task of parsing, typing and writing; with many
+    similar archives the records are parsed in place, without a shuffle.
     """
     cols = [f.name for f in raw_schema.fields]
-    lines = scan_zip_lines(spark, root, cols, glob, encoding, chunk_rows)
+    listing = list_archives(spark, root, glob)
+    if rebalance == "auto":
+        rebalance = needs_rebalance(spark, listing)
+    lines = archive_records(listing, cols, encoding, chunk_rows)
     if rebalance:
         lines = lines.hint("rebalance")
     return parse_records(lines, cols)

@@ -143,3 +143,14 @@ def test_old_versions_are_dropped_but_current_kept(spark, tmp_dir):
     base = os.path.join(tmp_dir, f"{db}.db", "prescription_drug_events")
     assert len([d for d in os.listdir(base) if d.startswith("v-")]) == 2  # current + one previous
     assert [r.DESYNPUF_ID for r in spark.table(t).collect()] == ["id3"]
+
+
+def test_rebalance_decision_from_listing(spark, tmp_dir):
+    from claimlake.sources.archives import list_archives, needs_rebalance
+    for i in range(3):
+        _zip(os.path.join(tmp_dir, f"s{i}.zip"), [("a.csv", "A,B\n" + "1,x\n" * 10)])
+    assert needs_rebalance(spark, list_archives(spark, tmp_dir))  # fewer archives than task slots
+    rows = spark.createDataFrame([(f"p{i}", 100) for i in range(50)] + [("big", 100000)], "path string, length long")
+    assert needs_rebalance(spark, rows)  # one hot archive
+    even = spark.createDataFrame([(f"p{i}", 100 + i) for i in range(50)], "path string, length long")
+    assert not needs_rebalance(spark, even)
