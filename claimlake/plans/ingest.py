@@ -60,18 +60,22 @@ def _typed(table: str, name: str, kind: str, raw: Column) -> Column:
 
 
 def type_raw(raw: DataFrame, table: str) -> DataFrame:
-    """Text columns -> DDL types, plus ``_rejected`` (columns whose value was lost)."""
+    """Text columns -> DDL types, plus ``_rejected`` (columns whose value was lost).
+
+    Two projections: the typed values (each conversion built once) next to a
+    presence flag of every raw value, then ``_rejected`` from plain null checks.
+    """
     layout = S.TABLES[table]
-    typed, lost = [], []
-    for name, kind in layout:
+    typed, present = [], []
+    for i, (name, kind) in enumerate(layout):
         r = F.col(name)
-        t = _typed(table, name, kind, r)
-        typed.append(t.alias(name))
-        present = r.isNotNull() & (F.trim(r) != "")
-        lost.append(F.when(present & t.isNull(), F.lit(name)))
+        typed.append(_typed(table, name, kind, r).alias(name))
+        present.append((r.isNotNull() & (F.trim(r) != "")).alias(f"_p{i}"))
+    extra = [c for c in ("_source_file",) if c in raw.columns]
+    step = raw.select(*typed, *present, *extra)
+    lost = [F.when(F.col(f"_p{i}") & F.col(name).isNull(), F.lit(name)) for i, (name, _) in enumerate(layout)]
     rejected = F.filter(F.array(*lost), lambda x: x.isNotNull()).alias("_rejected")
-    extra = [F.col(c) for c in ("_source_file",) if c in raw.columns]
-    return raw.select(*typed, rejected, *extra)
+    return step.select(*[n for n, _ in layout], rejected, *extra)
 
 
 @dataclass
