@@ -155,3 +155,20 @@ def test_approx_distinct_within_error(spark):
     exact = {"a": 7, "b": 5003, "c": 20000}
     for k, v in exact.items():
         assert abs(got[k] - v) <= 0.06 * v
+
+
+def test_select_matching_and_slice(spark):
+    from claimlake.operators.project import select_matching, select_slice
+    df = spark.createDataFrame([(1, "a", "b", "c", 2.0)], "id int, HCPCS_CD_1 string, HCPCS_CD_2 string, CLM_DRG_CD string, x double")
+    assert select_matching(df, r"HCPCS_CD_\d+|CLM_DRG_CD").columns == ["HCPCS_CD_1", "HCPCS_CD_2", "CLM_DRG_CD"]
+    assert select_slice(df, 1, 3).columns == ["HCPCS_CD_1", "HCPCS_CD_2"]
+
+
+def test_random_split_seeded_and_complete(spark):
+    from claimlake.plans.model import random_split
+    df = spark.range(2000)
+    a, b = random_split(df, 0.7, seed=5)
+    a2, _ = random_split(df, 0.7, seed=5)
+    ids_a = {r.id for r in a.collect()}
+    assert ids_a == {r.id for r in a2.collect()}
+    assert ids_a.isdisjoint({r.id for r in b.collect()}) and len(ids_a) + b.count() == 2000
