@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from claimlake.plans import catalogue as C
 from claimlake.plans import standins as si
-from claimlake.plans.model import fit, hash_split, prepare, run
+from claimlake.plans.model import fit, hash_split, run
 from claimlake.schemas import DEDUPE_KEYS, PREDICTIONS
 from tests.conftest import SF_ORACLE, SF_SMALL
 
