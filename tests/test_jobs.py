@@ -49,3 +49,14 @@ def test_profile_job(spark, tmp_dir):
     distinct = {r.column_name: r.n_distinct for r in out["distinct"].collect()}
     assert distinct["DESYNPUF_ID"] == 150 and distinct["BENE_SEX_IDENT_CD"] == 2
     assert out["group_mean"].where("column_name = 'BENE_SEX_IDENT_CD'").count() == 2
+
+
+def test_command_line_dashboards(spark, tmp_dir):
+    from claimlake.__main__ import main, parser
+    args = parser().parse_args(["ingest", "--landing", "a", "--lake", "b"])
+    assert (args.job, args.landing, args.lake, args.log) == ("ingest", "a", "b", None)
+    preds = os.path.join(tmp_dir, "p")
+    C.acp(spark, SF_SMALL).write.parquet(preds)
+    out = os.path.join(tmp_dir, "dash")
+    assert main(["dashboards", "--predictions", preds, "--out", out]) == 0
+    assert spark.read.parquet(os.path.join(out, "median_cost_by_state")).count() > 0
