@@ -23,6 +23,8 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     """JO2: join on all common columns, keeping one copy of each.
 
     Keys compare null-safe (missing equals missing), as a data-frame merge does.
+    Equal keys on both sides multiply rows (that is the semantics being kept);
+    the scoring path never needs this join - ``transform`` keeps every column.
     """
     common = [c for c in left.columns if c in right.columns]
     if not common:
