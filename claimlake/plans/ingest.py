@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from claimlake import schemas as S
 from claimlake.functions import clean
 from claimlake.sources.archives import scan_zip_csv
+from claimlake.sources.files import RAW_ENCODING
 
 # Which columns each raw file gets special cleaning on.
 DATE_COLUMNS = {
@@ -86,10 +87,32 @@ class IngestResult:
     rejected_rows: int
 
 
+def scan_raw_csv(spark: SparkSession, source_root: str, table: str, glob: str = "*.csv") -> DataFrame:
+    """Plain (unzipped) raw files: Spark's CSV reader, all text, header names checked.
+
+    Uncompressed CSV is splittable, so one large file is read by many tasks.
+    ``enforceSchema=false`` makes Spark compare each file's header with the
+    table's column names and fail on a mismatch instead of mapping by position.
+    """
+    raw = (spark.read.schema(S.raw_struct(S.TABLES[table]))
+           .option("header", True).option("enforceSchema", False)
+           .option("encoding", RAW_ENCODING).option("mode", "PERMISSIVE")
+           .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+           .csv(source_root))
+    return raw.withColumn("_source_file", F.col("_metadata.file_path"))
+
+
 def ingest(spark: SparkSession, source_root: str, table: str, target_root: str,
            glob: str = "*.zip", max_rows_per_file: int = MAX_ROWS_PER_FILE) -> IngestResult:
-    """JB1-JB4: archives under ``source_root`` -> ``<target_root>/<Table_Prefix>/`` (append)."""
-    raw = scan_zip_csv(spark, source_root, S.raw_struct(S.TABLES[table]), glob)
+    """JB1-JB4: raw files under ``source_root`` -> ``<target_root>/<Table_Prefix>/`` (append).
+
+    ``glob`` picks the file kind: ``*.zip`` archives (first member read) or
+    ``*.csv`` plain files.
+    """
+    if glob.lower().endswith(".csv"):
+        raw = scan_raw_csv(spark, source_root, table, glob)
+    else:
+        raw = scan_zip_csv(spark, source_root, S.raw_struct(S.TABLES[table]), glob)
     typed = type_raw(raw, table)
     obs = Observation(f"ingest_{table}")
     typed = typed.observe(obs, F.count(F.lit(1)).alias("rows"),

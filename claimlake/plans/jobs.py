@@ -48,18 +48,24 @@ def _append_log(spark: SparkSession, log_path: str | None, job: str, files: int,
 
 
 def ingest_all(spark: SparkSession, landing: str, lake: str, log_path: str | None = None) -> dict:
-    """Ingest every archive kind found under ``landing``; returns rows/rejected per table."""
+    """Ingest every raw file kind found under ``landing`` (ZIP archives and plain CSV);
+    returns files/rows/rejected per table."""
     from claimlake.sources.archives import list_archives
     out = {}
     started = time.time()
     files = 0
-    for table, glob in ARCHIVE_GLOBS.items():
-        n = list_archives(spark, landing, glob).count()
-        if n == 0:
-            continue
-        files += n
-        res = ingest(spark, landing, table, lake, glob)
-        out[table] = {"archives": n, "rows": res.rows, "rejected_rows": res.rejected_rows, "path": res.path}
+    for table, zip_glob in ARCHIVE_GLOBS.items():
+        # archives and plain CSV files of the same kind both feed the table
+        for glob in (zip_glob, zip_glob[:-len(".zip")] + ".csv"):
+            n = list_archives(spark, landing, glob).count()
+            if n == 0:
+                continue
+            files += n
+            res = ingest(spark, landing, table, lake, glob)
+            acc = out.setdefault(table, {"archives": 0, "rows": 0, "rejected_rows": 0, "path": res.path})
+            acc["archives"] += n
+            acc["rows"] += res.rows
+            acc["rejected_rows"] += res.rejected_rows
     _append_log(spark, log_path, "ingest", files, sum(v["rows"] for v in out.values()),
                 time.time() - started)
     return out

@@ -154,3 +154,27 @@ def test_rebalance_decision_from_listing(spark, tmp_dir):
     assert needs_rebalance(spark, rows)  # one hot archive
     even = spark.createDataFrame([(f"p{i}", 100 + i) for i in range(50)], "path string, length long")
     assert not needs_rebalance(spark, even)
+
+
+def test_plain_csv_ingest_equals_archive_ingest(spark, tmp_dir):
+    from claimlake.plans import catalogue_io as C
+    from claimlake.sources.archives import write_zip_csv
+    from tests.conftest import SF_SMALL
+    raw = C._raw_drug_events(spark, SF_SMALL)
+    csv_dir, zip_dir = os.path.join(tmp_dir, "csv"), os.path.join(tmp_dir, "zip")
+    raw.write.option("header", True).option("encoding", "ISO-8859-1").option("dateFormat", "yyyyMMdd").csv(csv_dir)
+    write_zip_csv(raw, zip_dir, "DE1_0_Prescription_Drug_Events_Sample", files=2)
+    a = ingest(spark, csv_dir, "prescription_drug_events", os.path.join(tmp_dir, "lake_csv"), glob="*.csv")
+    b = ingest(spark, zip_dir, "prescription_drug_events", os.path.join(tmp_dir, "lake_zip"))
+    assert a.rows == b.rows == 6000
+    ra = read_ingested(spark, a.path, "prescription_drug_events")
+    rb = read_ingested(spark, b.path, "prescription_drug_events")
+    assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
+
+
+def test_plain_csv_header_mismatch_fails(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "bad.csv")
+    with open(p, "w") as f:
+        f.write("WRONG,PDE_ID\nx,1\n")
+    with pytest.raises(Exception):
+        ingest(spark, tmp_dir, "prescription_drug_events", os.path.join(tmp_dir, "lake"), glob="*.csv")
