@@ -693,6 +693,30 @@ def q_annual_cost_predictions(spark, sf):
     return annual_cost_predictions(features(spark, sf))
 
 
+@register("feature_table_v1", V("""SELECT b.BENRES_IP AS ANNUAL_COST, b.DESYNPUF_ID AS PATIENT_ID,
+    CAST(date_diff('day', b.BENE_BIRTH_DT, a.DATE) AS DOUBLE) / 365.0 AS AGE_YRS,
+    b.BENE_SEX_IDENT_CD AS GENDER, b.BENE_RACE_CD AS RACE, b.SP_STATE_CODE AS STATE, a.DX, a.PX, a.HCPCS
+  FROM ben b JOIN (
+    SELECT DESYNPUF_ID, count(ICD9_DGNS_CD_1) AS DX, count(ICD9_PRCDR_CD_1) AS PX,
+      count(HCPCS_CD_1) AS HCPCS, DATE '2008-01-01' AS DATE
+    FROM inp GROUP BY DESYNPUF_ID) a
+  ON b.DESYNPUF_ID = a.DESYNPUF_ID""", "ben", "inp"))
+def q_feature_table_v1(spark, sf):
+    """The earlier feature table (constant claim date, non-null code counts)."""
+    from claimlake.plans.features import feature_table_v1
+    return feature_table_v1(si.ben(spark, sf), si.inp(spark, sf))
+
+
+@register("annual_cost_predictions_v1")
+def q_annual_cost_predictions_v1(spark, sf):
+    """The earlier model end to end: constant claim date, non-null counts, 7 features."""
+    from claimlake.plans.features import V1_ORDER, feature_table_v1
+    from claimlake.plans.model import V1_CATEGORICALS, V1_FEATURES, run
+    m = run(feature_table_v1(si.ben(spark, sf), si.inp(spark, sf)),
+            categoricals=V1_CATEGORICALS, feature_cols=V1_FEATURES)
+    return m.scored.select(*V1_ORDER, *[f"{c}_index" for c in V1_CATEGORICALS], "prediction")
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Median predicted annual cost by state over the model's scored table."""
     from claimlake.plans.model import annual_cost_predictions

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.functions.clean import count_present, fill_null_date
+from claimlake.functions.clean import DEFAULT_CLAIM_DATE, count_present, fill_null_date
 from claimlake.functions.dates import age_years
 from claimlake.operators.joins import join_on_keys
 from claimlake.schemas import CONDITION_FLAGS
@@ -53,3 +53,22 @@ def feature_table(ben: DataFrame, inp: DataFrame) -> DataFrame:
     j = join_on_keys(b, a, "PATIENT_ID", "DESYNPUF_ID")
     j = j.withColumn("AGE_YRS", age_years(F.col("DATE"), F.col("BENE_BIRTH_DT")))
     return j.select(*FEATURE_ORDER)
+
+
+# ---- the earlier, smaller variant -------------------------------------------
+# Its output columns, in order.
+V1_ORDER = ["ANNUAL_COST", "PATIENT_ID", "AGE_YRS", "GENDER", "RACE", "STATE", "DX", "PX", "HCPCS"]
+
+
+def feature_table_v1(ben: DataFrame, inp: DataFrame) -> DataFrame:
+    """The earlier feature table: every claim date set to 2008-01-01 (so age is
+    measured at that date), and codes counted when not null ('nan' text counts)."""
+    b = ben.select(F.col("DESYNPUF_ID").alias("PATIENT_ID"), "BENE_BIRTH_DT",
+                   F.col("BENE_SEX_IDENT_CD").alias("GENDER"), F.col("BENE_RACE_CD").alias("RACE"),
+                   F.col("SP_STATE_CODE").alias("STATE"), F.col("BENRES_IP").alias("ANNUAL_COST"))
+    claims = inp.withColumn("CLM_FROM_DT", F.lit(DEFAULT_CLAIM_DATE))
+    a = claims.groupBy("DESYNPUF_ID").agg(
+        F.count("ICD9_DGNS_CD_1").alias("DX"), F.count("ICD9_PRCDR_CD_1").alias("PX"),
+        F.count("HCPCS_CD_1").alias("HCPCS"), F.max("CLM_FROM_DT").alias("DATE"))
+    j = join_on_keys(b, a, "PATIENT_ID", "DESYNPUF_ID")
+    return j.withColumn("AGE_YRS", age_years(F.col("DATE"), F.col("BENE_BIRTH_DT"))).select(*V1_ORDER)

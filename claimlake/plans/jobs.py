@@ -92,6 +92,22 @@ def model_job(spark: SparkSession, lake: str, predictions_path: str, seed: int =
     return summary
 
 
+def model_job_v1(spark: SparkSession, lake: str, csv_path: str, seed: int = 42) -> dict:
+    """The earlier model: 3 indexed categoricals, 7 features, scores as CSV with a row index."""
+    from claimlake.plans.features import V1_ORDER, feature_table_v1
+    from claimlake.plans.model import V1_CATEGORICALS, V1_FEATURES, vector_text
+    from claimlake.plans.warehouse import write_csv_indexed
+    feats = feature_table_v1(lake_table(spark, lake, "beneficiary_summary"),
+                             lake_table(spark, lake, "inpatient_claims"))
+    m = run_model(feats, seed, categoricals=V1_CATEGORICALS, feature_cols=V1_FEATURES)
+    out = m.scored.select(*V1_ORDER, *[f"{c}_index" for c in V1_CATEGORICALS],
+                          vector_text("features").alias("features"), "prediction")
+    write_csv_indexed(out, csv_path, [F.col("prediction").desc(), F.col("PATIENT_ID"), F.col("AGE_YRS")])
+    summary = {"r2_train": m.r2("train"), "rows": spark.read.option("header", True).csv(csv_path).count()}
+    m.release()
+    return summary
+
+
 def warehouse_job(spark: SparkSession, db: str, root: str, lake: str, predictions_path: str,
                   create: bool = True, keep_previous: int = 1) -> dict:
     """Full refresh of the five tables from the lake and the scored table.

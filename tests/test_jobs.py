@@ -60,3 +60,18 @@ def test_command_line_dashboards(spark, tmp_dir):
     out = os.path.join(tmp_dir, "dash")
     assert main(["dashboards", "--predictions", preds, "--out", out]) == 0
     assert spark.read.parquet(os.path.join(out, "median_cost_by_state")).count() > 0
+
+
+def test_earlier_model_job_writes_indexed_csv(spark, tmp_dir):
+    from claimlake.plans.jobs import model_job_v1
+    landing, lake = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "lake")
+    write_zip_csv(C._raw_beneficiary(spark, SF_SMALL), landing, C.ARCHIVE_STEMS["beneficiary_summary"], files=1)
+    write_zip_csv(C._raw_claims(spark, SF_SMALL, S.INPATIENT), landing, C.ARCHIVE_STEMS["inpatient_claims"], files=1)
+    ingest_all(spark, landing, lake)
+    out = os.path.join(tmp_dir, "v1.csv")
+    summary = model_job_v1(spark, lake, out)
+    df = spark.read.option("header", True).csv(out)
+    assert df.columns[0] == "F1" and df.columns[-2:] == ["features", "prediction"]
+    assert sorted(int(r.F1) for r in df.select("F1").collect()) == list(range(summary["rows"]))
+    # the earlier model measured every age at 2008-01-01
+    assert df.where("CAST(AGE_YRS AS DOUBLE) > 100").count() == 0
