@@ -19,6 +19,8 @@ import sys
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m claimlake", description=__doc__.split("\n")[0])
+    p.add_argument("--size-partitions", action="store_true",
+                   help="set spark.sql.shuffle.partitions from the input file sizes first")
     sub = p.add_subparsers(dest="job", required=True)
     s = sub.add_parser("ingest", help="archives under a landing folder -> lake datasets")
     s.add_argument("--landing", required=True)
@@ -54,6 +56,11 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName(f"claimlake-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    if args.size_partitions:
+        from claimlake.session import suggest_shuffle_partitions
+        inputs = [getattr(args, a) for a in ("landing", "lake", "csv", "predictions") if getattr(args, a, None)]
+        if inputs:
+            spark.conf.set("spark.sql.shuffle.partitions", str(suggest_shuffle_partitions(spark, inputs)))
     if args.job == "ingest":
         result = jobs.ingest_all(spark, args.landing, args.lake, args.log)
     elif args.job == "model":

@@ -78,3 +78,21 @@ def local_fs_path(path: str) -> str | None:
     if "://" not in path:
         return path
     return None
+
+
+def suggest_shuffle_partitions(spark: SparkSession, roots: list[str], target_mb: int = 200,
+                               expansion: float = 3.0) -> int:
+    """A shuffle-partition count for inputs under ``roots``: total file bytes
+    (a metadata listing, nothing is read) times an expansion factor for
+    decompressed / decoded size, divided by ``target_mb`` per partition; never
+    below the cluster's default parallelism.  Opt-in: the caller applies it."""
+    import math
+
+    from pyspark.sql import functions as F
+    total = 0
+    for root in roots:
+        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                   .load(root).select("length"))
+        total += listing.agg(F.sum("length")).first()[0] or 0
+    want = math.ceil(total * expansion / (target_mb * 1024 * 1024))
+    return max(spark.sparkContext.defaultParallelism, want)

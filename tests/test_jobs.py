@@ -75,3 +75,14 @@ def test_earlier_model_job_writes_indexed_csv(spark, tmp_dir):
     assert sorted(int(r.F1) for r in df.select("F1").collect()) == list(range(summary["rows"]))
     # the earlier model measured every age at 2008-01-01
     assert df.where("CAST(AGE_YRS AS DOUBLE) > 100").count() == 0
+
+
+def test_suggest_shuffle_partitions(spark, tmp_dir):
+    from claimlake.session import suggest_shuffle_partitions
+    path = os.path.join(tmp_dir, "blob")
+    os.makedirs(path)
+    with open(os.path.join(path, "f.bin"), "wb") as f:
+        f.write(b"x" * (3 * 1024 * 1024))
+    assert suggest_shuffle_partitions(spark, [path]) == spark.sparkContext.defaultParallelism
+    assert suggest_shuffle_partitions(spark, [path], target_mb=1, expansion=3.0) == max(
+        spark.sparkContext.defaultParallelism, 9)
