@@ -29,7 +29,14 @@ def as_long(df: DataFrame, cols: list[str] | None = None, ids: list[str] | None
 
 
 def distinct_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """PF1: exact number of distinct values of every column; null counts as a value."""
+    """PF1: exact number of distinct values of every column; null counts as a value.
+
+    Cost at scale: each (column, value) pair is shuffled once after map-side
+    de-duplication, i.e. about the input's size for high-cardinality columns
+    and almost nothing for low-cardinality ones (not N passes for N columns).
+    ``operators.aggregate.approx_distinct_columns`` (HyperLogLog) needs no
+    shuffle of values at all when an estimate is enough.
+    """
     long = as_long(df, cols)
     # distinct (column, value) pairs first: combined map-side, spread by value
     pairs = long.select("column_name", "value").distinct()
@@ -60,7 +67,11 @@ def describe_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def group_mean_profile(df: DataFrame, measure: str, cols: list[str] | None = None,
                        alias: str | None = None) -> DataFrame:
-    """PF3: for every column, mean of ``measure`` per value of that column (one job)."""
+    """PF3: for every column, mean of ``measure`` per value of that column (one job).
+
+    Partial averages are combined map-side per (column, value), so the shuffle
+    shrinks with the columns' cardinality.
+    """
     cols = _cols(df, cols)
     alias = alias or f"avg_{measure}"
     m = try_cast(F.col(measure).cast("string"), "double").alias("_m")
