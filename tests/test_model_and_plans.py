@@ -100,3 +100,19 @@ def test_feature_table_edge_cases(spark):
     assert a[0].AGE_YRS == (dt.date(2010, 1, 1) - dt.date(1940, 1, 1)).days / 365.0
     b = next(r for r in rows if r.PATIENT_ID == "B")
     assert b.AGE_YRS == (dt.date(2008, 1, 1) - dt.date(1950, 6, 1)).days / 365.0  # filled claim date
+
+
+def test_keep_top_combines_map_side(spark):
+    from claimlake.operators.dedupe import keep_top
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), (F.col("id") * 1.0).alias("p"), "id")
+    plan = _plan(keep_top(df, ["k"], "p", ["id"]))
+    assert "partial_min" in plan and "Window" not in plan
+
+
+def test_rank_median_spreads_groups_by_range(spark):
+    from claimlake.operators.median import rank_median
+    df = spark.range(1000).select((F.col("id") % 2).alias("g"), (F.col("id") * 1.0).alias("v"))
+    plan = _plan(rank_median(df, ["g"], "v", "m", partitions=4))
+    assert "RoundRobin" not in plan
+    # the histogram was range-partitioned on (group, value) and check-pointed before this plan
+    assert "LogicalRDD" in plan or "ExistingRDD" in plan or "Scan ExistingRDD" in plan
