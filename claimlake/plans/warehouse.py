@@ -71,23 +71,23 @@ def drop_old_versions(spark: SparkSession, qualified: str, keep_previous: int =
     ``keep_previous`` newest before it (readers may still be scanning those).
 
     Driver-side metadata work only (a folder listing and deletes through the
-    Hadoop FileSystem API); returns the deleted paths.
+    Arrow filesystem layer: local, HDFS or object stores); returns the deleted paths.
     """
+    import pyarrow.fs as pafs
+
+    from claimlake.sources.archives import _fs
     current = table_location(spark, qualified).rstrip("/")
     base = current.rsplit("/", 1)[0]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base_path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = base_path.getFileSystem(conf)
-    versions = [st for st in fs.listStatus(base_path)
-                if st.isDirectory() and st.getPath().getName().startswith("v-")]
-    versions.sort(key=lambda st: st.getPath().getName(), reverse=True)
+    fs, base_p = _fs(base)
+    entries = fs.get_file_info(pafs.FileSelector(base_p, allow_not_found=True))
+    versions = sorted((e for e in entries if e.type == pafs.FileType.Directory and e.base_name.startswith("v-")),
+                      key=lambda e: e.base_name, reverse=True)
     cur_name = current.rsplit("/", 1)[-1]
-    older = [st for st in versions if st.getPath().getName() != cur_name]
+    older = [e for e in versions if e.base_name != cur_name]
     deleted = []
-    for st in older[keep_previous:]:
-        fs.delete(st.getPath(), True)
-        deleted.append(str(st.getPath()))
+    for e in older[keep_previous:]:
+        fs.delete_dir(e.path)
+        deleted.append(e.path)
     return deleted
 
 
