@@ -75,10 +75,10 @@ def drop_old_versions(spark: SparkSession, qualified: str, keep_previous: int =
     """
     import pyarrow.fs as pafs
 
-    from claimlake.sources.archives import _fs
+    from claimlake.sources.archives import arrow_fs
     current = table_location(spark, qualified).rstrip("/")
     base = current.rsplit("/", 1)[0]
-    fs, base_p = _fs(base)
+    fs, base_p = arrow_fs(base)
     entries = fs.get_file_info(pafs.FileSelector(base_p, allow_not_found=True))
     versions = sorted((e for e in entries if e.type == pafs.FileType.Directory and e.base_name.startswith("v-")),
                       key=lambda e: e.base_name, reverse=True)

@@ -24,7 +24,7 @@ from claimlake.sources.files import RAW_DATE_FORMAT, RAW_ENCODING
 CHUNK_ROWS = 100_000
 
 
-def _uri(path: str) -> str:
+def arrow_uri(path: str) -> str:
     if path.startswith("file:") and not path.startswith("file://"):
         return "file://" + path[len("file:"):]
     if path.startswith("s3a://") or path.startswith("s3n://"):
@@ -34,9 +34,9 @@ def _uri(path: str) -> str:
     return path
 
 
-def _fs(path: str):
+def arrow_fs(path: str):
     import pyarrow.fs as pafs
-    return pafs.FileSystem.from_uri(_uri(path))
+    return pafs.FileSystem.from_uri(arrow_uri(path))
 
 
 def list_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
@@ -89,7 +89,7 @@ def archive_records(listing: DataFrame, columns: list[str], encoding: str = RAW_
 
         for batch in batches:
             for path in batch["path"]:
-                fs, p = _fs(path)
+                fs, p = arrow_fs(path)
                 with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as zf:
                     member = zf.namelist()[0]
                     with zf.open(member) as raw:
@@ -193,8 +193,8 @@ def write_zip_csv(df: DataFrame, out_dir: str, stem: str, files: int | None = No
                 part = path.rsplit("/", 1)[-1]
                 n = int(part.split("-")[1]) + 1 if part.startswith("part-") else abs(hash(part))
                 name = f"{stem}_{n}"
-                in_fs, in_p = _fs(path)
-                out_fs, out_p = _fs(f"{target}/{name}.zip")
+                in_fs, in_p = arrow_fs(path)
+                out_fs, out_p = arrow_fs(f"{target}/{name}.zip")
                 # write under this attempt's own name, then rename: a retried or
                 # speculative attempt never leaves a half-written archive behind
                 ctx = TaskContext.get()
