@@ -25,6 +25,7 @@ CHUNK_ROWS = 100_000
 
 
 def arrow_uri(path: str) -> str:
+    """A Spark/Hadoop path as an Arrow filesystem URI (file:/x, s3a://, plain paths)."""
     if path.startswith("file:") and not path.startswith("file://"):
         return "file://" + path[len("file:"):]
     if path.startswith("s3a://") or path.startswith("s3n://"):
@@ -35,6 +36,7 @@ def arrow_uri(path: str) -> str:
 
 
 def arrow_fs(path: str):
+    """(filesystem, path) for reading or writing ``path`` from a Python task or the driver."""
     import pyarrow.fs as pafs
     return pafs.FileSystem.from_uri(arrow_uri(path))
 
