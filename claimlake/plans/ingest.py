@@ -87,7 +87,7 @@ class IngestResult:
     rejected_rows: int
 
 
-def scan_raw_csv(spark: SparkSession, source_root: str, table: str, glob: str = "*.csv") -> DataFrame:
+def scan_raw_csv(spark: SparkSession, source_root: str | list[str], table: str, glob: str = "*.csv") -> DataFrame:
     """Plain (unzipped) raw files: Spark's CSV reader, all text, header names checked.
 
     Uncompressed CSV is splittable, so one large file is read by many tasks.
@@ -98,16 +98,16 @@ def scan_raw_csv(spark: SparkSession, source_root: str, table: str, glob: str =
            .option("header", True).option("enforceSchema", False)
            .option("encoding", RAW_ENCODING).option("mode", "PERMISSIVE")
            .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-           .csv(source_root))
+           .csv(source_root if isinstance(source_root, str) else list(source_root)))
     return raw.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
-def ingest(spark: SparkSession, source_root: str, table: str, target_root: str,
+def ingest(spark: SparkSession, source_root: str | list[str], table: str, target_root: str,
            glob: str = "*.zip", max_rows_per_file: int = MAX_ROWS_PER_FILE) -> IngestResult:
     """JB1-JB4: raw files under ``source_root`` -> ``<target_root>/<Table_Prefix>/`` (append).
 
-    ``glob`` picks the file kind: ``*.zip`` archives (first member read) or
-    ``*.csv`` plain files.
+    ``source_root`` is a folder or a list of files; ``glob`` picks the file
+    kind: ``*.zip`` archives (first member read) or ``*.csv`` plain files.
     """
     if glob.lower().endswith(".csv"):
         raw = scan_raw_csv(spark, source_root, table, glob)

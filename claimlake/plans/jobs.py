@@ -26,15 +26,6 @@ from claimlake.plans.model import scored_table
 from claimlake.plans.warehouse import (create_schema, drop_old_versions, full_refresh,
                                        write_predictions)
 
-# File-name patterns of the four raw file kinds.
-ARCHIVE_GLOBS = {
-    "beneficiary_summary": "*Beneficiary_Summary*.zip",
-    "inpatient_claims": "*Inpatient_Claims*.zip",
-    "outpatient_claims": "*Outpatient_Claims*.zip",
-    "prescription_drug_events": "*Prescription_Drug_Events*.zip",
-}
-
-
 def _append_log(spark: SparkSession, log_path: str | None, job: str, files: int, rows: int,
                 elapsed: float) -> None:
     if not log_path:
@@ -47,27 +38,67 @@ def _append_log(spark: SparkSession, log_path: str | None, job: str, files: int,
                  "job", "files", "rows", "elapsed_sec").write.mode("append").parquet(log_path)
 
 
-def ingest_all(spark: SparkSession, landing: str, lake: str, log_path: str | None = None) -> dict:
-    """Ingest every raw file kind found under ``landing`` (ZIP archives and plain CSV);
-    returns files/rows/rejected per table."""
+# Name patterns per table, used when the file-name rule gives no kind.
+NAME_PATTERNS = {
+    "beneficiary_summary": "Beneficiary_Summary",
+    "inpatient_claims": "Inpatient_Claims",
+    "outpatient_claims": "Outpatient_Claims",
+    "prescription_drug_events": "Prescription_Drug_Events",
+}
+
+
+def route_landed_files(spark: SparkSession, landing: str, catalogue: DataFrame | None = None) -> DataFrame:
+    """(path, file_name, ext, table) for every ZIP / CSV file under ``landing``.
+
+    The table comes from, in order: the download catalogue's ``table_kind`` for
+    that file name (the link-text rule), the file-name token rule, then the
+    name patterns above.  Files with no table are listed with a null table.
+    """
+    from claimlake.plans.links import filename_kind
     from claimlake.sources.archives import list_archives
-    out = {}
+    files = list_archives(spark, landing, "*.{zip,csv,ZIP,CSV}").select(
+        "path", F.substring_index("path", "/", -1).alias("file_name"))
+    files = files.withColumn("ext", F.lower(F.substring_index("file_name", ".", -1)))
+    by_pattern = None
+    for table, pat in NAME_PATTERNS.items():
+        cond = F.col("file_name").contains(pat)
+        by_pattern = F.when(cond, F.lit(table)) if by_pattern is None else by_pattern.when(cond, F.lit(table))
+    kinds = {"beneficiary": "beneficiary_summary", "inpatient": "inpatient_claims",
+             "outpatient": "outpatient_claims", "drug_events": "prescription_drug_events"}
+    kind_map = F.create_map(*[x for k, v in kinds.items() for x in (F.lit(k), F.lit(v))])
+    by_name = kind_map[filename_kind(F.col("file_name"))]
+    if catalogue is not None:
+        cat = (catalogue.where(F.col("table_kind").isNotNull())
+               .select("file_name", kind_map[F.col("table_kind")].alias("_cat")).dropDuplicates(["file_name"]))
+        files = files.join(cat, "file_name", "left")
+        chosen = F.coalesce(F.col("_cat"), by_name, by_pattern)
+    else:
+        chosen = F.coalesce(by_name, by_pattern)
+    return files.select("path", "file_name", "ext", chosen.alias("table"))
+
+
+def ingest_all(spark: SparkSession, landing: str, lake: str, log_path: str | None = None,
+               catalogue: DataFrame | None = None) -> dict:
+    """Ingest every ZIP archive and plain CSV file under ``landing`` into its table.
+
+    Files are routed by :func:`route_landed_files`; the file list (metadata,
+    one row per file) is the only thing brought to the driver.  Returns
+    files / rows / rejected rows per table.
+    """
     started = time.time()
-    files = 0
-    for table, zip_glob in ARCHIVE_GLOBS.items():
-        # archives and plain CSV files of the same kind both feed the table
-        for glob in (zip_glob, zip_glob[:-len(".zip")] + ".csv"):
-            n = list_archives(spark, landing, glob).count()
-            if n == 0:
-                continue
-            files += n
-            res = ingest(spark, landing, table, lake, glob)
-            acc = out.setdefault(table, {"archives": 0, "rows": 0, "rejected_rows": 0, "path": res.path})
-            acc["archives"] += n
-            acc["rows"] += res.rows
-            acc["rejected_rows"] += res.rejected_rows
-    _append_log(spark, log_path, "ingest", files, sum(v["rows"] for v in out.values()),
-                time.time() - started)
+    routed = route_landed_files(spark, landing, catalogue).where(F.col("table").isNotNull())
+    groups: dict[tuple[str, str], list[str]] = {}
+    for r in routed.select("table", "ext", "path").collect():
+        groups.setdefault((r["table"], r["ext"]), []).append(r["path"])
+    out: dict = {}
+    for (table, ext), paths in sorted(groups.items()):
+        res = ingest(spark, paths, table, lake, "*.csv" if ext == "csv" else "*.zip")
+        acc = out.setdefault(table, {"archives": 0, "rows": 0, "rejected_rows": 0, "path": res.path})
+        acc["archives"] += len(paths)
+        acc["rows"] += res.rows
+        acc["rejected_rows"] += res.rejected_rows
+    _append_log(spark, log_path, "ingest", sum(v["archives"] for v in out.values()),
+                sum(v["rows"] for v in out.values()), time.time() - started)
     return out
 
 

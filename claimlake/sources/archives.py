@@ -41,9 +41,10 @@ def arrow_fs(path: str):
     return pafs.FileSystem.from_uri(arrow_uri(path))
 
 
-def list_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", True).load(root).select("path", "length"))
+def list_archives(spark: SparkSession, root: str | list[str], glob: str = "*.zip") -> DataFrame:
+    """(path, length) of the files under ``root`` (or the given list of files) matching ``glob``."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    return reader.load(root if isinstance(root, str) else list(root)).select("path", "length")
 
 
 def _records(text):
@@ -138,7 +139,7 @@ def needs_rebalance(spark: SparkSession, listing: DataFrame) -> bool:
     return bool(few or hot)
 
 
-def scan_zip_csv(spark: SparkSession, root: str, raw_schema: T.StructType, glob: str = "*.zip",
+def scan_zip_csv(spark: SparkSession, root: str | list[str], raw_schema: T.StructType, glob: str = "*.zip",
                  encoding: str = RAW_ENCODING, chunk_rows: int = CHUNK_ROWS,
                  rebalance: bool | str = "auto") -> DataFrame:
     """SC3: rows of the first CSV member of every archive under ``root``, all text.

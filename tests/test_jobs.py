@@ -86,3 +86,25 @@ def test_suggest_shuffle_partitions(spark, tmp_dir):
     assert suggest_shuffle_partitions(spark, [path]) == spark.sparkContext.defaultParallelism
     assert suggest_shuffle_partitions(spark, [path], target_mb=1, expansion=3.0) == max(
         spark.sparkContext.defaultParallelism, 9)
+
+
+def test_route_landed_files(spark, tmp_dir):
+    import zipfile
+
+    from claimlake.plans.jobs import route_landed_files
+    names = ["DE1_0_2008_to_2010_Inpatient_Claims_Sample_1.zip", "DE1_0_2009_Beneficiary_Summary_File_Sample_2.zip",
+             "DE1_0_2008_to_2010_Prescription_Drug_Events_Sample_3.zip", "mystery_file.zip", "notes.csv"]
+    for n in names:
+        if n.endswith(".zip"):
+            with zipfile.ZipFile(os.path.join(tmp_dir, n), "w") as zf:
+                zf.writestr("a.csv", "A\n1\n")
+        else:
+            with open(os.path.join(tmp_dir, n), "w") as f:
+                f.write("A\n1\n")
+    got = {r.file_name: r.table for r in route_landed_files(spark, tmp_dir).collect()}
+    assert got == {names[0]: "inpatient_claims", names[1]: "beneficiary_summary",
+                   names[2]: "prescription_drug_events", names[3]: None, names[4]: None}
+    cat = spark.createDataFrame([("mystery_file.zip", "outpatient"), (names[0], "beneficiary")],
+                                "file_name string, table_kind string")
+    got = {r.file_name: r.table for r in route_landed_files(spark, tmp_dir, cat).collect()}
+    assert got["mystery_file.zip"] == "outpatient_claims" and got[names[0]] == "beneficiary_summary"
