@@ -74,3 +74,18 @@ def download_catalogue(anchors: DataFrame) -> DataFrame:
         "file_name",
         path_restem(F.col("file_name"), ".parquet").alias("parquet_name"),
     )
+
+
+def catalogue_from_index(pages: DataFrame, index_url: str) -> DataFrame:
+    """JB5 with the two-level walk: only pages linked from ``index_url`` by a
+    'DE1.0 ...' anchor are sample pages, and only their anchors are classified.
+
+    The walk is a join of the index page's anchor targets with the page table
+    (a semi-join), so it runs over any number of stored pages.
+    """
+    from claimlake.sources.html import page_anchors
+    index_anchors = page_anchors(pages.where(F.col("url") == index_url))
+    targets = (index_anchors.where(is_sample_page_link(F.col("text")))
+               .select(F.concat(site_of(F.col("url")), F.col("href")).alias("target")).distinct())
+    sample_pages = pages.join(targets, pages["url"] == targets["target"], "left_semi")
+    return download_catalogue(page_anchors(sample_pages))

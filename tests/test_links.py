@@ -46,3 +46,18 @@ def test_catalogue_urls_and_file_kinds(spark):
     drug = got[rows[1][2]]
     assert drug.table_kind == "drug_events" and drug.download_url == rows[1][2] and drug.sample_page
     assert got["/f/DE1_0_2009_Beneficiary_Summary_File_Sample_2.zip"].table_kind == "beneficiary"
+
+
+def test_catalogue_follows_index_links_only(spark):
+    from claimlake.plans.links import catalogue_from_index
+    site = "https://www.example.org"
+    pages = spark.createDataFrame([
+        (1, f"{site}/index", '<a href="/s1">DE1.0 Sample 1</a> <a href="/other">Something else</a>'),
+        (2, f"{site}/s1", '<a href="/f/DE1_0_2008_to_2010_Inpatient_Claims_Sample_1.zip">'
+                          'DE1.0 Sample 1 2008-2010 Inpatient Claims Sample</a>'),
+        (3, f"{site}/other", '<a href="/f/DE1_0_2008_to_2010_Outpatient_Claims_Sample_1.zip">'
+                             'DE1.0 Sample 1 2008-2010 Outpatient Claims Sample</a>'),
+    ], "page_id long, url string, html string")
+    rows = catalogue_from_index(pages, f"{site}/index").collect()
+    assert [(r.page_id, r.table_kind) for r in rows] == [(2, "inpatient")]
+    assert rows[0].download_url == f"{site}/f/DE1_0_2008_to_2010_Inpatient_Claims_Sample_1.zip"
