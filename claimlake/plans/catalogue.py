@@ -176,6 +176,20 @@ def q_median_cost_by_condition(spark, sf):
     return r.withColumn("median_prediction", F.round("median_prediction", 6))
 
 
+@register("median_cost_by_state_ranked", ORACLES["median_cost_by_state"])
+def q_median_cost_by_state_ranked(spark, sf):
+    """AG8 through the rank-based exact median (the path large groups take), forced."""
+    r = dash.median_cost_by(acp(spark, sf), "STATE", max_group_rows=0)
+    return r.withColumn("median_prediction", F.round("median_prediction", 6))
+
+
+@register("median_cost_by_condition_ranked", ORACLES["median_cost_by_condition"])
+def q_median_cost_by_condition_ranked(spark, sf):
+    """AG9 through the rank-based exact median, forced."""
+    r = dash.median_cost_by_condition(acp(spark, sf), max_group_rows=0)
+    return r.withColumn("median_prediction", F.round("median_prediction", 6))
+
+
 @register("sum_cost_by_condition", _panes_sql("round(sum(prediction), 4)", "sum_prediction"))
 def q_sum_cost_by_condition(spark, sf):
     r = dash.sum_cost_by_condition(acp(spark, sf))
