@@ -78,13 +78,12 @@ def rank_median(df: DataFrame, keys: list[str], value: str, alias: str,
 
     # 4. The tasks holding rank (n-1) div 2 and n div 2 (0-based), and the
     #    rank inside the task.  At most two rows per group.
-    targets = None
-    for which, rank in (("lo", F.floor((F.col("_n") - 1) / 2)), ("hi", F.floor(F.col("_n") / 2))):
-        t = (per_task.withColumn("_r", rank.cast("long"))
-             .where((F.col("_off") <= F.col("_r")) & (F.col("_r") < F.col("_off") + F.col("_pc")))
-             .select("_g", "_pid", F.lit(which).alias("_which"),
-                     (F.col("_r") - F.col("_off")).alias("_lr")))
-        targets = t if targets is None else targets.unionByName(t)
+    ranks = F.array(
+        F.struct(F.lit("lo").alias("_which"), F.floor((F.col("_n") - 1) / 2).cast("long").alias("_r")),
+        F.struct(F.lit("hi").alias("_which"), F.floor(F.col("_n") / 2).cast("long").alias("_r")))
+    targets = (per_task.select("_g", "_pid", "_off", "_pc", F.inline(ranks))
+               .where((F.col("_off") <= F.col("_r")) & (F.col("_r") < F.col("_off") + F.col("_pc")))
+               .select("_g", "_pid", "_which", (F.col("_r") - F.col("_off")).alias("_lr")))
 
     # 5. Running count only inside the target tasks; pick the middle values.
     cand = ranked.join(targets, ["_g", "_pid"])
