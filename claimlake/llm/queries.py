@@ -5,22 +5,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlake.llm import decontaminate, simhash
+from claimlake.llm import decontaminate, pii, secret_scan, simhash
 from claimlake.llm.common import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
+    "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
 }
 
