@@ -4,8 +4,9 @@ express them.  Each applies its operator to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimlake.llm import decontaminate, pii, secret_scan, simhash
+from claimlake.llm import decontaminate, hilbert, mixture, pii, secret_scan, simhash
 from claimlake.llm.common import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -27,11 +28,23 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(table(spark, sf_dir, "documents"))
+
+
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = hilbert.assign(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
+    "op8_mix": op8_mix,
+    "op9_shards": op9_shards,
 }
 
 _WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
@@ -54,4 +67,22 @@ WITH items AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS ws
 SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
        sha256(coalesce(n.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs AS d LEFT JOIN hits AS h USING (doc_id) LEFT JOIN named AS n USING (doc_id)""",
+    "op8_mix": r"""
+WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                      md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+     src AS (SELECT source, sum(size) AS s, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+             FROM sized GROUP BY source),
+     run AS (SELECT *, sum(s) OVER () - coalesce(sum(3 * s) OVER b, 0) AS t_left, sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS w_left
+             FROM src WINDOW b AS (ORDER BY 3 * s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+     cap AS (SELECT *, 3 * s * w_left < t_left * w AS capped FROM run),
+     goal AS (SELECT source, s, CASE WHEN capped THEN CAST(3 * s AS DOUBLE)
+                     ELSE CAST(sum(s) OVER () - coalesce(sum(3 * s) FILTER (WHERE capped) OVER (), 0) AS DOUBLE) * w
+                          / (sum(w) FILTER (WHERE NOT capped) OVER ()) END AS target FROM cap),
+     quota AS (SELECT *, CAST(round_even(target, 0) AS BIGINT) AS q FROM goal),
+     seq AS (SELECT z.doc_id, z.size, CAST(g.s AS BIGINT) AS source_size, g.target, g.q,
+                    coalesce(sum(z.size) OVER (PARTITION BY z.source ORDER BY z.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+             FROM sized AS z JOIN quota AS g ON z.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN source_size = 0 THEN 0 ELSE CAST(q // source_size * size + greatest(0, least(size, q % source_size - before)) AS BIGINT) END AS taken
+FROM seq""",
 }
