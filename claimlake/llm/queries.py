@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import decontaminate, hilbert, mixture, pii, secret_scan, simhash
+from claimlake.llm import decontaminate, hilbert, mixture, pii, rule_quality, secret_scan, simhash
 from claimlake.llm.common import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -38,6 +38,11 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rule_quality.scored(docs, rule_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
@@ -45,6 +50,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_mix": op8_mix,
     "op9_shards": op9_shards,
+    "op10_quality": op10_quality,
 }
 
 _WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
