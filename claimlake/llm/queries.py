@@ -6,12 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import decontaminate, hilbert, mixture, pii, rule_quality, secret_scan, simhash
+from claimlake.llm import (decontaminate, hilbert, mixture, neighbours, pii, rule_quality, secret_scan, simhash,
+                           substring_dedup)
 from claimlake.llm.common import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -44,6 +53,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substrings": op2_substrings,
+    "op3_neighbours": op3_neighbours,
     "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_secrets": op6_secrets,

@@ -100,7 +100,7 @@ def choose_segments(n: int, radius: int, bits: int = BITS) -> int:
     def cost(m: int) -> float:
         return sum(n * len(masks) * (1 + 0.02 * n / 2 ** width) for _, width, masks in segment_plan(m, radius, bits))
 
-    return min(range(2, radius + 2), key=cost)
+    return min(range(2, max(3, radius + 1)), key=cost)
 
 
 def _key(fp: Column, k: int, shift: int, width: int) -> Column:
