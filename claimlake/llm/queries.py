@@ -1,18 +1,23 @@
-"""The numbered queries of this subpackage, and their DuckDB twins where SQL can
-express them.  Each applies its operator to its whole table."""
+"""The numbered queries of this subpackage and the pipeline, and their DuckDB
+twins where SQL can express them.  Each applies its operator to its whole table."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.llm import (decontaminate, hilbert, mixture, neighbours, pii, rule_quality, secret_scan, simhash,
-                           substring_dedup)
+                           substring_dedup, token_count)
 from claimlake.llm.common import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_tokens": op1_tokens,
     "op2_substrings": op2_substrings,
     "op3_neighbours": op3_neighbours,
     "op4_pii": op4_pii,
@@ -62,6 +68,7 @@ QUERIES = {
     "op8_mix": op8_mix,
     "op9_shards": op9_shards,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 _WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
