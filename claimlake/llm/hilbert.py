@@ -98,7 +98,7 @@ def _number(docs: DataFrame, col: str) -> Column:
 def quantised(docs: DataFrame, dims: list[str], bits: int = BITS) -> list[Column]:
     """Cell of each dimension: the number of cut points below the value."""
     cuts = [(k + 1) / (1 << bits) for k in range((1 << bits) - 1)]
-    row = docs.select(*[F.percentile_approx(_number(docs, c), cuts, 10_000).alias(f"d{k}") for k, c in enumerate(dims)]).first()
+    row = docs.select(*[F.percentile_approx(_number(docs, c), cuts, 1_000).alias(f"d{k}") for k, c in enumerate(dims)]).first()
     out = []
     for k, c in enumerate(dims):
         points = F.array(*[F.lit(float(x)) for x in sorted(set(row[k] or ()))]).cast("array<double>")

@@ -46,6 +46,8 @@ MAX_SAMPLES = 50_000
 GENERATED = 1_000
 SAMPLE_DOCS = 2_000
 MARGIN = 10.0
+#: Weight of the back-off, in pairs seen.
+BACK_OFF = 5.0
 _N = len(ALPHABET) + 1  # the last class: every other character
 
 
@@ -112,16 +114,18 @@ def _pairs(value: str | Column) -> Column:
 
 
 def train(labelled: DataFrame) -> list[float]:
-    """Log-likelihood ratio of each pair of characters, random against ordinary,
-    with add-half smoothing; the counts are at most 2 * 65 * 65 rows."""
+    """Log-likelihood ratio of each pair of characters, random against ordinary.
+    Pair probabilities are backed off to those of the second character alone.
+    The counts are at most 2 * 65 * 65 rows."""
     rows = labelled.select("random", F.explode(_pairs("value")).alias("pair")).groupBy("random", "pair").count().collect()
-    counts = {kind: [0.5] * (_N * _N) for kind in (True, False)}
+    counts = {kind: [0] * (_N * _N) for kind in (True, False)}
     for r in rows:
         counts[r["random"]][r["pair"]] += r["count"]
     logs = {}
     for kind, c in counts.items():
+        alone = [(sum(c[k::_N]) + 0.5) / (sum(c) + 0.5 * _N) for k in range(_N)]
         totals = [sum(c[k * _N:(k + 1) * _N]) for k in range(_N)]
-        logs[kind] = [math.log(x / totals[k // _N]) for k, x in enumerate(c)]
+        logs[kind] = [math.log((x + BACK_OFF * alone[k % _N]) / (totals[k // _N] + BACK_OFF)) for k, x in enumerate(c)]
     return [a - b for a, b in zip(logs[True], logs[False], strict=True)]
 
 
