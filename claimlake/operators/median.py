@@ -1,23 +1,22 @@
-"""Exact grouped median that stays bounded when one group is huge.
-
-Spark's ``median`` is an ObjectHashAggregate whose final merge keeps every
-distinct value of a group in one task.  That is fine while groups are
-small, but the dashboard groups (race: 4 values, state: 52, condition
-flag: 2) each hold a large share of all rows.  So a cheap size check decides:
-
-* largest group <= ``max_group_rows``: built-in ``median`` (one pass,
-  partial aggregation);
-* otherwise: an exact rank-based median.  Values are collapsed to a
-  (group, value) -> count histogram (map-side combine), range-partitioned
-  on (group, value) so a hot group is spread over many tasks, and
-  check-pointed so the partition assignment is fixed.  Per-task counts give
-  each task's rank offset within its group (a table with at most
-  partitions + groups rows).  Only the tasks holding the middle ranks are
-  then scanned with a running count to pick the one or two middle values.
-  No step holds a whole group in one task.
-
-Both paths interpolate the two middle values for an even count, like
-``percentile(v, 0.5)``; nulls are ignored and a group with no values gets null.
+"""Exact grouped median by one plan at every size.
+
+Spark's ``median`` keeps every distinct value of a group in one task, and the
+dashboard groups (race: 4 values, state: 52, condition flag: 2) each hold a
+large share of all rows.  Instead:
+
+* a bracket for each group: two approximate percentiles just below and above
+  the middle (a bounded sketch, combined map-side).  The sketch's rank error is
+  smaller than the bracket's distance from the middle, so both middle ranks lie
+  inside it, at every group size;
+* an exact count: values below and above the bracket only as counts, values
+  inside as a histogram, again combined map-side.  A running count over the
+  few values inside picks the one or two middle values.
+
+Nothing is sampled or dropped, no job runs while the plan is built, and no task
+holds more of a group than its bracket (about 8 / ``accuracy`` of its values).
+Two middle values are averaged as ``percentile(v, 0.5)`` does it, half of the
+one plus half of the other; nulls are ignored and a group with no values gets
+null.
 """
 
 from __future__ import annotations
@@ -25,15 +24,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlake.session import ensure_checkpoint_dir
-
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
+ACCURACY = 10_000
 
 
 def grouped_median(df: DataFrame, keys: list[str], value: str, alias: str,
-                   max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-                   approx_accuracy: int | None = None) -> DataFrame:
-    """Median of ``value`` per group.
+                   accuracy: int = ACCURACY, approx_accuracy: int | None = None) -> DataFrame:
+    """Median of ``value`` per group; exact whatever ``accuracy`` is (10 or more):
+    it only sets the width of the bracket.
 
     ``approx_accuracy`` set: one pass with ``percentile_approx`` (bounded
     sketch per group, rank error about 1/accuracy) instead of the exact value.
@@ -41,61 +38,24 @@ def grouped_median(df: DataFrame, keys: list[str], value: str, alias: str,
     if approx_accuracy:
         return df.groupBy(*keys).agg(
             F.percentile_approx(value, 0.5, approx_accuracy).cast("double").alias(alias))
-    sizes = df.groupBy(*keys).agg(F.count(value).alias("_n"))
-    largest = sizes.agg(F.max("_n").alias("m")).first()["m"]
-    if largest is None or largest <= max_group_rows:
-        return df.groupBy(*keys).agg(F.median(value).alias(alias))
-    return rank_median(df, keys, value, alias)
-
-
-def rank_median(df: DataFrame, keys: list[str], value: str, alias: str,
-                partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    g = F.struct(*[F.col(k) for k in keys]).alias("_g")
-
-    # 1. Histogram of distinct values per group; repeated values collapse
-    #    map-side.  Null values stay (as one row per group) so that groups
-    #    without any value still appear in the result.
-    hist = (df.select(g, F.col(value).alias("_v"))
-            .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")))
-
-    # 2. Global order on (group, value); fix which task holds which range.
-    ranked = (hist.repartitionByRange(parts, "_g", "_v")
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint())
-    groups = ranked.select("_g").distinct()
-    ranked = ranked.where(F.col("_v").isNotNull())
-
-    # 3. Per (group, task) counts -> rank offset of each task inside its group.
-    per_task = ranked.groupBy("_g", "_pid").agg(F.sum("_c").alias("_pc"))
-    w_grp = Window.partitionBy("_g")
-    w_ord = w_grp.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per_task = (per_task
-                .withColumn("_off", F.coalesce(F.sum("_pc").over(w_ord), F.lit(0)))
-                .withColumn("_n", F.sum("_pc").over(w_grp)))
-
-    # 4. The tasks holding rank (n-1) div 2 and n div 2 (0-based), and the
-    #    rank inside the task.  At most two rows per group.
-    ranks = F.array(
-        F.struct(F.lit("lo").alias("_which"), F.floor((F.col("_n") - 1) / 2).cast("long").alias("_r")),
-        F.struct(F.lit("hi").alias("_which"), F.floor(F.col("_n") / 2).cast("long").alias("_r")))
-    targets = (per_task.select("_g", "_pid", "_off", "_pc", F.inline(ranks))
-               .where((F.col("_off") <= F.col("_r")) & (F.col("_r") < F.col("_off") + F.col("_pc")))
-               .select("_g", "_pid", "_which", (F.col("_r") - F.col("_off")).alias("_lr")))
-
-    # 5. Running count only inside the target tasks; pick the middle values.
-    cand = ranked.join(targets, ["_g", "_pid"])
-    w_run = (Window.partitionBy("_g", "_pid", "_which").orderBy("_v")
-             .rowsBetween(Window.unboundedPreceding, 0))
-    cand = cand.withColumn("_cum", F.sum("_c").over(w_run))
-    picked = cand.where((F.col("_cum") - F.col("_c") <= F.col("_lr")) & (F.col("_lr") < F.col("_cum")))
-    mids = picked.groupBy("_g").agg(
-        F.max(F.when(F.col("_which") == "lo", F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_which") == "hi", F.col("_v"))).alias("_hi"))
-    med = mids.select("_g", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * 0.5).alias(alias))
-
-    # Groups whose values are all null still get a row (null median).
-    out = groups.join(med, "_g", "left")
-    return out.select(*[F.col("_g")[k].alias(k) for k in keys], alias)
+    rows = df.select(F.struct(*[F.col(k) for k in keys]).alias("_g"), F.col(value).alias("_v"))
+    number = F.col("_v").cast("double")  # keeps the order, so the bracket holds for longs and decimals too
+    half = 4.0 / accuracy
+    brackets = rows.groupBy("_g").agg(
+        F.percentile_approx(number, [max(0.0, 0.5 - half), min(1.0, 0.5 + half)], accuracy).alias("_p"))
+    low, high = F.col("_p")[0], F.col("_p")[1]
+    side = F.when(number < low, -1).when(number <= high, 0).otherwise(1)
+    placed = rows.join(brackets, "_g").select("_g", "_v", side.alias("_s"))
+    counts = (placed.groupBy("_g", "_s", F.when(F.col("_s") == 0, F.col("_v")).alias("_x"))
+              .agg(F.count("_v").alias("_c")))
+    group = Window.partitionBy("_g")
+    run = group.orderBy("_s", "_x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.select("_g", "_s", "_x", "_c", F.sum("_c").over(run).alias("_to"), F.sum("_c").over(group).alias("_n"))
+
+    def at(rank: str):
+        r = F.expr(rank)
+        return F.max(F.when((F.col("_to") - F.col("_c") <= r) & (r < F.col("_to")), F.col("_x"))).cast("double")
+
+    mids = ranked.groupBy("_g").agg(at("(_n - 1) div 2").alias("_lo"), at("_n div 2").alias("_hi"))
+    middle = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_lo") * 0.5 + F.col("_hi") * 0.5)
+    return mids.select(*[F.col("_g")[k].alias(k) for k in keys], middle.alias(alias))

@@ -109,10 +109,9 @@ def test_keep_top_combines_map_side(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
-def test_rank_median_spreads_groups_by_range(spark):
-    from claimlake.operators.median import rank_median
+def test_median_combines_map_side_and_keeps_no_group_whole(spark):
+    from claimlake.operators.median import grouped_median
     df = spark.range(1000).select((F.col("id") % 2).alias("g"), (F.col("id") * 1.0).alias("v"))
-    plan = _plan(rank_median(df, ["g"], "v", "m", partitions=4))
-    assert "RoundRobin" not in plan
-    # the histogram was range-partitioned on (group, value) and check-pointed before this plan
-    assert "LogicalRDD" in plan or "ExistingRDD" in plan or "Scan ExistingRDD" in plan
+    plan = _plan(grouped_median(df, ["g"], "v", "m"))
+    assert "partial_percentile_approx" in plan and "partial_count" in plan
+    assert " median(" not in plan and "percentile(" not in plan.replace("percentile_approx(", "")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from claimlake.operators.aggregate import median_by_panes, sum_by_panes, trend_line
 from claimlake.operators.dedupe import keep_top
 from claimlake.operators.joins import natural_join
-from claimlake.operators.median import grouped_median, rank_median
+from claimlake.operators.median import grouped_median
 from claimlake.operators.profile import describe_profile, distinct_profile, group_mean_profile
 from claimlake.operators.rowindex import with_row_index
 
@@ -17,10 +17,10 @@ def _median(vals):
         return None
     n = len(v)
     lo, hi = v[(n - 1) // 2], v[n // 2]
-    return lo + (hi - lo) * 0.5
+    return lo if lo == hi else lo * 0.5 + hi * 0.5
 
 
-def test_rank_median_matches_exact_on_skewed_groups(spark):
+def test_median_matches_exact_on_skewed_groups(spark):
     rnd = random.Random(7)
     rows = []
     # one hot group with a third of all rows, repeated values, nulls, tiny groups
@@ -35,18 +35,39 @@ def test_rank_median_matches_exact_on_skewed_groups(spark):
     for k, v in rows:
         expected.setdefault(k, []).append(v)
     expected = {k: _median(v) for k, v in expected.items()}
-    got_rank = {r.k: r.m for r in rank_median(df, ["k"], "v", "m", partitions=16).collect()}
-    got_builtin = {r.k: r.m for r in grouped_median(df, ["k"], "v", "m").collect()}
-    got_forced = {r.k: r.m for r in grouped_median(df, ["k"], "v", "m", max_group_rows=10).collect()}
-    assert got_rank == expected
-    assert got_builtin == expected
-    assert got_forced == expected
-
-
-def test_rank_median_null_keys_and_two_keys(spark):
+    for accuracy in (10, 100, 10_000):
+        assert {r.k: r.m for r in grouped_median(df, ["k"], "v", "m", accuracy=accuracy).collect()} == expected
+
+
+def test_median_equals_the_built_in_on_extremes(spark):
+    from pyspark.sql import functions as F
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", 0.1), ("a", 0.7), ("b", inf), ("b", inf), ("c", 1e308), ("c", -1e308), ("d", -inf), ("d", 3.0), ("e", nan), ("e", 1.0), ("e", nan),
+            ("f", -inf), ("f", inf), ("g", None), ("h", 0.0)] + [("i", i / 7) for i in range(30_000)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    want = {r.k: repr(r.m) for r in df.groupBy("k").agg(F.median("v").alias("m")).collect()}
+    assert {r.k: repr(r.m) for r in grouped_median(df, ["k"], "v", "m").collect()} == want
+    longs = spark.createDataFrame([(1, 2 ** 62), (1, -2 ** 62), (1, 2 ** 62 - 1), (2, 2 ** 62), (2, 2 ** 62 - 5), (3, 7), (3, None)], "k int, v long")
+    want = {r.k: r.m for r in longs.groupBy("k").agg(F.median("v").alias("m")).collect()}
+    assert {r.k: r.m for r in grouped_median(longs, ["k"], "v", "m").collect()} == want
+
+
+def test_median_plan_starts_no_job(spark):
+    from claimlake.plans.jobs import dashboard_pack
+    from claimlake.plans import catalogue
+    from tests.conftest import SF_SMALL
+    scored = catalogue.acp(spark, SF_SMALL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("median-plan", "plans only")
+    dashboard_pack(scored)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not tracker.getJobIdsForGroup("median-plan")
+
+
+def test_median_null_keys_and_two_keys(spark):
     rows = [(None, 1, 5.0), (None, 1, 7.0), ("a", 1, 1.0), ("a", 2, 2.0), ("a", 2, 4.0), ("a", 2, 9.0)]
     df = spark.createDataFrame(rows, "k string, j int, v double")
-    got = {(r.k, r.j): r.m for r in rank_median(df, ["k", "j"], "v", "m", partitions=3).collect()}
+    got = {(r.k, r.j): r.m for r in grouped_median(df, ["k", "j"], "v", "m").collect()}
     assert got == {(None, 1): 6.0, ("a", 1): 1.0, ("a", 2): 4.0}
 
 
