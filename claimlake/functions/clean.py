@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 RAW_DATE_FORMAT = "yyyyMMdd"
 DEFAULT_CLAIM_DATE = _dt.date(2008, 1, 1)
 MISSING_CODE = "nan"
+# Cell texts that the source's reader took as missing.
+MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                 "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def _c(x) -> Column:
@@ -28,6 +31,16 @@ def try_cast(c, to: str) -> Column:
     return _c(c).try_cast(to)
 
 
+def given(c) -> Column:
+    """A cell holds a value: it is neither null nor one of the missing texts."""
+    col = _c(c)
+    return col.isNotNull() & ~F.trim(col.cast("string")).isin(*MISSING_TEXTS)
+
+
+def _value(c) -> Column:
+    return F.when(given(c), _c(c))
+
+
 def parse_yyyymmdd(c) -> Column:
     """FN1: ``yyyyMMdd`` text (or an integer) to DATE; blank / malformed -> null."""
     s = F.trim(_c(c).cast("string"))
@@ -40,37 +53,36 @@ def fill_null_date(c, default: _dt.date = DEFAULT_CLAIM_DATE) -> Column:
 
 
 def to_double(c) -> Column:
-    """Text or number -> double; blank or non-numeric text -> null."""
-    return try_cast(_c(c), "double")
+    """Text or number -> double; a missing or non-numeric text -> null."""
+    return try_cast(_value(c), "double")
 
 
 def cast_smallint(c) -> Column:
     """FN4: narrow to SMALLINT; out-of-range or non-integral text -> null (quarantined)."""
-    return try_cast(try_cast(_c(c), "bigint"), "smallint")
+    return try_cast(try_cast(_value(c), "bigint"), "smallint")
 
 
 def cast_int(c) -> Column:
-    return try_cast(try_cast(_c(c), "bigint"), "int")
+    return try_cast(try_cast(_value(c), "bigint"), "int")
 
 
 def cast_long(c) -> Column:
-    return try_cast(_c(c), "bigint")
+    return try_cast(_value(c), "bigint")
 
 
 def fill_zero_short(c, width: str = "smallint") -> Column:
-    """FN3: null -> 0, then truncate toward zero into a narrow integer.
+    """FN3: missing -> 0, then truncate toward zero into a narrow integer.
 
-    A value that does not fit the width becomes null (quarantined), not 0.
+    A value that is no number or does not fit the width becomes null
+    (quarantined), not 0.
     """
-    num = to_double(c)
-    return F.when(num.isNull(), F.lit(0).cast(width)).otherwise(try_cast(num, width))
+    return F.when(~given(c), F.lit(0).cast(width)).otherwise(try_cast(to_double(c), width))
 
 
 def normalise_npi(c) -> Column:
     """FN6: numeric provider id (possibly float text) -> integral string; missing -> null."""
-    num = to_double(c)
-    as_text = F.coalesce(num, F.lit(-1.0)).cast("bigint").cast("string")
-    return F.nullif(as_text, F.lit("-1"))
+    number = try_cast(to_double(c), "bigint")
+    return F.nullif(number.cast("string"), F.lit("-1"))
 
 
 def cast_string(c) -> Column:

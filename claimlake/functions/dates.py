@@ -14,8 +14,8 @@ def _c(x) -> Column:
 
 
 def epoch_seconds(c) -> Column:
-    """FN7: seconds since the epoch of a date (midnight, session time zone)."""
-    return F.unix_timestamp(_c(c).cast("timestamp"))
+    """FN7: seconds since the epoch of a date (midnight UTC in any session)."""
+    return F.unix_date(_c(c).cast("date")).cast("long") * 86_400
 
 
 def age_years(later, earlier) -> Column:

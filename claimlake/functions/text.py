@@ -31,12 +31,10 @@ def token_count(s, sep: str = " ") -> Column:
 def text_in_parens(s) -> Column:
     """FN12: text between the first '(' and the next ')'; null when there is no '('.
 
-    Matches ``s.split('(', 1)[1].split(')')[0]``: without a closing ')' the rest
-    of the string is returned.
+    Without a closing ')' the rest of the text is returned.
     """
     col = _c(s)
-    rest = F.when(F.instr(col, "(") > 0,
-                  F.substring(col, F.instr(col, "(") + 1, 1 << 30))
+    rest = F.when(F.instr(col, "(") > 0, F.substring(col, F.instr(col, "(") + 1, F.length(col)))
     return F.substring_index(rest, ")", 1)
 
 

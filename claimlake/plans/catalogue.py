@@ -360,6 +360,39 @@ def q_normalise_npi(spark, sf):
     return c.select("c_custkey", normalise_npi(raw).alias("AT_PHYSN_NPI"))
 
 
+@register("epoch_seconds", "SELECT o_orderkey, CAST(epoch(CAST(o_orderdate AS TIMESTAMP)) AS BIGINT) AS seconds FROM orders")
+def q_epoch_seconds(spark, sf):
+    """FN7 on the order dates."""
+    from claimlake.functions.dates import epoch_seconds
+    return si.read_table(spark, sf, "orders").select("o_orderkey", epoch_seconds("o_orderdate").alias("seconds"))
+
+
+# Cell texts by row number: missing spellings, over-wide, negative, fractional and plain values.
+CELLS = ["nan", "NA", "", "1e30", "-1", "30.9", "1234567890.0", "x", "NULL", "99999"]
+CELL_SQL = "CASE c_custkey % 10 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(CELLS)) + " END"
+
+
+def _cell():
+    return F.get(F.array(*map(F.lit, CELLS)), (F.col("c_custkey") % 10).cast("int"))
+
+
+@register("fill_zero_short_cells", f"""SELECT c_custkey, CASE c_custkey % 10 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 4 THEN -1
+  WHEN 5 THEN 30 WHEN 6 THEN 1234567890 WHEN 8 THEN 0 WHEN 9 THEN 99999 END AS quantity,
+  {CELL_SQL} AS cell FROM customer""")
+def q_fill_zero_short_cells(spark, sf):
+    """FN3 at the DDL width: missing spellings give 0, texts and over-wide numbers null."""
+    from claimlake.functions.clean import fill_zero_short
+    return si.read_table(spark, sf, "customer").select("c_custkey", fill_zero_short(_cell(), "int").alias("quantity"), _cell().alias("cell"))
+
+
+@register("normalise_npi_cells", f"""SELECT c_custkey, CASE c_custkey % 10 WHEN 5 THEN '30' WHEN 6 THEN '1234567890' WHEN 9 THEN '99999' END AS npi,
+  {CELL_SQL} AS cell FROM customer""")
+def q_normalise_npi_cells(spark, sf):
+    """FN6: missing spellings, -1, texts and over-wide numbers give null and never fail."""
+    from claimlake.functions.clean import normalise_npi
+    return si.read_table(spark, sf, "customer").select("c_custkey", normalise_npi(_cell()).alias("npi"), _cell().alias("cell"))
+
+
 # ------------------------------------------------- links, text and paths
 ANCHOR_RX = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 ANCHORS_SQL = f"""SELECT page_id, url, href,

@@ -72,7 +72,8 @@ def q_scan_zip_csv(spark, sf):
     from pyspark.sql import types as T
 
     from claimlake.functions.clean import try_cast
-    from claimlake.sources.archives import scan_zip_csv, write_zip_csv
+    from claimlake.plans.zip_fixture import write_zip_csv
+    from claimlake.sources.archives import scan_zip_csv
     c = si.read_table(spark, sf, "customer")
     root = scratch_path(spark, "scan_zip_csv")
     write_zip_csv(c, root, "customer", files=spark.sparkContext.defaultParallelism)
@@ -307,7 +308,7 @@ ARCHIVE_STEMS = {
 
 def _ingest_roundtrip(spark, raw: DataFrame, table: str):
     from claimlake.plans.ingest import ingest, read_ingested
-    from claimlake.sources.archives import write_zip_csv
+    from claimlake.plans.zip_fixture import write_zip_csv
     root = scratch_path(spark, f"ingest_{table}")
     write_zip_csv(raw, f"{root}/landing", ARCHIVE_STEMS[table], files=spark.sparkContext.defaultParallelism)
     res = ingest(spark, f"{root}/landing", table, f"{root}/lake")
@@ -383,7 +384,7 @@ def q_warehouse_refresh(spark, sf):
 @register("ingest_incremental_claims", V(ddl_sql(S.DRUG_EVENTS, PDE_EXPECTED, "pde"), "pde"))
 def q_ingest_incremental_claims(spark, sf):
     """ST1 on raw archives: drug-event archives land in two drops; each is ingested once."""
-    from claimlake.sources.archives import write_zip_csv
+    from claimlake.plans.zip_fixture import write_zip_csv
     from claimlake.streaming.incremental import run_archive_ingest
     raw = _raw_drug_events(spark, sf)
     root = scratch_path(spark, "incremental_claims")

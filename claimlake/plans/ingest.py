@@ -4,9 +4,13 @@ One Spark job per table: archive scan (parallel over archives) -> typing
 and cleaning as JVM expressions -> chunked Parquet append.  Rows are never
 dropped: a value that does not convert (malformed date, integer wider
 than its column) becomes null and the row records the offending column names
-in ``_rejected``, so the quarantine is ``WHERE size(_rejected) > 0`` on the
+in ``_rejected`` (``_corrupt_record`` for a line that did not parse), so the quarantine is ``WHERE size(_rejected) > 0`` on the
 same dataset - written in the same pass, not a second job.  Each row also
 keeps the archive it came from (``_source_file``).
+
+A dataset has one partition folder an archive (``_archive``, the file's name),
+and a write replaces the folders of the archives it holds: a rerun, or a retry
+after a failure, never adds the same archive twice.
 """
 
 from __future__ import annotations
@@ -18,8 +22,8 @@ from pyspark.sql import functions as F
 
 from claimlake import schemas as S
 from claimlake.functions import clean
-from claimlake.sources.archives import scan_zip_csv
-from claimlake.sources.files import RAW_ENCODING
+from claimlake.sources.archives import ZIP_GLOB, scan_zip_csv
+from claimlake.sources.files import CORRUPT_COLUMN
 
 # Which columns each raw file gets special cleaning on.
 DATE_COLUMNS = {
@@ -39,15 +43,15 @@ TABLE_PREFIXES = {
     "outpatient_claims": "Outpatient_Claims",
     "prescription_drug_events": "Prescription_Drug_Events",
 }
-MAX_ROWS_PER_FILE = 100_000
+#: Rows in an output file at most; some hundred MB of these tables.
+MAX_ROWS_PER_FILE = 2_000_000
 
 
 def _typed(table: str, name: str, kind: str, raw: Column) -> Column:
     if name in DATE_COLUMNS.get(table, []):
         return clean.parse_yyyymmdd(raw)
     if name in FILL_ZERO_COLUMNS.get(table, []):
-        # filled, truncated to 16 bits as the source did, stored at the DDL width
-        return clean.fill_zero_short(raw, "smallint").cast("int" if kind == "int" else kind)
+        return clean.fill_zero_short(raw, {"short": "smallint", "long": "bigint"}.get(kind, kind))
     if name in NPI_COLUMNS:
         return clean.normalise_npi(raw)
     return {
@@ -71,10 +75,13 @@ def type_raw(raw: DataFrame, table: str) -> DataFrame:
     for i, (name, kind) in enumerate(layout):
         r = F.col(name)
         typed.append(_typed(table, name, kind, r).alias(name))
-        present.append((r.isNotNull() & (F.trim(r) != "")).alias(f"_p{i}"))
-    extra = [c for c in ("_source_file",) if c in raw.columns]
+        present.append(clean.given(r).alias(f"_p{i}"))
+    extra = [c for c in ("_source_file", CORRUPT_COLUMN) if c in raw.columns]
     step = raw.select(*typed, *present, *extra)
     lost = [F.when(F.col(f"_p{i}") & F.col(name).isNull(), F.lit(name)) for i, (name, _) in enumerate(layout)]
+    if CORRUPT_COLUMN in extra:
+        lost.append(F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(CORRUPT_COLUMN)))
+        extra.remove(CORRUPT_COLUMN)
     rejected = F.filter(F.array(*lost), lambda x: x.isNotNull()).alias("_rejected")
     return step.select(*[n for n, _ in layout], rejected, *extra)
 
@@ -87,42 +94,33 @@ class IngestResult:
     rejected_rows: int
 
 
-def scan_raw_csv(spark: SparkSession, source_root: str | list[str], table: str, glob: str = "*.csv") -> DataFrame:
-    """Plain (unzipped) raw files: Spark's CSV reader, all text, header names checked.
+def ingest(spark: SparkSession, source: str | list[str] | DataFrame, table: str, target_root: str,
+           glob: str = ZIP_GLOB, max_rows_per_file: int = MAX_ROWS_PER_FILE) -> IngestResult:
+    """JB1-JB4: raw files of ``source`` -> ``<target_root>/<Table_Prefix>/``.
 
-    Uncompressed CSV is splittable, so one large file is read by many tasks.
-    ``enforceSchema=false`` makes Spark compare each file's header with the
-    table's column names and fail on a mismatch instead of mapping by position.
+    ``source`` is a folder, a list of files, or a listing (path, length); ``glob``
+    picks the files of a folder, ZIP archives (first member read) or plain CSV.
+    An archive that is there already is replaced.
     """
-    raw = (spark.read.schema(S.raw_struct(S.TABLES[table]))
-           .option("header", True).option("enforceSchema", False)
-           .option("encoding", RAW_ENCODING).option("mode", "PERMISSIVE")
-           .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-           .csv(source_root if isinstance(source_root, str) else list(source_root)))
-    return raw.withColumn("_source_file", F.col("_metadata.file_path"))
-
-
-def ingest(spark: SparkSession, source_root: str | list[str], table: str, target_root: str,
-           glob: str = "*.zip", max_rows_per_file: int = MAX_ROWS_PER_FILE) -> IngestResult:
-    """JB1-JB4: raw files under ``source_root`` -> ``<target_root>/<Table_Prefix>/`` (append).
-
-    ``source_root`` is a folder or a list of files; ``glob`` picks the file
-    kind: ``*.zip`` archives (first member read) or ``*.csv`` plain files.
-    """
-    if glob.lower().endswith(".csv"):
-        raw = scan_raw_csv(spark, source_root, table, glob)
-    else:
-        raw = scan_zip_csv(spark, source_root, S.raw_struct(S.TABLES[table]), glob)
+    raw = scan_zip_csv(spark, source, S.raw_struct(S.TABLES[table]), glob)
     typed = type_raw(raw, table)
     obs = Observation(f"ingest_{table}")
     typed = typed.observe(obs, F.count(F.lit(1)).alias("rows"),
                           F.sum(F.when(F.size("_rejected") > 0, 1).otherwise(0)).alias("rejected"))
     path = f"{target_root.rstrip('/')}/{TABLE_PREFIXES[table]}"
-    write_chunked_parquet(typed, path, max_rows_per_file)
+    write_archives(typed, path, max_rows_per_file)
     m = obs.get
     return IngestResult(table, path, int(m.get("rows") or 0), int(m.get("rejected") or 0))
 
 
+def write_archives(df: DataFrame, path: str, max_rows_per_file: int = MAX_ROWS_PER_FILE) -> None:
+    """SK1: one folder of Parquet files an archive, replacing those of the archives
+    in ``df``; a large archive is written by several tasks, small ones share one."""
+    named = df.withColumn("_archive", F.substring_index("_source_file", "/", -1))
+    (named.hint("rebalance", F.col("_archive")).write.option("maxRecordsPerFile", max_rows_per_file)
+     .option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("_archive").parquet(path))
+
+
 def write_chunked_parquet(df: DataFrame, path: str, max_rows_per_file: int = MAX_ROWS_PER_FILE,
                           mode: str = "append") -> None:
     """SK1: Parquet files of at most ``max_rows_per_file`` rows under one prefix."""
@@ -131,7 +129,7 @@ def write_chunked_parquet(df: DataFrame, path: str, max_rows_per_file: int = MAX
 
 def read_ingested(spark: SparkSession, path: str, table: str) -> DataFrame:
     """The DDL columns of an ingested dataset (quarantine columns left out)."""
-    return spark.read.schema(S.table_struct(table)).parquet(path)
+    return spark.read.schema(S.table_struct(table)).parquet(path).select(*[n for n, _ in S.TABLES[table]])
 
 
 def quarantine(spark: SparkSession, path: str) -> DataFrame:

@@ -14,17 +14,21 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake import schemas as S
 from claimlake.plans import dashboards as dash
 from claimlake.plans.features import feature_table
 from claimlake.plans.ingest import TABLE_PREFIXES, ingest, read_ingested
+from claimlake.plans.links import filename_kind
 from claimlake.plans.model import run as run_model
 from claimlake.plans.model import scored_table
 from claimlake.plans.warehouse import (create_schema, drop_old_versions, full_refresh,
                                        write_predictions)
+from claimlake.session import scratch_path
+from claimlake.sources.archives import list_archives, member_names
+
 
 def _append_log(spark: SparkSession, log_path: str | None, job: str, files: int, rows: int,
                 elapsed: float) -> None:
@@ -38,67 +42,68 @@ def _append_log(spark: SparkSession, log_path: str | None, job: str, files: int,
                  "job", "files", "rows", "elapsed_sec").write.mode("append").parquet(log_path)
 
 
-# Name patterns per table, used when the file-name rule gives no kind.
-NAME_PATTERNS = {
-    "beneficiary_summary": "Beneficiary_Summary",
-    "inpatient_claims": "Inpatient_Claims",
-    "outpatient_claims": "Outpatient_Claims",
-    "prescription_drug_events": "Prescription_Drug_Events",
-}
+# The kinds of the download catalogue and their tables, in the
+# order that decides if a file is listed under several.
+KIND_TABLES = {"beneficiary": "beneficiary_summary", "inpatient": "inpatient_claims",
+               "outpatient": "outpatient_claims", "drug_events": "prescription_drug_events"}
+LANDED_GLOB = "*.{[zZ][iI][pP],[cC][sS][vV]}"
+
+
+def _table_of_name(name: Column) -> Column:
+    """Table of a file name: the token rule, then the table prefixes; or null."""
+    kinds = F.create_map(*[x for k, v in KIND_TABLES.items() for x in (F.lit(k), F.lit(v))])
+    out = F.when(filename_kind(name).isNotNull(), kinds[filename_kind(name)])
+    for table, prefix in TABLE_PREFIXES.items():
+        out = out.when(name.contains(prefix), F.lit(table))
+    return out
 
 
 def route_landed_files(spark: SparkSession, landing: str, catalogue: DataFrame | None = None) -> DataFrame:
-    """(path, file_name, ext, table) for every ZIP / CSV file under ``landing``.
+    """(path, length, file_name, ext, table) for every ZIP / CSV file under ``landing``.
 
     The table comes from, in order: the download catalogue's ``table_kind`` for
-    that file name (the link-text rule), the file-name token rule, then the
-    name patterns above.  Files with no table are listed with a null table.
+    that file name (the link-text rule; of several kinds the first of
+    ``KIND_TABLES``), the file's own name, and the name of the archive's first
+    member.  Files with no table are listed with a null table.
     """
-    from claimlake.plans.links import filename_kind
-    from claimlake.sources.archives import list_archives
-    files = list_archives(spark, landing, "*.{zip,csv,ZIP,CSV}").select(
-        "path", F.substring_index("path", "/", -1).alias("file_name"))
+    files = list_archives(spark, landing, LANDED_GLOB).withColumn("file_name", F.substring_index("path", "/", -1))
     files = files.withColumn("ext", F.lower(F.substring_index("file_name", ".", -1)))
-    by_pattern = None
-    for table, pat in NAME_PATTERNS.items():
-        cond = F.col("file_name").contains(pat)
-        by_pattern = F.when(cond, F.lit(table)) if by_pattern is None else by_pattern.when(cond, F.lit(table))
-    kinds = {"beneficiary": "beneficiary_summary", "inpatient": "inpatient_claims",
-             "outpatient": "outpatient_claims", "drug_events": "prescription_drug_events"}
-    kind_map = F.create_map(*[x for k, v in kinds.items() for x in (F.lit(k), F.lit(v))])
-    by_name = kind_map[filename_kind(F.col("file_name"))]
+    table = _table_of_name(F.col("file_name"))
     if catalogue is not None:
-        cat = (catalogue.where(F.col("table_kind").isNotNull())
-               .select("file_name", kind_map[F.col("table_kind")].alias("_cat")).dropDuplicates(["file_name"]))
-        files = files.join(cat, "file_name", "left")
-        chosen = F.coalesce(F.col("_cat"), by_name, by_pattern)
-    else:
-        chosen = F.coalesce(by_name, by_pattern)
-    return files.select("path", "file_name", "ext", chosen.alias("table"))
+        ranks = F.array_position(F.array(*map(F.lit, KIND_TABLES)), F.col("table_kind"))
+        first = (catalogue.where(F.col("table_kind").isin(*KIND_TABLES)).groupBy("file_name").agg(F.min(ranks).alias("_rank")))
+        files = files.join(first, "file_name", "left")
+        table = F.coalesce(F.get(F.array(*map(F.lit, KIND_TABLES.values())), (F.col("_rank") - 1).cast("int")), table)
+    files = files.select("path", "length", "file_name", "ext", table.alias("table"))
+    inside = member_names(files.where((F.col("ext") == "zip") & F.col("table").isNull()))
+    inside = inside.select(F.col("path").alias("_path"), _table_of_name(F.col("member")).alias("_inside"))
+    joined = files.join(inside, files["path"] == inside["_path"], "left")
+    return joined.select("path", "length", "file_name", "ext", F.coalesce("table", "_inside").alias("table"))
 
 
 def ingest_all(spark: SparkSession, landing: str, lake: str, log_path: str | None = None,
                catalogue: DataFrame | None = None) -> dict:
     """Ingest every ZIP archive and plain CSV file under ``landing`` into its table.
 
-    Files are routed by :func:`route_landed_files`; the file list (metadata,
-    one row per file) is the only thing brought to the driver.  Returns
-    files / rows / rejected rows per table.
+    Files are routed by :func:`route_landed_files`; the routed listing is written
+    once and stays distributed.  Returns files / rows / rejected rows per table,
+    and under ``_unrouted`` the number and the listing of files without a table,
+    if there are any; both go to the run log.
     """
     started = time.time()
-    routed = route_landed_files(spark, landing, catalogue).where(F.col("table").isNotNull())
-    groups: dict[tuple[str, str], list[str]] = {}
-    for r in routed.select("table", "ext", "path").collect():
-        groups.setdefault((r["table"], r["ext"]), []).append(r["path"])
+    listing = scratch_path(spark, "routed")
+    route_landed_files(spark, landing, catalogue).write.parquet(listing)
+    routed = spark.read.parquet(listing)
+    counts = {r["table"]: r["count"] for r in routed.groupBy("table").count().collect()}  # one row a table
     out: dict = {}
-    for (table, ext), paths in sorted(groups.items()):
-        res = ingest(spark, paths, table, lake, "*.csv" if ext == "csv" else "*.zip")
-        acc = out.setdefault(table, {"archives": 0, "rows": 0, "rejected_rows": 0, "path": res.path})
-        acc["archives"] += len(paths)
-        acc["rows"] += res.rows
-        acc["rejected_rows"] += res.rejected_rows
+    for table in sorted(t for t in counts if t is not None):
+        res = ingest(spark, routed.where(F.col("table") == table).select("path", "length"), table, lake)
+        out[table] = {"archives": counts[table], "rows": res.rows, "rejected_rows": res.rejected_rows, "path": res.path}
     _append_log(spark, log_path, "ingest", sum(v["archives"] for v in out.values()),
                 sum(v["rows"] for v in out.values()), time.time() - started)
+    if counts.get(None):
+        out["_unrouted"] = {"archives": counts[None], "rows": 0, "rejected_rows": 0, "path": listing}
+        _append_log(spark, log_path, "ingest_unrouted", counts[None], 0, time.time() - started)
     return out
 
 

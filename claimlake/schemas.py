@@ -101,7 +101,7 @@ PREDICTIONS = (
 
 # Typed CSV of scored rows as the second dashboard reads it (leading row index).
 PREDICTIONS_CSV = (
-    [("F1", I), ("ANNUAL_COST", F), ("PATIENT_ID", S), ("AGE_YRS", F), ("GENDER", I),
+    [("F1", L), ("ANNUAL_COST", F), ("PATIENT_ID", S), ("AGE_YRS", F), ("GENDER", I),
      ("RACE", I), ("STATE", I), ("DX", I), ("PX", I), ("HCPCS", I)]
     + [(c, I) for c in CONDITION_FLAGS if c not in ("SP_CNCR", "SP_COPD")]
     + [("GENDER_index", F), ("RACE_index", F), ("STATE_index", F), ("features", S),

@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import warnings
 
 from pyspark.sql import SparkSession
 
@@ -53,13 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    # Unset (local tests only): make our own.  On a cluster this must be a
-    # shared folder, so say loudly that a machine-local one is being used.
-    local = tempfile.mkdtemp(prefix="claimlake-ckpt-")
-    if not sc.master.startswith("local"):
-        warnings.warn(f"spark.checkpoint.dir is not set; using machine-local {local}. "
-                      "Set it to a shared folder on a cluster.", RuntimeWarning, stacklevel=2)
-    sc.setCheckpointDir(local)
+    # Unset: a private folder, which only the one machine of a local master sees.
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set; set it to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="claimlake-ckpt-"))
     return sc.getCheckpointDir()
 
 
@@ -69,17 +65,6 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{root}/claimlake/{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def local_fs_path(path: str) -> str | None:
-    """Plain filesystem path for a ``file:`` URI, else None."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" not in path:
-        return path
-    return None
-
-
 def suggest_shuffle_partitions(spark: SparkSession, roots: list[str], target_mb: int = 200,
                                expansion: float = 3.0) -> int:
     """A shuffle-partition count for inputs under ``roots``: total file bytes

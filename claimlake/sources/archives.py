@@ -1,15 +1,20 @@
-"""ZIP-archived CSV scan (SC3) and a ZIP writer for round-trip fixtures.
-
-An archive is not splittable, so decompression is parallel over archives:
-the binary-file source lists them (its ``content`` column is never read, so
-no archive is loaded whole into a row) and packs them into tasks by size.
-Each task opens its archives through the Arrow filesystem layer (local, HDFS
-or object-store URIs), reads the FIRST member only, and streams its CSV
-records out in fixed-size batches, so a task's memory is bounded by the batch
-size, not the archive size.  The records are then rebalanced over evenly
-sized tasks and parsed by the JVM CSV parser (``from_csv``); every value stays
-text, typing happens afterwards in JVM expressions.  A corrupt archive fails
-its task visibly.
+"""Claim-file scans (SC3): ZIP-archived and plain CSV, every value kept as text.
+
+The binary-file source lists the files (their ``content`` is never read) and the
+listing stays a DataFrame.  A task opens its files through the Arrow filesystem
+layer (local, HDFS or object-store URIs; credentials are those of the machine,
+the session's Hadoop options are not seen), and sends on blocks of whole lines
+of about ``BLOCK_BYTES``, so its memory is bounded by a block, not by the file.
+An archive is not splittable and is read by one task, its first member only; a
+plain file is read in byte ranges of ``RANGE_BYTES``.  The blocks are rebalanced
+over evenly sized tasks, which split the lines and parse them with the JVM CSV
+parser.  The plan is the same for any number and size of files.
+
+A record is a line.  A line that does not parse into the columns of its file's
+header (a stray quote, too few or too many fields) keeps what could be read, and
+its text in ``_corrupt_record``, and never touches its neighbours.  Headers are
+matched without regard to case and order; a missing column fails the scan.  A
+corrupt archive fails its task visibly.
 """
 
 from __future__ import annotations
@@ -18,10 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlake.sources.files import RAW_DATE_FORMAT, RAW_ENCODING
+from claimlake.sources.files import CORRUPT_COLUMN, RAW_ENCODING
 
-# Fixed value: rows per chunk (the original split raw files into 100,000-row pieces).
-CHUNK_ROWS = 100_000
+BLOCK_BYTES, RANGE_BYTES = 1 << 20, 128 << 20
+ZIP_GLOB, CSV_GLOB = "*.[zZ][iI][pP]", "*.[cC][sS][vV]"
 
 
 def arrow_uri(path: str) -> str:
@@ -41,173 +46,143 @@ def arrow_fs(path: str):
     return pafs.FileSystem.from_uri(arrow_uri(path))
 
 
-def list_archives(spark: SparkSession, root: str | list[str], glob: str = "*.zip") -> DataFrame:
+def list_archives(spark: SparkSession, root: str | list[str], glob: str = ZIP_GLOB) -> DataFrame:
     """(path, length) of the files under ``root`` (or the given list of files) matching ``glob``."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     return reader.load(root if isinstance(root, str) else list(root)).select("path", "length")
 
 
-def _records(text):
-    """CSV records of a text stream; a quoted field may span lines."""
-    pending = None
-    for line in text:
-        line = line.rstrip("\r\n")
-        pending = line if pending is None else pending + "\n" + line
-        if pending.count('"') % 2 == 0:
-            yield pending
-            pending = None
-    if pending is not None:
-        yield pending
-
-
-def scan_zip_lines(spark: SparkSession, root: str, columns: list[str], glob: str = "*.zip",
-                   encoding: str = RAW_ENCODING, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Raw CSV records (header removed) of the first member of every archive.
-
-    The task only decompresses and splits records; parsing happens later in
-    the JVM.  When a file's header differs from ``columns`` (other order,
-    missing columns) its records are rewritten in ``columns`` order here.
-    """
-    return archive_records(list_archives(spark, root, glob), columns, encoding, chunk_rows)
-
+def member_names(listing: DataFrame) -> DataFrame:
+    """(path, member): name of the first member of each archive of ``listing.path``
+    (only the archives' directories are read)."""
+    def read(batches):
+        import zipfile
 
-def archive_records(listing: DataFrame, columns: list[str], encoding: str = RAW_ENCODING,
-                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Records of the archives named in ``listing.path`` (a batch or a streaming listing)."""
-    cols = list(columns)
+        import pandas as pd
 
-    def read_archives(batches):
+        for batch in batches:
+            names = []
+            for path in batch["path"]:
+                fs, p = arrow_fs(path)
+                with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as zf:
+                    names.append(next(iter(zf.namelist()), None))
+            yield pd.DataFrame({"path": batch["path"], "member": names})
+
+    return listing.select("path").mapInPandas(read, "path string, member string")
+
+
+def _blocks(stream, size: int, end: int | None = None):
+    """Blocks of the whole lines that start before byte ``end`` of a stream."""
+    at = stream.tell()
+    while end is None or at < end:
+        part = stream.read(size if end is None else min(size, end - at))
+        if not part:
+            return
+        if not part.endswith(b"\n"):
+            part += stream.readline()
+        at += len(part)
+        yield part
+
+
+def _skip_to_line(stream, start: int) -> None:
+    """To the first line that starts at or after byte ``start``."""
+    stream.seek(start - 1)
+    if stream.read(1) != b"\n":
+        stream.readline()
+
+
+def _in_order(block: str, width: int, places: list[int], n_columns: int) -> str:
+    """The lines of a file with another header, their fields in the order of the
+    table; a line of the wrong length is made too long for any table, so that
+    the parser reports it."""
+    import csv
+    import io
+
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator="\n")
+    for line in block.splitlines():
+        fields = next(csv.reader([line]), []) if line else []
+        if len(fields) == width and line.count('"') % 2 == 0:
+            writer.writerow([fields[k] for k in places])
+        elif line:
+            out.write(line + "," * (n_columns + width) + "\n")
+    return out.getvalue()
+
+
+def archive_records(listing: DataFrame, columns: list[str], encoding: str = RAW_ENCODING, block_bytes: int = BLOCK_BYTES,
+                    range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(line, _source_file, _member) of the files named in ``listing`` (path,
+    length), ZIP archives or plain CSV, a batch or a streaming listing."""
+    wanted = [c.lower() for c in columns]
+
+    def layout(first: bytes) -> tuple[list[str], list[int]]:
         import csv
+        text = first.decode(encoding).strip("\r\n").removeprefix("\ufeff").removeprefix("\u00ef\u00bb\u00bf")
+        header = [c.strip().lower() for c in next(csv.reader([text]), [])]
+        missing = [c for c in wanted if c not in header]
+        if missing:
+            raise ValueError(f"columns missing in the header: {missing[:5]}")
+        return header, [header.index(c) for c in wanted]
+
+    def read(batches):
         import io
         import zipfile
 
         import pandas as pd
 
-        def rewrite(rec, idx):
-            fields = next(csv.reader([rec]))
-            out = io.StringIO()
-            csv.writer(out, lineterminator="").writerow(
-                [fields[i] if i is not None and i < len(fields) else "" for i in idx])
-            return out.getvalue()
+        def frames(stream, start: int, end: int | None, path: str, member: str):
+            first = stream.readline()
+            if not first:
+                return
+            header, places = layout(first)
+            if start:
+                _skip_to_line(stream, start)
+            for block in _blocks(stream, block_bytes, end):
+                body = block.decode(encoding)
+                if header != wanted:
+                    body = _in_order(body, len(header), places, len(wanted))
+                yield pd.DataFrame({"block": [body], "_source_file": [path], "_member": [member]})
 
         for batch in batches:
-            for path in batch["path"]:
+            for path, start in zip(batch["path"], batch["start"], strict=True):
                 fs, p = arrow_fs(path)
-                with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as zf:
-                    member = zf.namelist()[0]
-                    with zf.open(member) as raw:
-                        text = io.TextIOWrapper(raw, encoding=encoding, newline="")
-                        recs = _records(text)
-                        head = next(recs, None)
-                        if head is None:
-                            continue
-                        header = next(csv.reader([head.lstrip("\ufeff")]))
-                        idx = None if header == cols else [
-                            header.index(c) if c in header else None for c in cols]
-                        buf = []
-                        for rec in recs:
-                            if not rec:
-                                continue
-                            buf.append(rec if idx is None else rewrite(rec, idx))
-                            if len(buf) >= chunk_rows:
-                                yield pd.DataFrame({"line": buf, "_source_file": path, "_member": member})
-                                buf = []
-                        if buf:
-                            yield pd.DataFrame({"line": buf, "_source_file": path, "_member": member})
-
-    return listing.select("path").mapInPandas(
-        read_archives, "line string, _source_file string, _member string")
-
-
-# Fixed value: an archive this many times larger than the average counts as hot.
-HOT_ARCHIVE_RATIO = 4.0
-
-
-def needs_rebalance(spark: SparkSession, listing: DataFrame) -> bool:
-    """Size check on the archive listing (file metadata only, no archive is read).
-
-    Spread the records over the cluster when one archive is much larger than
-    the average (it would otherwise be parsed, typed and written by one task)
-    or when there are fewer archives than task slots.
-    """
-    stats = listing.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("big"),
-                        F.avg("length").alias("avg")).first()
-    if not stats["n"]:
-        return False
-    few = stats["n"] < spark.sparkContext.defaultParallelism
-    hot = stats["avg"] and stats["big"] > HOT_ARCHIVE_RATIO * stats["avg"]
-    return bool(few or hot)
-
-
-def scan_zip_csv(spark: SparkSession, root: str | list[str], raw_schema: T.StructType, glob: str = "*.zip",
-                 encoding: str = RAW_ENCODING, chunk_rows: int = CHUNK_ROWS,
-                 rebalance: bool | str = "auto") -> DataFrame:
-    """SC3: rows of the first CSV member of every archive under ``root``, all text.
-
-    Adds ``_source_file`` (archive path) and ``_member`` (member name).  Columns
-    are matched by header name; a column the file lacks is null.  When
-    rebalancing (``"auto"``: decided by :func:`needs_rebalance`) the raw records
-    are spread over evenly sized tasks (AQE splits a hot archive's output)
-    before they are parsed, so one huge archive costs one task of
-    decompression, not one task of parsing, typing and writing; with many
-    similar archives the records are parsed in place, without a shuffle.
+                if path.lower().endswith(".zip"):
+                    with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as zf:
+                        member = zf.namelist()[0]
+                        with zf.open(member) as raw:
+                            yield from frames(raw, 0, None, path, member)
+                else:
+                    with fs.open_input_file(p) as fh, io.BufferedReader(fh, block_bytes) as raw:
+                        yield from frames(raw, int(start), int(start) + range_bytes, path, path.rsplit("/", 1)[-1])
+
+    ranges = F.when(F.lower("path").endswith(".zip"), F.array(F.lit(0).cast("long"))).otherwise(
+        F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
+    found = listing.select("path", F.explode(ranges).alias("start"))
+    blocks = found.mapInPandas(read, "block string, _source_file string, _member string")
+    blocks = blocks.repartition(listing.sparkSession.sparkContext.defaultParallelism) if listing.isStreaming else blocks.hint("rebalance")
+    lines = blocks.select(F.explode(F.split("block", "\r?\n")).alias("line"), "_source_file", "_member")
+    return lines.where("line <> ''")
+
+
+def scan_zip_csv(spark: SparkSession, root: str | list[str] | DataFrame, raw_schema: T.StructType, glob: str = ZIP_GLOB,
+                 encoding: str = RAW_ENCODING, **sizes) -> DataFrame:
+    """SC3: rows of every file under ``root`` (a folder, a list of files or a
+    listing), all text: the first member of a ZIP archive, or a plain CSV file.
+
+    Adds ``_source_file`` (file path), ``_member`` (member name) and
+    ``_corrupt_record`` (text of a line that did not parse, else null).
     """
     cols = [f.name for f in raw_schema.fields]
-    listing = list_archives(spark, root, glob)
-    if rebalance == "auto":
-        rebalance = needs_rebalance(spark, listing)
-    lines = archive_records(listing, cols, encoding, chunk_rows)
-    if rebalance:
-        lines = lines.hint("rebalance")
-    return parse_records(lines, cols)
+    listing = root if isinstance(root, DataFrame) else list_archives(spark, root, glob)
+    return parse_records(archive_records(listing, cols, encoding, **sizes), cols)
 
 
 def parse_records(lines: DataFrame, cols: list[str]) -> DataFrame:
     """CSV records -> one text column per name, parsed by the JVM CSV parser."""
-    ddl = ", ".join(f"`{c}` STRING" for c in cols)
-    parsed = lines.select(F.from_csv("line", ddl, {"escape": '"', "mode": "PERMISSIVE"}).alias("_r"),
-                          "_source_file", "_member")
-    return parsed.select(*[F.col("_r")[c].alias(c) for c in cols], "_source_file", "_member")
-
-
-def write_zip_csv(df: DataFrame, out_dir: str, stem: str, files: int | None = None,
-                  encoding: str = RAW_ENCODING, date_format: str = RAW_DATE_FORMAT) -> int:
-    """Write ``df`` as header CSV files, each zipped alone as ``<stem>_<n>.zip``.
-
-    The CSV parts are written by Spark; each part is then zipped by one task
-    (streamed, never held whole).  Returns the number of archives.
-    """
-    spark = df.sparkSession
-    csv_dir = f"{out_dir.rstrip('/')}/_csv"
-    w = df.repartition(files) if files else df
-    (w.write.option("header", True).option("encoding", encoding).option("dateFormat", date_format)
-     .mode("overwrite").csv(csv_dir))
-    target = out_dir.rstrip("/")
-
-    def zip_parts(batches):
-        import shutil
-        import zipfile
-
-        import pandas as pd
-        from pyspark import TaskContext
-
-        for batch in batches:
-            for path in batch["path"]:
-                part = path.rsplit("/", 1)[-1]
-                n = int(part.split("-")[1]) + 1 if part.startswith("part-") else abs(hash(part))
-                name = f"{stem}_{n}"
-                in_fs, in_p = arrow_fs(path)
-                out_fs, out_p = arrow_fs(f"{target}/{name}.zip")
-                # write under this attempt's own name, then rename: a retried or
-                # speculative attempt never leaves a half-written archive behind
-                ctx = TaskContext.get()
-                tmp_p = f"{out_p}.attempt-{ctx.taskAttemptId() if ctx else 0}.tmp"
-                with out_fs.open_output_stream(tmp_p) as dst_file, \
-                        zipfile.ZipFile(dst_file, "w", zipfile.ZIP_DEFLATED) as zf, \
-                        zf.open(f"{name}.csv", "w") as dst, in_fs.open_input_stream(in_p) as src:
-                    shutil.copyfileobj(src, dst, 1 << 20)
-                out_fs.move(tmp_p, out_p)
-                yield pd.DataFrame({"archive": [f"{target}/{name}.zip"]})
-
-    parts = list_archives(spark, csv_dir, "*.csv").select("path")
-    return parts.mapInPandas(zip_parts, "archive string").count()
+    ddl = ", ".join(f"`{c}` STRING" for c in [*cols, CORRUPT_COLUMN])
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    parsed = lines.select("line", (quotes % 2 == 1).alias("_open"), F.from_csv("line", ddl, options).alias("_r"), "_source_file", "_member")
+    return parsed.select(*[F.col("_r")[c].alias(c) for c in cols],
+                         F.coalesce(F.col("_r")[CORRUPT_COLUMN], F.when(F.col("_open"), F.col("line"))).alias(CORRUPT_COLUMN),
+                         "_source_file", "_member")

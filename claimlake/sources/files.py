@@ -68,8 +68,3 @@ def source_file_inventory(spark: SparkSession, root: str, glob: str | None = Non
         F.col("length"),
         F.col("modificationTime").alias("modified"),
     )
-
-
-def with_source_file(df: DataFrame, name: str = "_source_file") -> DataFrame:
-    """Tag every row with the file it came from (hidden file metadata column)."""
-    return df.withColumn(name, F.col("_metadata.file_path"))

@@ -6,13 +6,74 @@ each run processes exactly the files that arrived since the last run (the
 checkpoint remembers which were seen), then stops, so a scheduler can start
 it like a batch job.  The Parquet file sink commits every micro-batch to its
 own metadata log, so a batch that is retried after a failure is not written
-twice, and readers of the target only see committed files.
+twice, and readers of the target only see committed files.  For the same reason a
+target that holds files of another writer is refused: the sink's log would hide
+them from readers.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
+
+from claimlake.sources.archives import ZIP_GLOB
+
+
+def _checked_target(target: str) -> None:
+    """Raise if ``target`` holds data files but no log of a streaming sink."""
+    import pyarrow.fs as pafs
+
+    from claimlake.sources.archives import arrow_fs
+    fs, path = arrow_fs(target)
+    found = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+    names = [f.base_name for f in found]
+    if "_spark_metadata" not in names and any(n[:1] not in "._" for n in names):
+        raise ValueError(f"{target} holds files that no stream wrote; stream into a folder of its own")
+
+
+class _Progress(StreamingQueryListener):
+    """Input rows of each batch of each run, however many there are."""
+
+    def __init__(self):
+        self.rows: dict[str, dict[int, int]] = {}
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if p.numInputRows:
+            self.rows.setdefault(str(p.runId), {})[p.batchId] = p.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+
+def _finish(spark: SparkSession, writer) -> dict:
+    """Run a query to its end; its batches and rows, counted batch by batch
+    (``recentProgress`` keeps only the last hundred)."""
+    seen = _Progress()
+    spark.streams.addListener(seen)
+    try:
+        query = writer.start()
+        query.awaitTermination()
+        run = str(query.runId)
+        with seen.changed:  # the listener hears of the end after all batches
+            seen.changed.wait_for(lambda: run in seen.ended, timeout=60)
+    finally:
+        spark.streams.removeListener(seen)
+    batches = seen.rows.get(run, {})
+    return {"batches": len(batches), "rows": sum(batches.values())}
 
 
 def run_incremental(spark: SparkSession, landing: str, schema: T.StructType, target: str,
@@ -25,21 +86,17 @@ def run_incremental(spark: SparkSession, landing: str, schema: T.StructType, tar
     stream: DataFrame = reader.load(landing)
     if transform is not None:
         stream = transform(stream)
-    q = (stream.writeStream.format("parquet")
-         .option("path", target)
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    progress = q.recentProgress or []
-    rows = sum(int(getattr(p, "numInputRows", None) or (p.get("numInputRows", 0) if isinstance(p, dict) else 0))
-               for p in progress)
-    return {"batches": len(progress), "rows": rows}
+    _checked_target(target)
+    return _finish(spark, _sink(stream, target, checkpoint))
+
+
+def _sink(stream: DataFrame, target: str, checkpoint: str):
+    return (stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True))
 
 
 def run_archive_ingest(spark: SparkSession, landing: str, table: str, target: str, checkpoint: str,
-                       glob: str = "*.zip", max_files_per_trigger: int | None = None) -> dict:
+                       glob: str = ZIP_GLOB, max_files_per_trigger: int | None = None) -> dict:
     """Incremental ingest of newly landed claim archives into ``target`` (ST1 on raw files).
 
     A streaming listing of the landing folder (content never read) feeds the
@@ -58,13 +115,6 @@ def run_archive_ingest(spark: SparkSession, landing: str, table: str, target: st
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     listing = reader.load(landing).select("path", "length")
     cols = [n for n, _ in S.TABLES[table]]
-    records = archive_records(listing, cols).repartition(spark.sparkContext.defaultParallelism)
-    typed = type_raw(parse_records(records, cols), table)
-    q = (typed.writeStream.format("parquet")
-         .option("path", target)
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    return {"batches": len(q.recentProgress or [])}
+    typed = type_raw(parse_records(archive_records(listing, cols), cols), table)
+    _checked_target(target)
+    return _finish(spark, _sink(typed, target, checkpoint))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from claimlake import schemas as S
 from claimlake.plans.ingest import ingest, quarantine, read_ingested
 from claimlake.plans.warehouse import append, create_schema, full_refresh
-from claimlake.sources.archives import scan_zip_csv
+from claimlake.sources.archives import CSV_GLOB, scan_zip_csv
 from claimlake.sources.files import scan_csv
 from claimlake.streaming.incremental import run_incremental
 
@@ -145,26 +145,15 @@ def test_old_versions_are_dropped_but_current_kept(spark, tmp_dir):
     assert [r.DESYNPUF_ID for r in spark.table(t).collect()] == ["id3"]
 
 
-def test_rebalance_decision_from_listing(spark, tmp_dir):
-    from claimlake.sources.archives import list_archives, needs_rebalance
-    for i in range(3):
-        _zip(os.path.join(tmp_dir, f"s{i}.zip"), [("a.csv", "A,B\n" + "1,x\n" * 10)])
-    assert needs_rebalance(spark, list_archives(spark, tmp_dir))  # fewer archives than task slots
-    rows = spark.createDataFrame([(f"p{i}", 100) for i in range(50)] + [("big", 100000)], "path string, length long")
-    assert needs_rebalance(spark, rows)  # one hot archive
-    even = spark.createDataFrame([(f"p{i}", 100 + i) for i in range(50)], "path string, length long")
-    assert not needs_rebalance(spark, even)
-
-
 def test_plain_csv_ingest_equals_archive_ingest(spark, tmp_dir):
     from claimlake.plans import catalogue_io as C
-    from claimlake.sources.archives import write_zip_csv
+    from claimlake.plans.zip_fixture import write_zip_csv
     from tests.conftest import SF_SMALL
     raw = C._raw_drug_events(spark, SF_SMALL)
     csv_dir, zip_dir = os.path.join(tmp_dir, "csv"), os.path.join(tmp_dir, "zip")
     raw.write.option("header", True).option("encoding", "ISO-8859-1").option("dateFormat", "yyyyMMdd").csv(csv_dir)
     write_zip_csv(raw, zip_dir, "DE1_0_Prescription_Drug_Events_Sample", files=2)
-    a = ingest(spark, csv_dir, "prescription_drug_events", os.path.join(tmp_dir, "lake_csv"), glob="*.csv")
+    a = ingest(spark, csv_dir, "prescription_drug_events", os.path.join(tmp_dir, "lake_csv"), glob=CSV_GLOB)
     b = ingest(spark, zip_dir, "prescription_drug_events", os.path.join(tmp_dir, "lake_zip"))
     assert a.rows == b.rows == 6000
     ra = read_ingested(spark, a.path, "prescription_drug_events")
@@ -177,4 +166,84 @@ def test_plain_csv_header_mismatch_fails(spark, tmp_dir):
     with open(p, "w") as f:
         f.write("WRONG,PDE_ID\nx,1\n")
     with pytest.raises(Exception):
-        ingest(spark, tmp_dir, "prescription_drug_events", os.path.join(tmp_dir, "lake"), glob="*.csv")
+        ingest(spark, tmp_dir, "prescription_drug_events", os.path.join(tmp_dir, "lake"), glob=CSV_GLOB)
+
+
+def test_stray_quote_costs_its_own_record(spark, tmp_dir):
+    text = 'A,B\n1,x\n2,"y\n3,z\n4,w\n5,"q, r"\n6,"say ""hi"""\n'
+    _zip(os.path.join(tmp_dir, "q.ZIP"), [("q.csv", text)])
+    rows = {r.A: r for r in scan_zip_csv(spark, tmp_dir, RAW2).collect()}
+    assert len(rows) == 6 and [k for k, r in rows.items() if r._corrupt_record is not None] == ["2"]
+    assert (rows["1"].B, rows["3"].B, rows["5"].B, rows["6"].B) == ("x", "z", "q, r", 'say "hi"')
+
+
+def test_headers_in_any_case_and_order_and_wrong_lengths(spark, tmp_dir):
+    _zip(os.path.join(tmp_dir, "a.zip"), [("a.csv", "a,b\r\n1,x\r\n2\r\n3,y,z,w\r\n")])
+    _zip(os.path.join(tmp_dir, "b.zip"), [("b.csv", "\u00ef\u00bb\u00bfB,Extra,A\nx,0,4\ny,5\n\nz,0,6,7\n\"v,0\",8,9\n")])
+    rows = scan_zip_csv(spark, tmp_dir, RAW2).collect()
+    good = sorted((r.A, r.B) for r in rows if r._corrupt_record is None)
+    assert good == [("1", "x"), ("4", "x"), ("9", "v,0")] and len(rows) == 7
+    _zip(os.path.join(tmp_dir, "c.zip"), [("c.csv", "A,C\n1,x\n")])
+    with pytest.raises(Exception, match="columns missing"):
+        scan_zip_csv(spark, tmp_dir, RAW2).collect()
+
+
+@pytest.mark.parametrize("block,span", [(1 << 20, 128 << 20), (7, 11), (5, 3), (64, 1)])
+def test_plain_files_in_byte_ranges(spark, tmp_dir, block, span):
+    lines = [f"{i},{'v' * (i % 13)}" for i in range(60)]
+    with open(os.path.join(tmp_dir, "p.csv"), "w") as f:
+        f.write("A,B\n" + "\n".join(lines))  # no line end at the end of the file
+    with open(os.path.join(tmp_dir, "none.csv"), "w"):
+        pass
+    got = scan_zip_csv(spark, tmp_dir, RAW2, glob=CSV_GLOB, block_bytes=block, range_bytes=span).collect()
+    assert sorted((r.A, r.B or "") for r in got) == sorted(tuple(x.split(",")) for x in lines)
+
+
+def test_rerun_and_retry_replace_an_archive(spark, tmp_dir):
+    landing, lake = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "lake")
+    os.makedirs(landing)
+    cols = [n for n, _ in S.DRUG_EVENTS]
+
+    def drop(name, ids, cost):
+        lines = [",".join(cols)] + [f"P{i},{i},20090101,{i},70000,{i % 30},0.5,{cost}" for i in ids]
+        _zip(os.path.join(landing, f"{name}.ZIP"), [(f"{name}.csv", "\n".join(lines) + "\n")])
+
+    drop("a", range(0, 6), 1.0)
+    drop("b", range(6, 9), 1.0)
+    res = ingest(spark, landing, "prescription_drug_events", lake)
+    assert (res.rows, res.rejected_rows) == (9, 0)
+    drop("a", range(0, 4), 2.0)
+    os.remove(os.path.join(landing, "b.ZIP"))
+    ingest(spark, landing, "prescription_drug_events", lake)
+    ingest(spark, landing, "prescription_drug_events", lake)
+    rows = read_ingested(spark, res.path, "prescription_drug_events").collect()
+    assert sorted((r.PDE_ID, r.TOT_RX_CST_AMT) for r in rows) == [(i, 2.0) for i in range(4)] + [(i, 1.0) for i in (6, 7, 8)]
+    assert {r.QTY_DSPNSD_NUM for r in rows} == {70000}  # kept at the width of the column
+
+
+def test_broken_lines_are_counted(spark, tmp_dir):
+    cols = [n for n, _ in S.DRUG_EVENTS]
+    lines = [",".join(cols).lower(), "P1,1,20090101,1,30,30,0.5,1.0", 'P2,2,"20090101,1,30,30,0.5,1.0', "P3,3,20090101", "P4,4,20090101,1,NA,nan,0.5,1e400,9,9"]
+    _zip(os.path.join(tmp_dir, "x.zip"), [("x.csv", "\n".join(lines) + "\n")])
+    res = ingest(spark, tmp_dir, "prescription_drug_events", os.path.join(tmp_dir, "lake"))
+    assert (res.rows, res.rejected_rows) == (4, 3)
+    assert all("_corrupt_record" in r._rejected for r in quarantine(spark, res.path).collect())
+
+
+def test_stream_counts_every_batch_and_refuses_foreign_targets(spark, tmp_dir):
+    landing, target, ck = (os.path.join(tmp_dir, x) for x in ("landing", "target", "ck"))
+    spark.range(230).repartition(115).write.option("maxRecordsPerFile", 2).parquet(landing)
+    files = len([f for f in os.listdir(landing) if f.endswith(".parquet")])
+    got = run_incremental(spark, landing, T._parse_datatype_string("id long"), target, ck, max_files_per_trigger=1)
+    assert got == {"batches": files, "rows": 230} and files > 100
+    spark.range(10).write.parquet(os.path.join(tmp_dir, "batch"))
+    with pytest.raises(ValueError, match="no stream wrote"):
+        run_incremental(spark, landing, T._parse_datatype_string("id long"), os.path.join(tmp_dir, "batch"), ck + "2")
+
+
+def test_row_index_beyond_32_bits_survives_the_csv(spark, tmp_dir):
+    from claimlake.sources.files import scan_csv_typed
+    assert dict(S.PREDICTIONS_CSV)["F1"] == "long"
+    path = os.path.join(tmp_dir, "i")
+    spark.range(3_000_000_000, 3_000_000_002).withColumnRenamed("id", "F1").write.option("header", True).csv(path)
+    assert sorted(r.F1 for r in scan_csv_typed(spark, path, T._parse_datatype_string("F1 long")).collect()) == [3_000_000_000, 3_000_000_001]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from claimlake import schemas as S
 from claimlake.plans import catalogue_io as C
 from claimlake.plans.jobs import dashboard_pack, ingest_all, model_job, profile_job, warehouse_job
-from claimlake.sources.archives import write_zip_csv
+from claimlake.plans.zip_fixture import write_zip_csv
 from tests.conftest import SF_SMALL
 
 
@@ -108,3 +108,21 @@ def test_route_landed_files(spark, tmp_dir):
                                 "file_name string, table_kind string")
     got = {r.file_name: r.table for r in route_landed_files(spark, tmp_dir, cat).collect()}
     assert got["mystery_file.zip"] == "outpatient_claims" and got[names[0]] == "beneficiary_summary"
+
+
+def test_generic_archive_is_routed_by_its_member_and_unrouted_files_are_reported(spark, tmp_dir):
+    import zipfile
+    landing, lake, log = (os.path.join(tmp_dir, x) for x in ("landing", "lake", "log"))
+    os.makedirs(landing)
+    cols = [n for n, _ in S.DRUG_EVENTS]
+    with zipfile.ZipFile(os.path.join(landing, "download.ZIP"), "w") as zf:
+        zf.writestr("DE1_0_2008_to_2010_Prescription_Drug_Events_Sample_1.csv", ",".join(cols) + "\nP1,1,20090101,1,30,30,0.5,1.0\n")
+    with zipfile.ZipFile(os.path.join(landing, "other.zip"), "w") as zf:
+        zf.writestr("readme.csv", "A\n1\n")
+    got = ingest_all(spark, landing, lake, log)
+    assert got["prescription_drug_events"]["rows"] == 1 and got["_unrouted"]["archives"] == 1
+    assert spark.read.parquet(got["_unrouted"]["path"]).where("table is null").first().file_name == "other.zip"
+    assert {r.job: r.files for r in spark.read.parquet(log).collect()} == {"ingest": 1, "ingest_unrouted": 1}
+    again = ingest_all(spark, landing, lake)
+    assert again["prescription_drug_events"]["rows"] == 1
+    assert spark.read.parquet(got["prescription_drug_events"]["path"]).count() == 1
