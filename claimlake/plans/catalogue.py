@@ -18,7 +18,8 @@ from claimlake.plans import dashboards as dash
 from claimlake.plans import standins as si
 from claimlake.plans.features import (beneficiary_projection, claims_per_patient,
                                       feature_table)
-from claimlake.schemas import CONDITION_FLAGS, DASHBOARD_CONDITIONS
+from claimlake.schemas import (CONDITION_FLAGS, DASHBOARD_CONDITIONS, FEATURE_COLUMNS,
+                               PREDICTIONS)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -456,6 +457,27 @@ def q_page_links(spark, sf):
     return anchors(spark, sf).select("page_id", "href", "text", "child1")
 
 
+# Fixed made-up pages with the forms an anchor can take, and what must be found in them.
+FORM_PAGES = [
+    ('<A HREF="/up">Upper</A> <a class=x href=\'/single\'>Single &amp; quoted</a><a href=/bare>Bare</a>',
+     [("/up", "Upper", None), ("/single", "Single & quoted", None), ("/bare", "Bare", None)]),
+    ('<a href="/q?a=1&amp;b=2"><img src="i.png"> (ZIP)</a><a href="/n"><b>x <i>y</i></b> (ZIP)</a><a\nhref = "/nl">t&#65;&#x42;&#233;</a>',
+     [("/q?a=1&b=2", None, " (ZIP)"), ("/n", None, " (ZIP)"), ("/nl", "tAB\u00e9", None)]),
+    ('<a name="top"></a><a href="/open">no end <a href="/next">next</a><a data-href="/no">no</a> <a href="/last">&amp;lt; end',
+     [("/open", "no end ", None), ("/next", "next", None), ("/last", "&lt; end", None)]),
+]
+
+
+@register("page_links_forms", f"SELECT page_id, href, text, child1 FROM ({ANCHORS_SQL}) a UNION ALL " + " UNION ALL ".join(
+    f"SELECT CAST({-k} AS BIGINT), {_sql_lit(h)}, {_sql_lit(t)}, {_sql_lit(c)}" for k, (_, found) in enumerate(FORM_PAGES, 1) for h, t, c in found))
+def q_page_links_forms(spark, sf):
+    """SC10: the anchors of all pages and of pages in every spelling of an anchor."""
+    from claimlake.sources.html import page_anchors
+    forms = spark.createDataFrame([(-k, "https://www.example.org/f", html) for k, (html, _) in enumerate(FORM_PAGES, 1)], "page_id long, url string, html string")
+    pages = si.read_table(spark, sf, "pages").select("page_id", "url", "html").unionByName(forms)
+    return page_anchors(pages).select("page_id", "href", "text", "child1")
+
+
 @register("split_token", f"""SELECT page_id, href, text, string_split(text, ' ')[1] AS t0,
   string_split(text, ' ')[5] AS t4, string_split(text, ' ')[-3] AS t_3,
   CAST(len(string_split(text, ' ')) AS INTEGER) AS n_tokens FROM ({ALL_ANCHORS_SQL}) a""")
@@ -533,6 +555,22 @@ def q_download_catalogue(spark, sf):
     return download_catalogue(all_anchors(spark, sf))
 
 
+STORED_PAGES_SQL = "(SELECT page_id, 'https://www.example.org/p/' || page_id AS url, html FROM pages WHERE page_id % 10 = 0) AS pages"
+
+
+@register("catalogue_two_level", ORACLES["download_catalogue"].replace(ALL_ANCHORS_SQL, ANCHORS_SQL).replace("FROM pages", "FROM " + STORED_PAGES_SQL))
+def q_catalogue_two_level(spark, sf):
+    """JB5 with the walk: an index page links to a tenth of the stored pages as samples,
+    to others by other names; only the samples' anchors are classified."""
+    from claimlake.plans.links import catalogue_from_index
+    site = "https://www.example.org"
+    pages = si.read_table(spark, sf, "pages").select("page_id", F.concat(F.lit(f"{site}/p/"), F.col("page_id").cast("string")).alias("url"), "html")
+    name = F.when(F.col("page_id") % 10 == 0, F.lit("DE1.0 Sample")).otherwise(F.lit("Other page"))
+    index = pages.select((-F.col("page_id") - 1).alias("page_id"), F.lit(f"{site}/index").alias("url"),
+                         F.format_string("<a href='/p/%d'>%s %d</a>", "page_id", name, "page_id").alias("html"))
+    return catalogue_from_index(pages.unionByName(index), f"{site}/index")
+
+
 # ----------------------------------------------------------------- profiles
 INP_COLS = ["DESYNPUF_ID", "CLM_ID", "CLM_FROM_DT", "CLM_PMT_AMT", "ICD9_DGNS_CD_1",
             "ICD9_PRCDR_CD_1", "HCPCS_CD_1"]
@@ -693,7 +731,11 @@ def q_assemble_features(spark, sf):
     return a.select("PATIENT_ID", vector_text("features").alias("features"))
 
 
-@register("train_test_split")
+SPLIT_SQL = """CASE WHEN CAST('0x' || substr(md5('42:' || coalesce(PATIENT_ID, '') || ':' || coalesce(CAST(AGE_YRS AS VARCHAR), '')), 1, 8) AS BIGINT)
+  % 10000 < 7000 THEN 'train' ELSE 'test' END"""
+
+
+@register("train_test_split", V(f"SELECT PATIENT_ID, AGE_YRS, {SPLIT_SQL} AS split FROM features", "features"))
 def q_train_test_split(spark, sf):
     from claimlake.plans.model import split_label
     return features(spark, sf).select("PATIENT_ID", "AGE_YRS", split_label().alias("split"))
@@ -722,6 +764,51 @@ def q_linreg_r2(spark, sf):
     return spark.range(1).select(F.round(F.lit(float(m.evaluate(f).r2)), 6).alias("r2"))
 
 
+@register("linreg_normal_equations", V(
+    "SELECT name, true AS orthogonal, (SELECT count(*) FROM features WHERE " + SPLIT_SQL + " = 'train') AS n_train FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in ["(intercept)", *FEATURE_COLUMNS]) + ") AS v(name)", "features"))
+def q_linreg_normal_equations(spark, sf):
+    """ML4 with all 18 features: the residuals of the training rows are orthogonal to
+    every input, which only the least-squares solution satisfies."""
+    from pyspark.ml.functions import vector_to_array
+
+    from claimlake.plans.model import run
+    m = run(features(spark, sf))
+    rows = m.model.transform(m.train).select(
+        F.concat(F.array(F.lit(1.0)), vector_to_array("features")).alias("x"), F.col("ANNUAL_COST").alias("y"),
+        (F.col("ANNUAL_COST") - F.col("prediction")).alias("e"))
+    names = ["(intercept)", *FEATURE_COLUMNS]
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y") * F.col("y")).alias("yy"),
+                    *[F.sum(F.col("x")[k] * F.col("e")).alias(f"d{k}") for k in range(len(names))],
+                    *[F.sum(F.col("x")[k] * F.col("x")[k]).alias(f"s{k}") for k in range(len(names))])
+    return sums.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("name"), (F.abs(F.col(f"d{k}")) <= 1e-6 * F.sqrt(F.col(f"s{k}") * F.col("yy")) + 1e-6).alias("orthogonal"),
+        F.col("n").alias("n_train")) for k, c in enumerate(names)])))
+
+
+@register("score_predictions_rows", V(
+    f"SELECT PATIENT_ID, AGE_YRS, ANNUAL_COST, true AS scored FROM features WHERE {SPLIT_SQL} = 'test'", "features"))
+def q_score_predictions_rows(spark, sf):
+    """ML6: which rows are scored."""
+    scored = q_score_predictions(spark, sf)
+    return scored.select("PATIENT_ID", "AGE_YRS", "ANNUAL_COST", (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("scored"))
+
+
+#: Columns of the scored table that do not come out of the fit.
+SCORED_KEYS = [n for n, _ in PREDICTIONS if not n.endswith("_index") and n not in ("features", "prediction")]
+SCORED_SQL = V(f"SELECT {', '.join(SCORED_KEYS)}, true AS scored FROM features WHERE {SPLIT_SQL} = 'test'", "features")
+
+
+def scored_keys(df: DataFrame) -> DataFrame:
+    return df.select(*SCORED_KEYS, (F.col("prediction").isNotNull() & F.col("features").startswith("[")).alias("scored"))
+
+
+@register("annual_cost_predictions_rows", SCORED_SQL)
+def q_annual_cost_predictions_rows(spark, sf):
+    """JB7, ML7, ML8: rows and cast columns of the scored table."""
+    return scored_keys(q_annual_cost_predictions(spark, sf))
+
+
 @register("score_predictions")
 def q_score_predictions(spark, sf):
     from claimlake.plans.model import run
@@ -758,6 +845,27 @@ def q_annual_cost_predictions_v1(spark, sf):
     return m.scored.select(*V1_ORDER, *[f"{c}_index" for c in V1_CATEGORICALS], "prediction")
 
 
+@register("annual_cost_predictions_v1_rows", f"WITH v1 AS ({ORACLES['feature_table_v1']}) "
+          f"SELECT PATIENT_ID, AGE_YRS, ANNUAL_COST, GENDER, RACE, STATE, DX, PX, HCPCS FROM v1 WHERE {SPLIT_SQL} = 'test'")
+def q_annual_cost_predictions_v1_rows(spark, sf):
+    """The earlier model: which rows are scored."""
+    cols = ["PATIENT_ID", "AGE_YRS", "ANNUAL_COST", "GENDER", "RACE", "STATE", "DX", "PX", "HCPCS"]
+    return q_annual_cost_predictions_v1(spark, sf).where("prediction is not null").select(*cols)
+
+
+@register("approx_distinct_columns_bound", V(
+    "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS exact, true AS within FROM acp"
+                                          for c in ("PATIENT_ID", "AGE_YRS", "STATE", "RACE", "DX")) + ")", "acp"))
+def q_approx_distinct_columns_bound(spark, sf):
+    """AG14: the estimate is within four standard errors (of 5 %) of the exact count."""
+    df = acp(spark, sf)
+    cols = ("PATIENT_ID", "AGE_YRS", "STATE", "RACE", "DX")
+    exact = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).unpivot([], list(cols), "column_name", "exact")
+    estimate = q_approx_distinct_columns(spark, sf)
+    close = F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.2 * F.col("exact")
+    return exact.join(estimate, exact["column_name"] == estimate["column"]).select("column_name", "exact", close.alias("within"))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Median predicted annual cost by state over the model's scored table."""
     from claimlake.plans.model import annual_cost_predictions

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from claimlake import schemas as S
 from claimlake.plans import standins as si
-from claimlake.plans.catalogue import acp, register
+from claimlake.plans.catalogue import ORACLES, SCORED_SQL, acp, register, scored_keys
 from claimlake.session import scratch_path
 
 V = si.with_views
@@ -106,6 +106,23 @@ def q_source_file_inventory(spark, sf):
     return source_file_inventory(spark, sf, "*.parquet")
 
 
+@register("source_file_rows", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, true AS listed FROM {t}" for t in ("region", "nation", "customer", "orders", "lineitem", "events")))
+def q_source_file_rows(spark, sf):
+    """SC6: the listed files of each table with the rows that they hold."""
+    from claimlake.sources.files import source_file_inventory
+    listed = source_file_inventory(spark, sf, "*.parquet").select(F.col("path"), F.col("length"))
+    out = None
+    for t in ("region", "nation", "customer", "orders", "lineitem", "events"):
+        rows = (spark.read.parquet(f"{sf}/{t}.parquet").groupBy(F.col("_metadata.file_path").alias("path"))
+                .agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(t)))
+        out = rows if out is None else out.unionByName(rows)
+    name = F.substring_index("path", "/", -1)
+    listed = listed.groupBy(name.alias("file")).agg(F.max("length").alias("length"))
+    joined = out.withColumn("file", name).join(listed, "file", "left")
+    return joined.groupBy("table_name").agg(F.sum("n").alias("n_rows"), F.min(F.col("length") > 0).alias("listed"))
+
+
 @register("snapshot_extract", V("SELECT * FROM acp", "acp"))
 def q_snapshot_extract(spark, sf):
     from claimlake.plans.warehouse import snapshot
@@ -120,10 +137,20 @@ PDE_TABLE_SQL = V(ddl_sql(S.DRUG_EVENTS, {n: n for n, _ in S.DRUG_EVENTS}, "pde"
 def q_sink_parquet_chunked(spark, sf):
     from claimlake.plans.ingest import write_chunked_parquet
     path = scratch_path(spark, "chunked")
-    write_chunked_parquet(si.pde(spark, sf), path, 100_000)
+    write_chunked_parquet(si.pde(spark, sf), path, 1_000)
     return spark.read.parquet(path)
 
 
+@register("sink_parquet_chunked_limit", V("SELECT count(*) AS n_rows, true AS within_limit, true AS limit_reached FROM pde", "pde"))
+def q_sink_parquet_chunked_limit(spark, sf):
+    """SK1: no file holds more rows than the limit, and the limit is reached."""
+    from claimlake.plans.ingest import write_chunked_parquet
+    path = scratch_path(spark, "chunked")
+    write_chunked_parquet(si.pde(spark, sf), path, 1_000)
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).count()
+    return files.agg(F.sum("count").alias("n_rows"), (F.max("count") <= 1_000).alias("within_limit"), (F.max("count") == 1_000).alias("limit_reached"))
+
+
 @register("sink_predictions")
 def q_sink_predictions(spark, sf):
     from claimlake.plans.catalogue import features
@@ -134,6 +161,12 @@ def q_sink_predictions(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("sink_predictions_rows", SCORED_SQL)
+def q_sink_predictions_rows(spark, sf):
+    """SK2: the scored table as read back from its Parquet files."""
+    return scored_keys(q_sink_predictions(spark, sf))
+
+
 CSV_INDEXED_EXPRS = {n: n for n, _ in S.PREDICTIONS_CSV if n not in (
     "F1", "GENDER_index", "RACE_index", "STATE_index", "features")}
 CSV_INDEXED_EXPRS["F1"] = "row_number() OVER (ORDER BY prediction DESC, PATIENT_ID) - 1"
@@ -212,7 +245,7 @@ def q_table_full_refresh(spark, sf):
     from claimlake.plans.warehouse import full_refresh
     db = _db(spark, ["prescription_drug_events"])
     t = f"{db}.prescription_drug_events"
-    full_refresh(spark, t, si.pde(spark, sf))
+    full_refresh(spark, t, si.pde(spark, sf).where("PDE_ID % 3 = 0").withColumn("PDE_ID", F.col("PDE_ID") + 1))
     full_refresh(spark, t, si.pde(spark, sf))
     return spark.table(t)
 
@@ -247,6 +280,15 @@ def q_run_log(spark, sf):
     return logged_write(si.pde(spark, sf), f"{root}/data", "drug_events", f"{root}/log", files=1)
 
 
+@register("run_log_rows", V("SELECT 'drug_events' AS job, 2 AS files, count(*) AS rows, true AS dated FROM pde", "pde"))
+def q_run_log_rows(spark, sf):
+    """SK7, FN17: the stable columns of a run-log row; the id holds the date and the job."""
+    from claimlake.plans.warehouse import logged_write
+    root = scratch_path(spark, "run_log")
+    log = logged_write(si.pde(spark, sf).repartition(2), f"{root}/data", "drug_events", f"{root}/log", files=2)
+    return log.select("job", "files", "rows", F.col("run_id").rlike("^[0-9]{2}/[0-9]{2}/[0-9]{2}/drug_events/").alias("dated"))
+
+
 # ------------------------------------------------------------------ ingest
 def _raw_beneficiary(spark, sf):
     b = si.ben(spark, sf)
@@ -306,12 +348,31 @@ ARCHIVE_STEMS = {
 }
 
 
-def _ingest_roundtrip(spark, raw: DataFrame, table: str):
-    from claimlake.plans.ingest import ingest, read_ingested
+#: Landing folders made ahead by the bench, by table.
+PREPARED: dict[str, str] = {}
+
+
+def _landing(spark, raw: DataFrame, table: str, files: int | None = None) -> str:
     from claimlake.plans.zip_fixture import write_zip_csv
-    root = scratch_path(spark, f"ingest_{table}")
-    write_zip_csv(raw, f"{root}/landing", ARCHIVE_STEMS[table], files=spark.sparkContext.defaultParallelism)
-    res = ingest(spark, f"{root}/landing", table, f"{root}/lake")
+    if table in PREPARED and files is None:
+        return PREPARED[table]
+    root = f"{scratch_path(spark, f'landing_{table}')}"
+    write_zip_csv(raw, root, ARCHIVE_STEMS[table], files=files or spark.sparkContext.defaultParallelism)
+    return root
+
+
+def prepare_landing(spark, sf: str) -> None:
+    """Make the archives of the timed ingest queries, for the bench."""
+    made = {"inpatient_claims": _landing(spark, _raw_claims(spark, sf, S.INPATIENT), "inpatient_claims"),
+            "prescription_drug_events": _landing(spark, _raw_drug_events(spark, sf), "prescription_drug_events")}
+    PREPARED.update(made)
+
+
+def _ingest_roundtrip(spark, raw: DataFrame, table: str, files: int | None = None, times: int = 1):
+    from claimlake.plans.ingest import ingest, read_ingested
+    root, landing = scratch_path(spark, f"ingest_{table}"), _landing(spark, raw, table, files)
+    for _ in range(times):
+        res = ingest(spark, landing, table, f"{root}/lake")
     return res, read_ingested(spark, res.path, table)
 
 
@@ -343,6 +404,41 @@ def q_ingest_file_counts(spark, sf):
     return file_counts(spark, {a.table: a.path, b.table: b.path})
 
 
+@register("ingest_file_counts_rows", V("""SELECT 'beneficiary_summary' AS table_name, 3 AS source_archives, true AS files, count(*) AS rows FROM ben
+UNION ALL SELECT 'prescription_drug_events', 3, true, count(*) FROM pde""", "ben", "pde"))
+def q_ingest_file_counts_rows(spark, sf):
+    """SK8 with three archives a table: at least one output file for each."""
+    from claimlake.plans.ingest import file_counts
+    a, _ = _ingest_roundtrip(spark, _raw_beneficiary(spark, sf), "beneficiary_summary", files=3)
+    b, _ = _ingest_roundtrip(spark, _raw_drug_events(spark, sf), "prescription_drug_events", files=3)
+    counts = file_counts(spark, {a.table: a.path, b.table: b.path})
+    return counts.select("table_name", "source_archives", (F.col("parquet_files") >= 3).alias("files"), "rows")
+
+
+@register("ingest_rerun", ORACLES["ingest_drug_events"])
+def q_ingest_rerun(spark, sf):
+    """JB4 run three times on one landing folder: every row once."""
+    return _ingest_roundtrip(spark, _raw_drug_events(spark, sf), "prescription_drug_events", times=3)[1]
+
+
+@register("ingest_bad_records", V("""SELECT count(*) AS n_rows, count(*) FILTER (PDE_ID % 50 = 0) AS n_rejected,
+  CAST(sum(PDE_ID) FILTER (PDE_ID % 50 <> 0) AS BIGINT) AS sum_good FROM pde""", "pde"))
+def q_ingest_bad_records(spark, sf):
+    """SC3: one line in fifty has a stray quote; it is counted and costs no other line."""
+    from claimlake.plans.ingest import ingest
+    from claimlake.sources.archives import CSV_GLOB
+    from claimlake.sources.files import RAW_ENCODING
+    root = scratch_path(spark, "bad_records")
+    raw = _raw_drug_events(spark, sf).withColumn(
+        "DESYNPUF_ID", F.when(F.col("PDE_ID") % 50 == 0, F.concat(F.lit('"'), "DESYNPUF_ID")).otherwise(F.col("DESYNPUF_ID")))
+    (raw.write.option("header", True).option("encoding", RAW_ENCODING).option("dateFormat", "yyyyMMdd").option("quote", "")
+     .csv(f"{root}/landing"))
+    res = ingest(spark, f"{root}/landing", "prescription_drug_events", f"{root}/lake", CSV_GLOB)
+    bad = F.size("_rejected") > 0
+    return spark.read.parquet(res.path).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_rejected"),
+                                            F.sum(F.when(~bad, F.col("PDE_ID"))).alias("sum_good"))
+
+
 # --------------------------------------------------------------- streaming
 @register("ingest_incremental", "SELECT * FROM events")
 def q_ingest_incremental(spark, sf):

@@ -120,7 +120,8 @@ def model_job(spark: SparkSession, lake: str, predictions_path: str, seed: int =
     m = run_model(feats, seed)
     write_predictions(scored_table(m.scored), predictions_path)
     summary = {"r2_train": m.r2("train"), "r2_test": m.r2("test"),
-               "coefficients": list(map(float, m.model.coefficients)), "intercept": float(m.model.intercept)}
+               "coefficients": list(map(float, m.model.coefficients)), "intercept": float(m.model.intercept),
+               "rejected_rows": m.rejected.count()}
     m.release()
     rows = spark.read.parquet(predictions_path).count()
     _append_log(spark, log_path, "predictions", 1, rows, time.time() - started)
@@ -139,7 +140,7 @@ def model_job_v1(spark: SparkSession, lake: str, csv_path: str, seed: int = 42)
     out = m.scored.select(*V1_ORDER, *[f"{c}_index" for c in V1_CATEGORICALS],
                           vector_text("features").alias("features"), "prediction")
     write_csv_indexed(out, csv_path, [F.col("prediction").desc(), F.col("PATIENT_ID"), F.col("AGE_YRS")])
-    summary = {"r2_train": m.r2("train"), "rows": spark.read.option("header", True).csv(csv_path).count()}
+    summary = {"r2_train": m.r2("train"), "rejected_rows": m.rejected.count(), "rows": spark.read.option("header", True).csv(csv_path).count()}
     m.release()
     return summary
 

@@ -3,11 +3,13 @@
 Differences from the original job, all deliberate:
   * one multi-column StringIndexer fit (one pass) instead of one job per column
     fitted twice;
-  * the feature table is persisted once instead of being recomputed by every
-    action;
-  * the train/test split is a hash of the row key and a seed, so it is
+  * the feature table is written once to the shared scratch folder instead of
+    being recomputed by every action; nothing stays in the session's cache;
+  * the train/test split is an MD5 prefix of the row key and a seed, so it is
     repeatable and does not change when partitions are recomputed after an
     executor loss (``randomSplit`` is offered too);
+  * rows that lack an input are neither dropped unseen nor fail the job: they are
+    in ``ModelRun.rejected``;
   * scoring keeps every column (``transform``), so there is no collect to the
     driver and no rejoin on the feature vector; de-duplication and casts run
     on the executors.
@@ -17,7 +19,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from claimlake.operators.dedupe import keep_top
 from claimlake.schemas import (CATEGORICAL_COLUMNS, DEDUPE_KEYS, FEATURE_COLUMNS,
                                PREDICTIONS)
+from claimlake.session import scratch_path
 
 LABEL = "ANNUAL_COST"
 SPLIT_BUCKETS = 10_000
@@ -40,8 +42,17 @@ def string_indexer(cols: list[str] = CATEGORICAL_COLUMNS) -> StringIndexer:
 
 
 def assembler(cols: list[str] = FEATURE_COLUMNS) -> VectorAssembler:
-    """ML2: features in fixed order; rows with a missing input are skipped."""
-    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip")
+    """ML2: features in fixed order; a row with a missing input is an error."""
+    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error")
+
+
+def complete(feature_cols: list[str] = FEATURE_COLUMNS) -> F.Column:
+    """No numeric input of the row is null or NaN (indexed ones have a label of their own)."""
+    out = F.lit(True)
+    for c in feature_cols:
+        if not c.endswith("_index"):
+            out = out & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return out
 
 
 # The earlier, smaller model (3 categorical inputs, 7 features).
@@ -51,15 +62,17 @@ V1_FEATURES = ["AGE_YRS", "GENDER_index", "RACE_index", "STATE_index", "DX", "PX
 
 def prepare(features_df: DataFrame, categoricals: list[str] = CATEGORICAL_COLUMNS,
             feature_cols: list[str] = FEATURE_COLUMNS) -> tuple[PipelineModel, DataFrame]:
-    """ML7: indexer + assembler fitted on all rows, as the original did."""
+    """ML7: indexer + assembler fitted on all rows, as the original did; the rows
+    that have all inputs, transformed."""
     pm = Pipeline(stages=[string_indexer(categoricals), assembler(feature_cols)]).fit(features_df)
-    return pm, pm.transform(features_df)
+    return pm, pm.transform(features_df.where(complete(feature_cols)))
 
 
 def split_label(train_fraction: float = 0.7, seed: int = 42,
                 key_cols: tuple[str, ...] = ("PATIENT_ID", "AGE_YRS")) -> F.Column:
-    """ML3: 'train' / 'test' from a seeded hash of the row key (one projection, no pass)."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(SPLIT_BUCKETS))
+    """ML3: 'train' / 'test' from an MD5 prefix of seed and row key (one projection, no pass)."""
+    key = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols])
+    bucket = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % SPLIT_BUCKETS
     cut = int(round(train_fraction * SPLIT_BUCKETS))
     return F.when(bucket < cut, F.lit("train")).otherwise(F.lit("test"))
 
@@ -88,15 +101,18 @@ class ModelRun:
     train: DataFrame
     test: DataFrame
     scored: DataFrame
-    base: DataFrame
+    rejected: DataFrame  # rows without all inputs, and training rows without a label
+    path: str
 
     def release(self) -> None:
-        """Drop the persisted feature table once the scores are written."""
-        self.base.unpersist()
+        """Delete the written feature table once the scores are written."""
+        from claimlake.sources.archives import arrow_fs
+        fs, path = arrow_fs(self.path)
+        fs.delete_dir(path)
 
     def r2(self, which: str = "train") -> float:
         """ML5: R^2 on the training rows (as reported originally) or the test rows."""
-        return self.model.evaluate(self.train if which == "train" else self.test).r2
+        return self.model.evaluate(self.train if which == "train" else self.test.where(F.col(LABEL).isNotNull())).r2
 
 
 def run(features_df: DataFrame, seed: int = 42, train_fraction: float = 0.7,
@@ -106,12 +122,18 @@ def run(features_df: DataFrame, seed: int = 42, train_fraction: float = 0.7,
 
     ``categoricals=V1_CATEGORICALS, feature_cols=V1_FEATURES`` gives the earlier model.
     """
-    base = features_df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = features_df.sparkSession
+    path = scratch_path(spark, "features")
+    features_df.write.parquet(path)
+    base = spark.read.schema(features_df.schema).parquet(path)
     _, assembled = prepare(base, categoricals, feature_cols)
     train, test = hash_split(assembled, train_fraction, seed)
+    labelled = F.col(LABEL).isNotNull() & ~F.isnan(F.col(LABEL).cast("double"))
+    lost = ~complete(feature_cols) | (~labelled & (split_label(train_fraction, seed) == "train"))
+    train = train.where(labelled)
     model = fit(train)
     scored = model.transform(test)  # ML6: all columns kept, no rejoin needed
-    return ModelRun(model, train, test, scored, base)
+    return ModelRun(model, train, test, scored, base.where(lost), path)
 
 
 def vector_text(c: str = "features") -> F.Column:

@@ -4,37 +4,69 @@ The original crawled live pages with an HTML parser on one machine.  Here
 pages are rows of a table and anchors are pulled out with JVM regular
 expressions, one output row per anchor, parallel over pages.
 
-For each ``<a ... href="...">body</a>``:
+An anchor is ``<a`` in any case with an ``href`` in double, single or no quotes;
+it ends at ``</a>`` or, where that is missing, at the next anchor or the end of
+the page.  For each:
   * ``text``   - the anchor's first child when it is text (null when the
                  anchor is empty or starts with an element);
   * ``child1`` - the text right after a leading element, i.e. the second
                  child when the first one is an element (null otherwise).
-Nested elements inside that leading element are not supported.
+                 A void element (``<img>``, ``<br>`` ...) has no content; an
+                 element of another name may be nested in the leading one.
+Character references are decoded once in both and in ``href``: numeric ones, and
+the named ones below.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed patterns (Java and RE2 read them the same way).
-ANCHOR_PATTERN = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+# Fixed patterns (Java and RE2 read them the same way, but for the look-ahead).
+HREF = r"""<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>"""
+ANCHOR_PATTERN = rf"(?is){HREF}(.*?)(?:</a\s*>|(?=<a\s)|$)"
 FIRST_TEXT_PATTERN = r"^([^<]*)"
-AFTER_FIRST_ELEMENT_PATTERN = r"(?s)^<[^>]+>[^<]*</[^>]+>([^<]*)"
+VOID = r"(?:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)"
+AFTER_VOID_PATTERN = rf"(?is)^<{VOID}\b[^>]*>([^<]*)"
+AFTER_FIRST_ELEMENT_PATTERN = r"(?is)^<(\w+)[^>]*>.*?</\1\s*>([^<]*)"
 SITE_PATTERN = r"^(https?://[^/]+)"
+# Named character references.
+ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]+);"
+
+
+def _resolved(part: Column) -> Column:
+    """The text after an ampersand, its leading reference replaced if there is one."""
+    name = F.regexp_extract(part, REFERENCE, 1)
+    base16 = F.when(name.rlike("^#[xX]"), F.substring(name, 3, 6)).when(name.startswith("#"), F.conv(F.substring(name, 2, 7), 10, 16))
+    code = F.conv(base16, 16, 10).cast("long")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    char = F.when(valid, F.decode(F.unhex(F.lpad(base16, 8, "0")), "UTF-32"))
+    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair]), F.when(name != "", name).otherwise("-"))
+    found = F.coalesce(named, char)
+    return F.when(found.isNotNull(), F.concat(found, F.substring(part, F.length(name) + 2, F.length(part)))).otherwise(F.concat(F.lit("&"), part))
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with its character references replaced."""
+    parts = F.split(text, "&", -1)
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _resolved)
+    return F.when(text.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
 
 
 def page_anchors(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
     keep = keep if keep is not None else ["page_id", "url"]
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(ANCHOR_PATTERN), 1)
-    bodies = F.regexp_extract_all(F.col(html), F.lit(ANCHOR_PATTERN), 2)
-    a = pages.select(*keep, F.inline(F.arrays_zip(hrefs.alias("href"), bodies.alias("body"))))
+    parts = [F.regexp_extract_all(F.col(html), F.lit(ANCHOR_PATTERN), k) for k in (1, 2, 3, 4)]
+    zipped = F.arrays_zip(*[p.alias(n) for p, n in zip(parts, ("q", "s", "u", "body"), strict=True)])
+    a = pages.select(*keep, F.inline(zipped))
+    a = a.select(*keep, decoded(F.coalesce(F.nullif("q", F.lit("")), F.nullif("s", F.lit("")), "u")).alias("href"), "body")
     first = F.regexp_extract("body", FIRST_TEXT_PATTERN, 1)
-    after = F.regexp_extract("body", AFTER_FIRST_ELEMENT_PATTERN, 1)
+    after = F.when(F.col("body").rlike(AFTER_VOID_PATTERN), F.regexp_extract("body", AFTER_VOID_PATTERN, 1)).otherwise(
+        F.regexp_extract("body", AFTER_FIRST_ELEMENT_PATTERN, 2))
     return a.select(
         *keep, "href",
-        F.nullif(first, F.lit("")).alias("text"),
-        F.when(first == "", F.nullif(after, F.lit(""))).alias("child1"),
+        decoded(F.nullif(first, F.lit(""))).alias("text"),
+        decoded(F.when(first == "", F.nullif(after, F.lit("")))).alias("child1"),
     )
 
 

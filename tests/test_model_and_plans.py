@@ -57,7 +57,6 @@ def test_filter_pushed_to_parquet(spark):
 
 
 def test_join_aggregates_claims_before_joining(spark):
-    spark.catalog.clearCache()  # a persisted feature table would replace the subtree
     plan = C.features(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     join_pos, agg_pos = plan.find("Join Inner"), plan.find("Aggregate [DESYNPUF_ID")
     assert 0 <= join_pos < agg_pos  # aggregate sits below (inside) the join
@@ -115,3 +114,22 @@ def test_median_combines_map_side_and_keeps_no_group_whole(spark):
     plan = _plan(grouped_median(df, ["g"], "v", "m"))
     assert "partial_percentile_approx" in plan and "partial_count" in plan
     assert " median(" not in plan and "percentile(" not in plan.replace("percentile_approx(", "")
+
+
+def test_rows_without_inputs_are_kept_and_counted(spark):
+    f = C.features(spark, SF_SMALL)
+    n = f.count()
+    k = F.col("PATIENT_ID").cast("long") % 10
+    holes = f.withColumn("AGE_YRS", F.when(k != 0, F.col("AGE_YRS"))).withColumn("ANNUAL_COST", F.when(k != 1, F.col("ANNUAL_COST")))
+    m = run(holes)
+    assert m.train.count() + m.test.count() + m.rejected.count() == n
+    assert m.rejected.where("AGE_YRS is not null and ANNUAL_COST is not null").count() == 0
+    assert m.scored.where("prediction is null").count() == 0
+    m.release()
+
+
+def test_no_cache_is_left(spark):
+    from claimlake.plans.model import annual_cost_predictions
+    spark.catalog.clearCache()
+    annual_cost_predictions(C.features(spark, SF_SMALL)).count()
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
