@@ -12,7 +12,8 @@ Dictionary and parse are ordered together, in four steps:
    trigger and of the phrase, with the smallest document that holds them;
 2. dictionary: by trigger, phrases that occur in several documents are found.
    Documents after the first of a phrase lose all its windows.  Triggers with
-   several phrases may still share windows, and only these go on;
+   several phrases may still share windows, and only these go on.  The answer is
+   two bits an entry, in the order in which the batch sent them;
 3. suffixes: the first document of such a phrase sends its text, and all windows
    of the phrases of a trigger (the suffixes of the dictionary, cut at the
    length that decides) are sorted; equal neighbours share their smallest
@@ -50,30 +51,27 @@ from pyspark.sql import functions as F
 from claimlake.llm.common import id_and_body
 
 LENGTH, GRAM = 50, 24
-BATCH_BYTES, PART_PHRASES, PIECE = 8 << 20, 1 << 20, 1 << 20
+BATCH_BYTES, PART_PHRASES, PIECE = 4 << 20, 1 << 17, 1 << 17
 _LAST = np.iinfo(np.int64).max
-_POS = np.uint64(0xFFFFFF)
+_POS, _TEXT = np.uint64(0xFFFFFF), np.uint64((1 << 56) - 1)
 
 _BYTE_HASH = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD = [np.uint64(int(x) | 1) for x in np.random.default_rng(77).integers(1, 1 << 63, 6, dtype=np.uint64)]
 
 
-def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """Hash of the ``gram`` bytes from each position, by joining halves."""
-    level, size = {1: _BYTE_HASH[data]}, 1
-    while size * 2 <= gram:
-        h = level[size]
-        level[size * 2] = h[:-size] * _ODD[size.bit_length() - 1] + h[size:] if len(h) > size else h[:0]
-        size *= 2
-    out, done = level[size], size
-    while done < gram:
-        part = 1 << ((gram - done).bit_length() - 1)
-        n = max(0, len(data) - done - part + 1)
-        out = out[:n] * _ODD[5] + level[part][done:done + n]
-        done += part
-    out = out[:max(0, len(data) - gram + 1)]
-    out = (out ^ (out >> np.uint64(29))) * _ODD[4]
-    return out ^ (out >> np.uint64(32))
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _ODD[4]
+    return h ^ (h >> np.uint64(29))
+
+
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``GRAM`` (24) bytes from each position, by joining halves."""
+    h, eight = _BYTE_HASH[data], None
+    for k, size in enumerate((1, 2, 4, 8)):
+        h = h[:-size] * _ODD[k] + h[size:]
+        if size == 4:
+            eight = h = _mixed(h)
+    return _mixed(h[:-8] * _ODD[5] + eight[16:])
 
 
 def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
@@ -90,8 +88,6 @@ class Parse:
     start (in the document), place of the trigger, and two hashes."""
 
     def __init__(self, bodies: list, length: int):
-        import xxhash
-
         self.length = length
         columns: list[list[np.ndarray]] = [[] for _ in range(6)]
         for docs, starts, data in self._pieces(bodies, length):
@@ -110,8 +106,12 @@ class Parse:
             first = windows[np.append(0, cut)]
             last = windows[np.append(cut - 1, len(windows) - 1)]
             own = own[np.append(0, cut)]
-            view, digest = memoryview(data), xxhash.xxh3_64_intdigest
-            text = np.fromiter((digest(view[s:e]) for s, e in zip(first.tolist(), (last + length).tolist(), strict=True)), np.uint64, len(first))
+            # the phrase's grams from its start, and the one at its end, hold all its bytes
+            tail = last + (length - GRAM)
+            text = _mixed(grams[first] * _ODD[0] + (last - first).astype(np.uint64))
+            for step in range(GRAM, length + 32 - GRAM, GRAM):
+                text = _mixed(text * _ODD[1] + grams[np.minimum(first + step, tail)])
+            text = _mixed(text * _ODD[2] + grams[tail]) & _TEXT
             at = np.searchsorted(starts, first, "right") - 1
             base = starts[at] - self._skip[at]
             for c, x in zip(columns, (docs[at], first - base, last - base, own - first, (grams[own] >> np.uint64(32)).astype(np.uint32), text), strict=True):
@@ -144,12 +144,18 @@ class Parse:
         if group:
             yield joined()
 
-    def classes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order by (trigger, phrase, document) and the starts of equal phrases in it."""
-        order = np.lexsort((ids[self.doc], self.text, self.key))
-        k, t = self.key[order], self.text[order]
-        new = np.append(True, (k[1:] != k[:-1]) | (t[1:] != t[:-1])) if len(order) else np.zeros(0, bool)
-        return order, np.flatnonzero(new)
+
+def _ordered(key: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order by (key, text), and the starts of equal pairs in it."""
+    joined = (key.astype(np.uint64) << np.uint64(32)) | (text >> np.uint64(24))
+    order = np.argsort(joined, kind="stable")
+    j, t = joined[order], text[order]
+    same = j[1:] == j[:-1]
+    if (same & (t[1:] != t[:-1])).any():  # the lower halves differ
+        order = np.lexsort((text, joined))
+        j, t = joined[order], text[order]
+        same = (j[1:] == j[:-1]) & (t[1:] == t[:-1])
+    return order, np.flatnonzero(np.append(True, ~same)) if len(order) else np.zeros(0, np.int64)
 
 
 _PLANE_LEVEL = 1
@@ -179,185 +185,204 @@ def _delta(sorted_keys: np.ndarray) -> np.ndarray:
     return np.diff(sorted_keys, prepend=sorted_keys[:1] * 0)
 
 
-def _docs(table: pa.Table) -> tuple[np.ndarray, list]:
+def _docs(table: pa.Table) -> tuple[np.ndarray, list, np.ndarray]:
+    """Ids and texts in the order of the ids, and the rows they come from."""
     ids = np.array([_LAST if x is None else x for x in table.column("doc_id").to_pylist()], np.int64)
-    return ids, table.column("body").to_pylist()
+    order = np.argsort(ids, kind="stable")
+    bodies = table.column("body").to_pylist()
+    return ids[order], [bodies[k] for k in order.tolist()], order
 
 
-def _by(parts: np.ndarray) -> Iterator[tuple[int, slice]]:
-    """Slices of equal values of a sorted array."""
-    cut = np.flatnonzero(np.diff(parts)) + 1
-    for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(parts)], strict=True):
-        if e > s:
-            yield int(parts[s]), slice(s, e)
+_PARTED = pa.schema([("part", pa.int32()), ("batch", pa.int32()), ("packed", pa.binary())])
 
 
-_PARTED = pa.schema([("part", pa.int32()), ("batch", pa.int32()), ("packed", pa.binary())])
-_FLAGS = pa.schema([("batch", pa.int32()), ("kind", pa.int32()), ("packed", pa.binary())])
-FULL, ORDER, MASK = 0, 1, 2
+def _rows(rows: list) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_PARTED)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _PARTED, strict=True)], schema=_PARTED)
+
+
+def _each(table: pa.Table) -> Iterator[tuple[int, int, bytes]]:
+    return zip(*(table.column(f.name).to_pylist() for f in _PARTED), strict=True)
+
 
+class Classes:
+    """The distinct phrases of a batch, ordered by trigger and phrase, and dealt to
+    the parts of the dictionary.  Any parse of the batch gives the same list, so
+    the other steps answer by place in it."""
 
-def _rows(rows: list, schema: pa.Schema) -> pa.Table:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(schema)
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    def __init__(self, table: pa.Table, length: int, parts: int):
+        self.ids, self.bodies, self.rows = _docs(table)
+        self.parse = Parse(self.bodies, length)
+        self.order, self.start = _ordered(self.parse.key, self.parse.text)
+        self.one = self.order[self.start]  # in the first document
+        self.key, self.text = self.parse.key[self.one], self.parse.text[self.one]
+        self.doc = self.ids[self.parse.doc[self.one]]
+        part = ((self.key.astype(np.uint64) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+        cut = np.flatnonzero(np.diff(part)) + 1
+        edges = [0, *cut.tolist(), len(part)] if len(part) else [0]
+        self.of_part = {int(part[s]): slice(s, e) for s, e in zip(edges, edges[1:], strict=False)}
 
 
-def _part_of(key: np.ndarray, parts: int) -> np.ndarray:
-    return ((key.astype(np.uint64) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+def _bits(*flags: np.ndarray) -> bytes:
+    return pack(np.concatenate([np.packbits(f) for f in flags]))
+
+
+def _flags(packed: bytes, n: int) -> list[np.ndarray]:
+    """The two arrays of n flags that :func:`_bits` packed."""
+    raw, size = unpack(packed, np.uint8)[0], (n + 7) // 8
+    return [np.unpackbits(raw[k:k + size], count=n).astype(bool) for k in (0, size)]
 
 
 def _parser(length: int, parts: int):
     """Step 1."""
     def run(group: tuple, table: pa.Table) -> pa.Table:
-        batch = group[0].as_py()
-        ids, bodies = _docs(table)
-        parse = Parse(bodies, length)
-        order, start = parse.classes(ids)
-        one = order[start]
-        key, text, doc = parse.key[one], parse.text[one], ids[parse.doc[one]]
-        return _rows([(p, batch, pack(_delta(key[s]), text[s], doc[s])) for p, s in _by(_part_of(key, parts))], _PARTED)
+        c = Classes(table, length, parts)
+        return _rows([(p, group[0].as_py(), pack(_delta(c.key[s]), *_seven(c.text[s]), c.doc[s])) for p, s in c.of_part.items()])
 
     return run
 
 
+def _seven(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The 56 bits of a phrase hash without the empty byte."""
+    return (text >> np.uint64(24)).astype(np.uint32), (text >> np.uint64(8)).astype(np.uint16), text.astype(np.uint8)
+
+
 def _dictionary(group: tuple, table: pa.Table) -> pa.Table:
-    """Step 2: phrases lost whole, and first holders of phrases to be ordered."""
-    columns = [[], [], [], []]
-    for batch, packed in zip(table.column("batch").to_pylist(), table.column("packed").to_pylist(), strict=True):
-        step, text, doc = unpack(packed, np.uint32, np.uint64, np.int64)
-        for c, x in zip(columns, (np.cumsum(step, dtype=np.uint32), text, doc, np.full(len(step), batch, np.int32)), strict=True):
+    """Step 2: for each entry of each batch, if other documents before hold the
+    phrase, and else if its trigger has other phrases to be ordered with."""
+    sent, columns = [], [[], [], []]
+    for part, batch, packed in _each(table):
+        step, high, middle, low, doc = unpack(packed, np.uint32, np.uint32, np.uint16, np.uint8, np.int64)
+        text = (high.astype(np.uint64) << np.uint64(24)) | (middle.astype(np.uint64) << np.uint64(8)) | low
+        sent.append((part, batch, len(step)))
+        for c, x in zip(columns, (np.cumsum(step, dtype=np.uint32), text, doc), strict=True):
             c.append(x)
-    key, text, doc, batch = map(np.concatenate, columns)
-    order = np.lexsort((doc, text, key))
-    key, text, doc, batch = (x[order] for x in (key, text, doc, batch))
-    new_key = np.append(True, key[1:] != key[:-1])
-    head = new_key | np.append(True, text[1:] != text[:-1])
+    key, text, doc = map(np.concatenate, columns)
+    place = np.argsort(doc, kind="stable")
+    order, start = _ordered(key[place], text[place])
+    place = place[order]
+    key, doc = key[place], doc[place]
+    head = np.zeros(len(key), bool)
+    head[start] = True
     # triggers whose phrases have different first documents
-    at = np.flatnonzero(new_key)
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     low = np.minimum.reduceat(np.where(head, doc, _LAST), at)
     high = np.maximum.reduceat(np.where(head, doc, np.iinfo(np.int64).min), at)
     mixed = np.repeat(low != high, np.diff(np.append(at, len(key))))
-    rows = []
-    for kind, chosen in ((FULL, ~head), (ORDER, head & mixed)):
-        at = np.flatnonzero(chosen)
-        at = at[np.argsort(batch[at], kind="stable")]
-        rows += [(b, kind, pack(key[at[s]], text[at[s]])) for b, s in _by(batch[at])]
-    return _rows(rows, _FLAGS)
-
-
-def _flagged(table: pa.Table, kind: int, *kinds: type) -> list[np.ndarray]:
-    """The packed arrays of one kind of flags, joined."""
-    found = [unpack(p, *kinds) for p, k in zip(table.column("packed").to_pylist(), table.column("kind").to_pylist(), strict=True) if k == kind]
-    return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, k) for k in kinds]
-
-
-def _places(keys: np.ndarray, texts: np.ndarray, key: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Where each (key, text) stands among the distinct (keys, texts), or -1."""
-    joined = np.rec.fromarrays((np.concatenate((keys, key)), np.concatenate((texts, text))), names="k,t")
-    _, inverse = np.unique(joined, return_inverse=True)
-    place = np.full(inverse.max(initial=-1) + 1, -1)
-    place[inverse[:len(keys)]] = np.arange(len(keys))
-    return place[inverse[len(keys):]]
+    full, ranked = np.zeros(len(key), bool), np.zeros(len(key), bool)
+    full[place[~head]] = True
+    ranked[place[head & mixed]] = True
+    rows, done = [], 0
+    for part, batch, n in sent:
+        rows.append((part, batch, _bits(full[done:done + n], ranked[done:done + n])))
+        done += n
+    return _rows(rows)
 
 
 def _sender(length: int, parts: int):
-    """Step 3, before the exchange: the texts of the phrases to be ordered."""
-    def run(group: tuple, docs: pa.Table, flags: pa.Table) -> pa.Table:
-        if not docs.num_rows or not flags.num_rows:
+    """Step 3, before the exchange: the texts of the phrases to be ordered, and
+    the batch's flags in one row of their own (a negative part) for step 4."""
+    def run(group: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        if not docs.num_rows or not answers.num_rows:
             return _PARTED.empty_table()
-        keys, texts = _flagged(flags, ORDER, np.uint32, np.uint64)
-        if not len(keys):
-            return _PARTED.empty_table()
-        batch = group[0].as_py()
-        ids, bodies = _docs(docs)
-        parse = Parse(bodies, length)
-        order, start = parse.classes(ids)
-        one = order[start]
-        one = one[_places(keys, texts, parse.key[one], parse.text[one]) >= 0]
+        c, batch = Classes(docs, length, parts), group[0].as_py()
+        full, ranked = np.zeros(len(c.one), bool), np.zeros(len(c.one), bool)
         rows = []
-        for p, s in _by(_part_of(parse.key[one], parts)):
-            o = one[s]
-            size = (parse.last[o] + length - parse.first[o]).astype(np.uint8)
-            data = b"".join(bodies[d][f:f + z] for d, f, z in zip(parse.doc[o].tolist(), parse.first[o].tolist(), size.tolist(), strict=True))
-            head = pack(_delta(parse.key[o]), parse.text[o], ids[parse.doc[o]], size)
-            rows.append((p, batch, len(head).to_bytes(4, "little") + head + pack(np.frombuffer(data, np.uint8))))
-        return _rows(rows, _PARTED)
+        for part, _, packed in _each(answers):
+            s = c.of_part[part]
+            full[s], ranked[s] = _flags(packed, s.stop - s.start)
+            o = c.one[s][ranked[s]]
+            if len(o):
+                p = c.parse
+                size = (p.last[o] + length - p.first[o]).astype(np.uint8)
+                data = b"".join(c.bodies[d][f:f + z] for d, f, z in zip(p.doc[o].tolist(), p.first[o].tolist(), size.tolist(), strict=True))
+                head = pack(_delta(p.key[o]), c.ids[p.doc[o]], size)
+                rows.append((part, batch, len(head).to_bytes(4, "little") + head + pack(np.frombuffer(data, np.uint8))))
+        return _rows([*rows, (-1 - batch, batch, _bits(full, ranked))])
 
     return run
 
 
 def _suffixes(length: int):
-    """Step 3: order the windows of all phrases; a mask of windows lost by the
-    first document for each phrase that loses any."""
+    """Step 3: order the windows of all phrases of a part; for each phrase a mask
+    of the windows that its first document loses."""
     def run(group: tuple, table: pa.Table) -> pa.Table:
-        columns, datas = [[], [], [], [], []], []
-        for batch, packed in zip(table.column("batch").to_pylist(), table.column("packed").to_pylist(), strict=True):
+        if group[0].as_py() < 0:
+            return table.select(_PARTED.names).cast(_PARTED)
+        sent, columns, datas = [], [[], [], []], []
+        for part, batch, packed in _each(table):
             head = int.from_bytes(packed[:4], "little")
-            step, text, doc, size = unpack(packed[4:4 + head], np.uint32, np.uint64, np.int64, np.uint8)
+            step, doc, size = unpack(packed[4:4 + head], np.uint32, np.int64, np.uint8)
+            sent.append((part, batch, len(step)))
             datas.append(unpack(packed[4 + head:], np.uint8)[0])
-            for c, x in zip(columns, (np.cumsum(step, dtype=np.uint32), text, doc, size.astype(np.int64), np.full(len(step), batch, np.int32)), strict=True):
+            for c, x in zip(columns, (np.cumsum(step, dtype=np.uint32), doc, size.astype(np.int64)), strict=True):
                 c.append(x)
-        key, text, doc, size, batch = map(np.concatenate, columns)
+        key, doc, size = map(np.concatenate, columns)
         data = np.concatenate(datas)
-        begin = np.cumsum(size) - size
-        n = size - length + 1
-        phrase = np.repeat(np.arange(len(n)), n)
-        offset = np.arange(len(phrase)) - np.repeat(np.cumsum(n) - n, n)
-        low = np.full(len(phrase), _LAST)
+        begin, n = np.cumsum(size) - size, size - length + 1
+        mask = np.zeros(len(key), np.uint32)
         turn = np.argsort(key, kind="stable")
-        # by runs of triggers, so that the strings of one run fit in memory
-        many = np.cumsum(n[turn]) // 200_000
+        # by runs of triggers, so that few strings are in memory at a time
+        many = np.cumsum(n[turn]) // 100_000
         ends = np.flatnonzero((np.diff(key[turn]) != 0) & (np.diff(many) != 0)) + 1
-        first = np.cumsum(n) - n
+        windows = np.lib.stride_tricks.sliding_window_view(data, length)
         for s, e in zip([0, *ends.tolist()], [*ends.tolist(), len(turn)], strict=True):
             own = turn[s:e]
-            w = np.repeat(first[own], n[own]) + np.arange(n[own].sum()) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
-            strings = np.lib.stride_tricks.sliding_window_view(data, length)[begin[phrase[w]] + offset[w]]
-            _, same = np.unique(np.ascontiguousarray(strings).view(np.dtype((np.void, length))).ravel(), return_inverse=True)
+            first = np.cumsum(n[own]) - n[own]
+            phrase = np.repeat(own, n[own])
+            offset = np.arange(len(phrase)) - np.repeat(first, n[own])
+            strings = windows[begin[phrase] + offset].view(np.dtype((np.void, length))).ravel()
+            _, same = np.unique(strings, return_inverse=True)
             least = np.full(same.max() + 1, _LAST)
-            np.minimum.at(least, same, doc[phrase[w]])
-            low[w] = least[same]
-        lost = low < doc[phrase]
-        mask = np.bitwise_or.reduceat(np.where(lost, np.uint32(1) << offset.astype(np.uint32), np.uint32(0)), first)
-        at = np.flatnonzero(mask)
-        at = at[np.argsort(batch[at], kind="stable")]
-        return _rows([(b, MASK, pack(key[at[s]], text[at[s]], mask[at[s]])) for b, s in _by(batch[at])], _FLAGS)
+            np.minimum.at(least, same, doc[phrase])
+            lost = np.where(least[same] < doc[phrase], np.uint32(1) << offset.astype(np.uint32), np.uint32(0))
+            mask[own] = np.bitwise_or.reduceat(lost, first)
+        rows, done = [], 0
+        for part, batch, k in sent:
+            if mask[done:done + k].any():
+                rows.append((part, batch, pack(mask[done:done + k])))
+            done += k
+        return _rows(rows)
 
     return run
 
 
-def lost_windows(parse: Parse, ids: np.ndarray, flags: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def lost_windows(c: Classes, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs (document, first, last) of window starts that are lost."""
-    order, start = parse.classes(ids)
-    one = order[start]
-    class_of = np.empty(len(order), np.int64)
-    class_of[order] = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(order))))
-    doc = ids[parse.doc]
-    whole = doc > doc[one][class_of]  # not the first document of this batch
-    whole |= (_places(*_flagged(flags, FULL, np.uint32, np.uint64), parse.key[one], parse.text[one]) >= 0)[class_of]
-    keys, texts, masks = _flagged(flags, MASK, np.uint32, np.uint64, np.uint32)
-    at = _places(keys, texts, parse.key[one], parse.text[one])[class_of]
-    part = np.flatnonzero(~whole & (at >= 0))
-    bits = masks[at[part]]
-    runs = [(parse.doc[whole], parse.first[whole], parse.last[whole])]
+    p, n = c.parse, len(c.one)
+    full, ranked, mask = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, np.uint32)
+    found = list(_each(answers))
+    for part, _, packed in found:
+        if part < 0:
+            full, ranked = _flags(packed, n)
+    for part, _, packed in found:
+        if part >= 0:
+            s = c.of_part[part]
+            mask[s.start + np.flatnonzero(ranked[s])] = unpack(packed, np.uint32)[0]
+    of = np.empty(len(c.order), np.int64)
+    of[c.order] = np.repeat(np.arange(n), np.diff(np.append(c.start, len(c.order))))
+    whole = full[of] | (c.ids[p.doc] > c.doc[of])  # not the first document, of all or of this batch
+    some = np.flatnonzero(~whole & (mask[of] > 0))
+    bits = mask[of[some]]
+    runs = [(p.doc[whole], p.first[whole], p.last[whole])]
     for k in range(int(bits.max(initial=0)).bit_length()):
-        on = part[(bits >> np.uint32(k)) & np.uint32(1) == 1]
-        runs.append((parse.doc[on], parse.first[on] + k, parse.first[on] + k))
+        on = some[(bits >> np.uint32(k)) & np.uint32(1) == 1]
+        runs.append((p.doc[on], p.first[on] + k, p.first[on] + k))
     return tuple(np.concatenate(x) for x in zip(*runs, strict=True))
 
 
-def _coverer(length: int, texts: bool):
+def _coverer(length: int, parts: int, texts: bool):
     """Step 4."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])]
 
-    def run(group: tuple, docs: pa.Table, flags: pa.Table) -> pa.Table:
-        ids, bodies = _docs(docs)
-        doc, first, last = lost_windows(Parse(bodies, length), ids, flags)
+    def run(group: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        c = Classes(docs, length, parts)
+        doc, first, last = lost_windows(c, answers)
         order = np.lexsort((first, doc))
         doc, first, last = doc[order], first[order], last[order]
-        bounds = np.searchsorted(doc, np.arange(len(bodies) + 1))
+        bounds = np.searchsorted(doc, np.arange(len(c.bodies) + 1))
         out = []
-        for d, body in enumerate(bodies):
+        for d, body in enumerate(c.bodies):
             s, e = bounds[d], bounds[d + 1]
             kept, removed, spans = body, 0, 0
             if e > s:
@@ -371,7 +396,7 @@ def _coverer(length: int, texts: bool):
             out.append((len(body), removed, spans, hashlib.sha256(kept).hexdigest(), *([kept] if texts else [])))
         columns = list(zip(*out, strict=True)) if out else [[]] * (len(names) - 1)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *([pa.binary()] if texts else [])]
-        return pa.table([docs.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=names)
+        return pa.table([docs.column("doc_id").take(pa.array(c.rows)), *[pa.array(x, k) for x, k in zip(columns, kinds, strict=True)]], names=names)
 
     return run
 
@@ -387,10 +412,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     batches = max(1, math.ceil(total / batch_bytes))
     parts = max(1, math.ceil(total / (length - GRAM) * 2 / part_phrases))
     base = base.select(F.col("doc_id").cast("long").alias("doc_id"), "body", F.pmod(F.hash("doc_id"), F.lit(batches)).alias("batch"))
-    parted, flag = "part int, batch int, packed binary", "batch int, kind int, packed binary"
+    parted = "part int, batch int, packed binary"
     phrases = base.groupBy("batch").applyInArrow(_parser(length, parts), parted)
-    flags = phrases.groupBy("part").applyInArrow(_dictionary, flag)
-    held = base.groupBy("batch").cogroup(flags.groupBy("batch")).applyInArrow(_sender(length, parts), parted)
-    masks = held.groupBy("part").applyInArrow(_suffixes(length), flag)
+    answers = phrases.groupBy("part").applyInArrow(_dictionary, parted)
+    held = base.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_sender(length, parts), parted)
+    ordered = held.groupBy("part").applyInArrow(_suffixes(length), parted)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
-    return base.groupBy("batch").cogroup(flags.unionByName(masks).groupBy("batch")).applyInArrow(_coverer(length, texts), schema)
+    return base.groupBy("batch").cogroup(ordered.groupBy("batch")).applyInArrow(_coverer(length, parts, texts), schema)

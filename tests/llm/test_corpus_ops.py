@@ -33,7 +33,7 @@ def removed(rows, length=50):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"batch_bytes": 20_000, "part_phrases": 300}])
+@pytest.mark.parametrize("sizes", [{}, {"batch_bytes": 20_000, "part_phrases": 300}, {"batch_bytes": 3_000, "part_phrases": 40}])
 def test_substrings(edge, sizes, monkeypatch):
     got = substring_dedup.dedup_substrings(edge, **sizes)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == removed(edge_rows())
