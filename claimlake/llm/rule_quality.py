@@ -156,4 +156,7 @@ def scored(docs: DataFrame, model: RuleModel, id_col: str = "doc_id", text_col:
 
 def accepted(docs: DataFrame, model: RuleModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``."""
-    return statistics(docs, text_col).where(model.score() >= threshold).select(*docs.columns)
+    # not where(): the optimiser would move the condition below the statistics and
+    # work them out again for each rule that names them
+    keep = F.explode(F.when(model.score() >= threshold, F.array(F.lit(True))))
+    return statistics(docs, text_col).select(*docs.columns, "__stats").select(*docs.columns, keep.alias("__keep")).drop("__keep")
