@@ -21,9 +21,11 @@ stored vectors and 0 for queries, M the largest norm.
 Scale: only centroids, their graph and their list sizes are broadcast, at most
 ``MAX_LISTS`` rows.  Equal vectors form one class and a class is stored once,
 with its k + 1 smallest ids: more can never be among k answers, so copies of one
-vector, however many, neither fill a list nor multiply look-ups.  A list longer
-than ``BLOCK`` is read in blocks, as are the queries of a list, so no task holds
-a whole long list.  Answers are merged by query.
+vector, however many, neither fill a list nor multiply look-ups.  Neighbouring
+lists share a bin of about ``BLOCK`` vectors; a bin with more is read in blocks,
+as are its queries, so no task holds a whole long list.  A query sends one row to
+a bin, and a task answers with its best k + 1 over all of the bin's lists.
+Answers are merged by query.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components,
 or have another length than most take no part, as row or query; ties go to the
@@ -45,7 +47,8 @@ from claimlake.llm.common import materialise
 K, EVERY = 20, 20
 #: Vectors of the fit, and bytes they may take on the driver.
 SAMPLE_ROWS, SAMPLE_BYTES = 20_000, 32 << 20
-LIST_ROWS, MAX_LISTS, BLOCK = 256, 4096, 4096
+LIST_ROWS, MAX_LISTS, BLOCK, ASKS = 256, 4096, 65_536, 50_000
+BIN_BYTES = 48 << 20
 DEGREE, REPLICAS, SPREAD, BEAM, LEAST, GOAL, CALIBRATE, ROUNDS = 16, 6, 0.01, 24, 512, 0.97, 64, 4
 
 
@@ -138,9 +141,9 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def _lists(df: DataFrame, shared, lift: float | None, choose, beam: int) -> DataFrame:
-    """Rows (list, rep, v, ...) for each list that ``choose`` keeps."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chosen(shared, lift: float | None, choose, beam: int):
+    """(part of a batch, row, list) for each list that ``choose`` keeps."""
+    def found(batches: Iterator[pa.RecordBatch]):
         graph = shared.value
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
@@ -149,34 +152,79 @@ def _lists(df: DataFrame, shared, lift: float | None, choose, beam: int) -> Data
                 extra = np.zeros(len(x)) if lift is None else np.sqrt(np.maximum(lift - (x * x).sum(1), 0))
                 nodes, dist = graph.search(np.column_stack((x, extra)), beam)
                 row, at = np.nonzero(choose(nodes, dist))
-                chosen = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[row, at], pa.int32()), *chosen.columns], names=["list", *chosen.schema.names])
+                yield part, row, nodes[row, at]
+
+    return found
+
+
+def _indexed(classes: DataFrame, shared, lift: float, choose) -> DataFrame:
+    """Rows (list, rep, v, ids): each class under its lists."""
+    found = _chosen(shared, lift, choose, BEAM)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, row, lists in found(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), *part.take(pa.array(row)).columns], names=["list", *part.schema.names])
+
+    return classes.mapInArrow(run, "list int, rep long, v array<double>, ids array<long>")
+
+
+def _asked(queries: DataFrame, shared, choose, beam: int, bins: np.ndarray) -> DataFrame:
+    """Rows (bin, lists, rep, v): each query with its lists in each bin."""
+    found = _chosen(shared, None, choose, beam)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, row, lists in found(batches):
+            order = np.lexsort((lists, bins[lists], row))
+            row, lists = row[order], lists[order]
+            cut = np.append(0, np.flatnonzero((np.diff(row) != 0) | (np.diff(bins[lists]) != 0)) + 1) if len(row) else np.zeros(0, np.int64)
+            by_bin = pa.ListArray.from_arrays(pa.array(np.append(cut, len(lists)), pa.int32()), pa.array(lists, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(bins[lists[cut]], pa.int32()), by_bin, *part.take(pa.array(row[cut])).columns],
+                                             names=["bin", "lists", *part.schema.names])
 
-    return df.mapInArrow(run, "list int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema))
+    return queries.mapInArrow(run, "bin int, lists array<int>, rep long, v array<double>")
 
 
-def _blocks(rows: DataFrame, counts: list[int], name: str, per: int) -> Column:
-    """Number of blocks of each list, from the counts of all lists (a literal)."""
-    table = F.split(F.lit(",".join(str(max(1, math.ceil(n / per))) for n in counts)), ",").cast("array<int>")
-    return F.get(table, F.col("list")).alias(name)
+def _looked_up(values: list[int], key: str) -> Column:
+    """The value for a small number, from a literal table."""
+    return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>"), F.col(key))
 
 
 def _scan(k: int):
-    """The best k + 1 ids of one block of a list for one block of its queries."""
+    """The best k + 1 ids of one block of a bin for one block of its queries."""
     schema = pa.schema([("rep", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(_, queries: pa.Table, stored: pa.Table) -> pa.Table:
         if not queries.num_rows or not stored.num_rows:
             return schema.empty_table()
-        q, x = _matrix(queries.column("v")), _matrix(stored.column("v"))
-        ids = stored.column("ids").to_pylist()
+        held = stored.column("list").to_numpy()
+        order = np.argsort(held, kind="stable")
+        stored, held = stored.take(pa.array(order)), held[order]
+        q, x, ids, rep = _matrix(queries.column("v")), _matrix(stored.column("v")), stored.column("ids").to_pylist(), stored.column("rep").to_numpy()
+        wanted: dict[int, list[int]] = {}
+        for row, lists in enumerate(queries.column("lists").to_pylist()):
+            for one in lists:
+                wanted.setdefault(one, []).append(row)
+        near: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(len(q))]
+        for one, rows in wanted.items():
+            s, e = np.searchsorted(held, [one, one + 1])
+            for at in range(0, len(rows) if e > s else 0, 512):
+                some = rows[at:at + 512]
+                score = q[some] @ x[s:e].T
+                top = np.argpartition(-score, 2 * k, axis=1)[:, :2 * k] if e - s > 2 * k else np.broadcast_to(np.arange(e - s), score.shape)
+                for row, places, values in zip(some, top + s, np.take_along_axis(score, top, 1), strict=True):
+                    near[row].append((places, values))
         out = []
-        for rep, row, near in zip(queries.column("rep").to_pylist(), q, q @ x.T, strict=True):
-            top = np.argpartition(-near, 2 * k)[:2 * k] if len(near) > 2 * k else np.arange(len(near))
-            exact = (x[top] * row).sum(1)
-            best = sorted((-s, i) for s, t in zip(exact.tolist(), top.tolist(), strict=True) for i in ids[t])[:k + 1]
-            out += [(rep, i, -s) for s, i in best]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        for query, row, found in zip(queries.column("rep").to_pylist(), q, near, strict=True):
+            if found:
+                places = np.concatenate([f[0] for f in found])
+                values = np.concatenate([f[1] for f in found])
+                places = places[np.argsort(-values, kind="stable")][:2 * k * REPLICAS]
+                places = places[np.unique(rep[places], return_index=True)[1]]  # a class stands in several lists
+                exact = (x[places] * row).sum(1)
+                best = sorted((-v, i) for v, p in zip(exact.tolist(), places.tolist(), strict=True) for i in ids[p])[:k + 1]
+                out += [(query, i, -v) for v, i in best]
+        columns = list(zip(*out, strict=True)) if out else [[]] * 3
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return run
 
@@ -247,9 +295,11 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k
         keep[:, 0] = True
         return keep
 
-    stored = materialise(_lists(classes, shared, lift, boundary, BEAM), "neighbours-lists")
+    stored = materialise(_indexed(classes, shared, lift, boundary), "neighbours-lists")
     sizes = dict(stored.groupBy("list").count().collect())  # one row a list
     counts = [sizes.get(c, 0) for c in range(len(graph.c))]
+    block = min(block, max(1024, BIN_BYTES // (8 * dim)))
+    bins = (np.cumsum(counts) - counts) // block  # neighbouring leaves of the tree share a bin
 
     def pruned(nodes: np.ndarray, dist: np.ndarray) -> np.ndarray:
         held = np.cumsum(np.array(counts)[nodes], axis=1)
@@ -260,16 +310,19 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k
     asked = materialise(asked.join(classes.select("v", "rep"), "v").select("id", "rep"), "neighbours-queries")
     queries = classes.select("rep", "v").join(asked.select("rep").distinct(), "rep", "left_semi")
     reach, beam = measured_reach(classes, queries, graph, lift, boundary, k, goal)
-    queries = materialise(_lists(queries, shared, None, pruned, beam), "neighbours-probes")
-    probes = dict(queries.groupBy("list").count().collect())
-    probed = [probes.get(c, 0) for c in range(len(counts))]
-
-    parts, asks = _blocks(stored, counts, "parts", block), _blocks(queries, probed, "asks", block)
-    dealt = (stored.select("*", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), asks)
-             .withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1))).select("list", "part", "ask", "ids", "v"))
-    posed = (queries.select("*", F.pmod(F.xxhash64("rep"), asks).cast("int").alias("ask"), parts)
-             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("list", "part", "ask", "rep", "v"))
-    key = ["list", "part", "ask"]
+    queries = materialise(_asked(queries, shared, pruned, beam, bins), "neighbours-probes")
+    asked_of = dict(queries.groupBy("bin").count().collect())  # one row a bin
+
+    last = int(bins.max()) + 1
+    held = np.bincount(bins, counts, last)
+    parts = _looked_up([max(1, math.ceil(n / block)) for n in held], "bin")
+    asks = _looked_up([max(1, math.ceil(asked_of.get(b, 0) / ASKS)) for b in range(last)], "bin")
+    dealt = (stored.withColumn("bin", _looked_up(bins.tolist(), "list"))
+             .select("bin", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), asks - 1)).alias("ask"),
+                     "list", "rep", "ids", "v"))
+    posed = queries.select("bin", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.pmod(F.xxhash64("rep"), asks).cast("int").alias("ask"),
+                           "lists", "rep", "v")
+    key = ["bin", "part", "ask"]
     found = posed.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInArrow(_scan(k), "rep long, vec_id long, score double")
     ranked = Window.partitionBy("rep").orderBy(F.desc("score"), "vec_id")
     best = (found.distinct().withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= k + 1).drop("n"))
