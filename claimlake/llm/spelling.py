@@ -57,7 +57,7 @@ SLIP, MIN_CHARS, MIN_COUNT, RATIO = 97, 5, 3, 2
 #: Words counted in a task before the counts are sent on: entries, and their code points.
 HELD, HELD_CHARS = 300_000, 8_000_000
 #: Words of one list held by one task, and pairs compared at once.
-BLOCK, PAIRS = 20_000, 1_000_000
+BLOCK, PAIRS = 20_000, 100_000
 #: Words up to this length are compared as rows of an array, longer ones by digests, then one by one.
 WIDE = 40
 
@@ -217,19 +217,18 @@ def is_near(a: str, b: str) -> bool:
     return a[low + 1:] == b[low + 1:] if len(a) == len(b) else a[low:] == b[low + 1:]
 
 
-def _near_rows(short: np.ndarray, long: np.ndarray, size: np.ndarray, wider: np.ndarray) -> np.ndarray:
-    """Of rows of code points (zero beyond a word's end), sizes of the shorter and
-    whether the other is one longer: which are near."""
+def _near_rows(short: np.ndarray, long: np.ndarray, size: np.ndarray, wider: bool) -> np.ndarray:
+    """Of rows of letters (zero beyond a word's end), the sizes of the shorter
+    words, and whether the others are one longer: which are near."""
     width = short.shape[1]
     inside = np.arange(width) < size[:, None]
-    same = short == long
-    start = np.where(inside, same, False).cumprod(axis=1).sum(axis=1)
-    shifted = short[:, :-1] == long[:, 1:]
-    shifted = np.where(inside[:, :-1], shifted, True)
-    tail = (shifted[:, ::-1].cumprod(axis=1).sum(axis=1) - (width - 1 - size))
-    tail = np.minimum(tail, size)
-    differs = (inside & ~same).sum(axis=1)
-    return np.where(wider, start + tail >= size, differs == 1)
+    differs = (short != long) & inside
+    if not wider:
+        return differs.sum(axis=1) == 1
+    start = np.where(differs.any(axis=1), differs.argmax(axis=1), size)  # length of the common start
+    apart = ((short[:, :-1] != long[:, 1:]) & inside[:, :-1])[:, ::-1]
+    tail = np.where(apart.any(axis=1), apart.argmax(axis=1) - (width - 1 - size), size)
+    return start + tail >= size
 
 
 def _matrix(words: list[str]) -> np.ndarray:
@@ -278,45 +277,51 @@ def linker(pairs: int = PAIRS):
             stored = _Stored(*[x[is_stored] for x in (key, ident, n, size, word, parts)])
             stored = kept + stored if kept is not None else stored
             kept = stored.cut(stored.key == key[-1])
-            look = ~is_stored
-            lo = np.searchsorted(stored.key, key[look], "left")
-            count = np.searchsorted(stored.key, key[look], "right") - lo
-            meet = count > 0
-            lo, count, look = lo[meet], count[meet], np.flatnonzero(look)[meet]
+            look = np.flatnonzero(~is_stored & np.isin(key, stored.key))
             if not len(look):
                 continue
             seen, ldelta = _Stored(*[x[look] for x in (key, ident, n, size, word, parts)]), delta[look]
-            # the parts to agree on: a look-up for a shorter word is the longer of the two
-            mine = np.where((ldelta == -1)[:, None], seen.longer, seen.same)
-            total = np.concatenate(([0], np.cumsum(count)))
-            start = 0
-            while start < len(look):
-                stop = max(start + 1, int(np.searchsorted(total, total[start] + pairs, "right")) - 1)
-                left = np.repeat(np.arange(start, stop), count[start:stop])
-                right = (np.arange(total[stop] - total[start]) - np.repeat(total[start:stop] - total[start], count[start:stop])
-                         + np.repeat(lo[start:stop], count[start:stop]))
-                longer = ldelta[left] == 1  # the stored word is the longer one
-                agree = np.zeros(len(left), bool)
+            for d, mine, theirs in ((0, seen.same, stored.same), (1, seen.same, stored.longer), (-1, seen.longer, stored.same)):
+                asked = np.flatnonzero(ldelta == d)
                 for part in (0, 1):
-                    theirs = np.where(longer, stored.longer[right, part], stored.same[right, part])
-                    agree |= mine[left, part] == theirs
-                agree &= (seen.ident[left] != stored.ident[right]) & (stored.size[right] - seen.size[left] == ldelta[left])
-                left, right = left[agree], right[agree]
-                yield from _verified(seen, stored, ldelta, left, right)
-                start = stop
+                    for left, right in _agreeing(_mixed(seen.key[asked], mine[asked, part]), _mixed(stored.key, theirs[:, part]), pairs):
+                        yield from _verified(seen, stored, d, asked[left], right)
 
     return run
 
 
-def _verified(seen: _Stored, stored: _Stored, delta, left, right) -> Iterator[pa.RecordBatch]:
+def _mixed(key: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (digest * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def _agreeing(asked: np.ndarray, stored: np.ndarray, pairs: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of equal values in the two, some ``pairs`` at once."""
+    order = np.argsort(stored)
+    held = stored[order]
+    lo = np.searchsorted(held, asked, "left")
+    count = np.searchsorted(held, asked, "right") - lo
+    total = np.concatenate(([0], np.cumsum(count)))
+    start = 0
+    while start < len(asked):
+        stop = max(start + 1, int(np.searchsorted(total, total[start] + pairs, "right")) - 1)
+        n = count[start:stop]
+        left = np.repeat(np.arange(start, stop), n)
+        if len(left):
+            yield left, order[np.arange(len(left)) - np.repeat(total[start:stop] - total[start], n) + np.repeat(lo[start:stop], n)]
+        start = stop
+
+
+def _verified(seen: _Stored, stored: _Stored, d: int, left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Which of these pairs are near; the stored word is ``d`` longer."""
+    fit = (seen.ident[left] != stored.ident[right]) & (stored.size[right] - seen.size[left] == d)
+    left, right = left[fit], right[fit]
     if not len(left):
         return
-    d = delta[left]
-    mine, theirs = seen.letters[left], stored.letters[right]
-    shorter = np.where((d == -1)[:, None], theirs, mine)
-    other = np.where((d == -1)[:, None], mine, theirs)
-    size = seen.size[left] + np.minimum(d, 0)
-    open_ = size + (d != 0) > WIDE
+    shorter, other = seen.letters[left], stored.letters[right]
+    if d < 0:
+        shorter, other = other, shorter
+    size = seen.size[left] + min(d, 0)
+    open_ = size + abs(d) > WIDE
     near = _near_rows(shorter, other, np.where(open_, 0, size), d != 0) | open_
     sure = ~open_[near]
     left, right = left[near], right[near]
