@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "dashboards":
         scored = spark.table(args.table) if args.table else spark.read.parquet(args.predictions)
         result = {}
-        for name, df in jobs.dashboard_pack(scored).items():
+        for name, df in jobs.dashboard_pack(scored, method="radix").items():
             df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
             result[name] = f"{args.out.rstrip('/')}/{name}"
     else:

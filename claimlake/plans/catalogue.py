@@ -153,24 +153,24 @@ def q_sum_cost_by_age(spark, sf):
     """SELECT CAST(ceil(AGE_YRS) AS INTEGER) AS rounded_age, median(prediction) AS median_prediction
 FROM acp GROUP BY 1""", "acp"))
 def q_median_cost_by_age(spark, sf):
-    return dash.median_cost_by_age(acp(spark, sf))
+    return dash.median_cost_by_age(acp(spark, sf), method="radix")
 
 
 @register("median_cost_by_race", V(
     "SELECT RACE, median(prediction) AS median_prediction FROM acp GROUP BY RACE", "acp"))
 def q_median_cost_by_race(spark, sf):
-    return dash.median_cost_by(acp(spark, sf), "RACE")
+    return dash.median_cost_by(acp(spark, sf), "RACE", method="radix")
 
 
 @register("median_cost_by_state", V(
     "SELECT STATE, median(prediction) AS median_prediction FROM acp GROUP BY STATE", "acp"))
 def q_median_cost_by_state(spark, sf):
-    return dash.median_cost_by(acp(spark, sf), "STATE")
+    return dash.median_cost_by(acp(spark, sf), "STATE", method="radix")
 
 
 @register("median_cost_by_condition", _panes_sql("median(prediction)", "median_prediction"))
 def q_median_cost_by_condition(spark, sf):
-    return dash.median_cost_by_condition(acp(spark, sf))
+    return dash.median_cost_by_condition(acp(spark, sf), method="radix")
 
 
 @register("median_cost_by_state_ranked", ORACLES["median_cost_by_state"])
@@ -229,7 +229,7 @@ def q_trend_cost_by_age(spark, sf):
 def q_trend_median_cost_by_age(spark, sf):
     """AG12 on the second dashboard: trend over the median-by-rounded-up-age marks."""
     from claimlake.operators.aggregate import trend_line
-    marks = dash.median_cost_by_age(acp(spark, sf)).select(
+    marks = dash.median_cost_by_age(acp(spark, sf), method="radix").select(
         F.col("rounded_age"), F.round("median_prediction", 6).alias("y"))
     t = trend_line(marks, "rounded_age", "y")
     return t.select(*[F.round(c, 6).alias(c) for c in ("slope", "intercept", "r2")], "n_marks")
@@ -527,6 +527,31 @@ def q_link_classify(spark, sf):
                                          link_kind(F.col("text"), F.col("child1")).alias("link_kind"))
 
 
+# Fixed made-up pages whose markup holds what only looks like an anchor, and elements in each other, and what must be found in them.
+MARKUP_PAGES = [
+    ('<!-- <a href="/gone">old</a> --><a href="/kept">kept</a><!----><a href="/b">b</a><!--> <a href="/c">c</a> -->',
+     [("/kept", "kept", None), ("/b", "b", None), ("/c", "c", None)]),
+    ('<script>var s = "<a href=\'/js\'>x</a>";</script><style>a:after{content:"<a href=/css>"}</style ><TEXTAREA><a href="/t">t</a></textarea>'
+     '<a href="/real"><script>"</a>"</script> (ZIP)</a>', [("/real", None, " (ZIP)")]),
+    ('<a href="/nest"><span>x <span>y</span> z</span> (ZIP)</a><a href="/cross"><b>1<i>2</b> (ZIP)</i></a><a href="/self"><i/> (ZIP)</a>',
+     [("/nest", None, " (ZIP)"), ("/cross", None, " (ZIP)"), ("/self", None, " (ZIP)")]),
+    ('<a title="a > b <a href=\'/no\'>" href="/quoted">q</a><a href="/lt">1 < 2</a><a href="/stray">s</em>t</a><a href="/lead"><b>open (ZIP)</a>',
+     [("/quoted", "q", None), ("/lt", "1 < 2", None), ("/stray", "s", None), ("/lead", None, None)]),
+    ('<a href="/split">one<!-- two -->three</a><a href="/late"><!-- c -->text</a><a href="/end">end<!-- <a href="/never">never</a>',
+     [("/split", "one", None), ("/late", "text", None), ("/end", "end", None)]),
+]
+
+
+@register("page_links_markup", f"SELECT page_id, href, text, child1 FROM ({ANCHORS_SQL}) a UNION ALL " + " UNION ALL ".join(
+    f"SELECT CAST({-k} AS BIGINT), {_sql_lit(h)}, {_sql_lit(t)}, {_sql_lit(c)}" for k, (_, found) in enumerate(MARKUP_PAGES, 1) for h, t, c in found))
+def q_page_links_markup(spark, sf):
+    """SC10: the anchors of all pages, and of pages with comments, raw text, nesting and tags left open."""
+    from claimlake.sources.html import page_anchors
+    forms = spark.createDataFrame([(-k, "https://www.example.org/m", html) for k, (html, _) in enumerate(MARKUP_PAGES, 1)], "page_id long, url string, html string")
+    pages = si.read_table(spark, sf, "pages").select("page_id", "url", "html").unionByName(forms)
+    return page_anchors(pages).select("page_id", "href", "text", "child1")
+
+
 FILE_KIND_SQL = """CASE WHEN string_split(file_name, '_')[6] = 'Inpatient' THEN 'inpatient'
   WHEN string_split(file_name, '_')[6] = 'Outpatient' THEN 'outpatient'
   WHEN string_split(file_name, '_')[4] = 'Beneficiary' THEN 'beneficiary' END"""
@@ -555,20 +580,25 @@ def q_download_catalogue(spark, sf):
     return download_catalogue(all_anchors(spark, sf))
 
 
-STORED_PAGES_SQL = "(SELECT page_id, 'https://www.example.org/p/' || page_id AS url, html FROM pages WHERE page_id % 10 = 0) AS pages"
+STORED_PAGES_SQL = "(SELECT page_id, 'https://www.example.org/p/' || page_id AS url, html FROM pages) AS pages"
 
 
 @register("catalogue_two_level", ORACLES["download_catalogue"].replace(ALL_ANCHORS_SQL, ANCHORS_SQL).replace("FROM pages", "FROM " + STORED_PAGES_SQL))
 def q_catalogue_two_level(spark, sf):
-    """JB5 with the walk: an index page links to a tenth of the stored pages as samples,
-    to others by other names; only the samples' anchors are classified."""
+    """JB5 with the walk: an index page names every stored page as a sample, and links by other
+    names to as many pages that are none; only the samples' anchors are classified."""
     from claimlake.plans.links import catalogue_from_index
     site = "https://www.example.org"
-    pages = si.read_table(spark, sf, "pages").select("page_id", F.concat(F.lit(f"{site}/p/"), F.col("page_id").cast("string")).alias("url"), "html")
-    name = F.when(F.col("page_id") % 10 == 0, F.lit("DE1.0 Sample")).otherwise(F.lit("Other page"))
-    index = pages.select((-F.col("page_id") - 1).alias("page_id"), F.lit(f"{site}/index").alias("url"),
-                         F.format_string("<a href='/p/%d'>%s %d</a>", "page_id", name, "page_id").alias("html"))
-    return catalogue_from_index(pages.unionByName(index), f"{site}/index")
+    stored = si.read_table(spark, sf, "pages")
+
+    def at(folder: str) -> F.Column:
+        return F.concat(F.lit(f"{site}/{folder}/"), F.col("page_id").cast("string")).alias("url")
+
+    pages = stored.select("page_id", at("p"), "html")
+    others = stored.select((-F.col("page_id") - 1).alias("page_id"), at("other"), "html")
+    index = stored.select(F.lit(None).cast("long").alias("page_id"), F.lit(f"{site}/index").alias("url"), F.format_string(
+        "<a href='/p/%d'>DE1.0 Sample %d</a><a href='/other/%d'>Other page %d</a>", "page_id", "page_id", "page_id", "page_id").alias("html"))
+    return catalogue_from_index(pages.unionByName(others).unionByName(index), f"{site}/index")
 
 
 # ----------------------------------------------------------------- profiles

@@ -82,6 +82,53 @@ def q_scan_zip_csv(spark, sf):
     return raw.select(*[try_cast(f.name, f.dataType.simpleString()).alias(f.name) for f in c.schema.fields])
 
 
+@register("scan_zip_csv_source", "SELECT * FROM customer")
+def q_scan_zip_csv_source(spark, sf):
+    """SC3 through the data source ``claim_records``."""
+    from claimlake.functions.clean import try_cast
+    from claimlake.plans.zip_fixture import write_zip_csv
+    from claimlake.sources.landed import read_records
+    c = si.read_table(spark, sf, "customer")
+    root = scratch_path(spark, "scan_zip_csv_source")
+    write_zip_csv(c, root, "customer", files=spark.sparkContext.defaultParallelism)
+    raw = read_records(spark, root, c.columns)
+    return raw.select(*[try_cast(f.name, f.dataType.simpleString()).alias(f.name) for f in c.schema.fields])
+
+
+#: Customers with line feeds, quotes and commas inside two values.
+QUOTED_SQL = """SELECT c_custkey, c_name || chr(10) || 'and "co", ' || c_custkey AS c_name, c_nationkey, c_acctbal,
+  CASE WHEN c_custkey % 3 = 0 THEN '"' || chr(10) || c_mktsegment || chr(10) || chr(10) || ',' ELSE c_mktsegment END AS c_mktsegment FROM customer"""
+
+
+def _quoted_customers(spark, sf):
+    c = si.read_table(spark, sf, "customer")
+    return c.select("c_custkey", F.concat("c_name", F.lit('\nand "co", '), F.col("c_custkey").cast("string")).alias("c_name"), "c_nationkey", "c_acctbal",
+                    F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('"\n'), "c_mktsegment", F.lit("\n\n,"))).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+
+
+@register("scan_csv_multiline", QUOTED_SQL)
+def q_scan_csv_multiline(spark, sf):
+    """SC1: quoted line feeds, in files read by ranges of a few kilobytes."""
+    from claimlake.sources.files import RAW_ENCODING, scan_csv
+    c = _quoted_customers(spark, sf)
+    path = scratch_path(spark, "scan_csv_multiline")
+    c.write.option("header", True).option("encoding", RAW_ENCODING).option("escape", '"').csv(path)
+    return scan_csv(spark, path, c.schema, multiline=True, range_bytes=7_001, block_bytes=997)
+
+
+@register("scan_zip_csv_multiline", QUOTED_SQL)
+def q_scan_zip_csv_multiline(spark, sf):
+    """SC3: quoted line feeds inside archives."""
+    from claimlake.functions.clean import try_cast
+    from claimlake.plans.zip_fixture import write_zip_csv
+    from claimlake.sources.archives import scan_zip_csv
+    c = _quoted_customers(spark, sf)
+    root = scratch_path(spark, "scan_zip_csv_multiline")
+    write_zip_csv(c, root, "customer", files=3, escape='"')
+    raw = scan_zip_csv(spark, root, S.raw_struct([(f.name, "string") for f in c.schema.fields]), multiline=True)
+    return raw.select(*[try_cast(f.name, f.dataType.simpleString()).alias(f.name) for f in c.schema.fields])
+
+
 @register("scan_parquet", "SELECT * FROM orders")
 def q_scan_parquet(spark, sf):
     from claimlake.sources.files import scan_parquet
@@ -421,6 +468,21 @@ def q_ingest_rerun(spark, sf):
     return _ingest_roundtrip(spark, _raw_drug_events(spark, sf), "prescription_drug_events", times=3)[1]
 
 
+@register("ingest_same_name", ORACLES["ingest_drug_events"])
+def q_ingest_same_name(spark, sf):
+    """JB4: files of the same names in three folders, two ingested by one call and one by another, then all again: every row once."""
+    from claimlake.plans.ingest import ingest, read_ingested
+    from claimlake.plans.zip_fixture import write_zip_csv
+    root = scratch_path(spark, "same_name")
+    raw, year = _raw_drug_events(spark, sf), F.coalesce(F.year("SRVC_DT"), F.lit(0))
+    stem = ARCHIVE_STEMS["prescription_drug_events"]
+    for folder, part in (("a/1", year < 1994), ("a/2", (year >= 1994) & (year < 1996)), ("b", year >= 1996)):
+        write_zip_csv(raw.where(part), f"{root}/landing/{folder}", stem, files=2)
+    for source in (f"{root}/landing/a", f"{root}/landing/b", f"{root}/landing"):
+        res = ingest(spark, source, "prescription_drug_events", f"{root}/lake")
+    return read_ingested(spark, res.path, "prescription_drug_events")
+
+
 @register("ingest_bad_records", V("""SELECT count(*) AS n_rows, count(*) FILTER (PDE_ID % 50 = 0) AS n_rejected,
   CAST(sum(PDE_ID) FILTER (PDE_ID % 50 <> 0) AS BIGINT) AS sum_good FROM pde""", "pde"))
 def q_ingest_bad_records(spark, sf):
@@ -493,3 +555,40 @@ def q_ingest_incremental_claims(spark, sf):
     write_zip_csv(raw.where(~early | F.col("SRVC_DT").isNull()), f"{root}/landing", f"{stem}_B", files=n)
     run_archive_ingest(spark, *args)
     return spark.read.schema(S.table_struct("prescription_drug_events")).parquet(f"{root}/target")
+
+
+@register("ingest_incremental_claims_source", ORACLES["ingest_incremental_claims"])
+def q_ingest_incremental_claims_source(spark, sf):
+    """ST1 on raw archives through the data source ``claim_records``, in two drops."""
+    from claimlake.plans.zip_fixture import write_zip_csv
+    from claimlake.streaming.incremental import run_record_ingest
+    raw = _raw_drug_events(spark, sf)
+    root = scratch_path(spark, "incremental_source")
+    early = F.col("SRVC_DT") < F.lit(dt.date(1995, 1, 1))
+    stem = ARCHIVE_STEMS["prescription_drug_events"]
+    args = (f"{root}/landing", "prescription_drug_events", f"{root}/target", f"{root}/checkpoint")
+    write_zip_csv(raw.where(early), f"{root}/landing", f"{stem}_A", files=3)
+    run_record_ingest(spark, *args)
+    write_zip_csv(raw.where(~early | F.col("SRVC_DT").isNull()), f"{root}/landing", f"{stem}_B", files=3)
+    run_record_ingest(spark, *args)
+    return spark.read.schema(S.table_struct("prescription_drug_events")).parquet(f"{root}/target")
+
+
+@register("ingest_reissued", ORACLES["ingest_drug_events"])
+def q_ingest_reissued(spark, sf):
+    """ST1: archives are dropped, issued again under the same names with other rows, and joined by further ones."""
+    from claimlake.plans.ingest import TABLE_PREFIXES, read_ingested
+    from claimlake.plans.zip_fixture import write_zip_csv
+    from claimlake.streaming.reissued import run_reissued_ingest
+    raw = _raw_drug_events(spark, sf)
+    root, table = scratch_path(spark, "reissued"), "prescription_drug_events"
+    early = F.col("SRVC_DT") < F.lit(dt.date(1995, 1, 1))
+    stem = ARCHIVE_STEMS[table]
+    args = (f"{root}/landing", table, f"{root}/lake", f"{root}/checkpoint")
+    write_zip_csv(raw.where(early).withColumn("PDE_ID", -F.col("PDE_ID")), f"{root}/landing", f"{stem}_A", files=3)
+    run_reissued_ingest(spark, *args)
+    write_zip_csv(raw.where(early), f"{root}/landing", f"{stem}_A", files=3)
+    write_zip_csv(raw.where(~early | F.col("SRVC_DT").isNull()), f"{root}/landing", f"{stem}_B", files=3)
+    run_reissued_ingest(spark, *args)
+    run_reissued_ingest(spark, *args)  # nothing new
+    return read_ingested(spark, f"{root}/lake/{TABLE_PREFIXES[table]}", table)

@@ -8,9 +8,10 @@ in ``_rejected`` (``_corrupt_record`` for a line that did not parse), so the qua
 same dataset - written in the same pass, not a second job.  Each row also
 keeps the archive it came from (``_source_file``).
 
-A dataset has one partition folder an archive (``_archive``, the file's name),
-and a write replaces the folders of the archives it holds: a rerun, or a retry
-after a failure, never adds the same archive twice.
+A dataset has one partition folder a landed file (``_archive``, the file's name and
+a digest of its path), and a write replaces the folders of the files it holds: a
+rerun, or a retry after a failure, never adds the same file twice, and files of
+one name in different folders are kept apart.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from claimlake import schemas as S
 from claimlake.functions import clean
-from claimlake.sources.archives import ZIP_GLOB, scan_zip_csv
+from claimlake.sources.archives import ZIP_GLOB, scan_zip_csv, source_key
 from claimlake.sources.files import CORRUPT_COLUMN
 
 # Which columns each raw file gets special cleaning on.
@@ -95,28 +96,47 @@ class IngestResult:
 
 
 def ingest(spark: SparkSession, source: str | list[str] | DataFrame, table: str, target_root: str,
-           glob: str = ZIP_GLOB, max_rows_per_file: int = MAX_ROWS_PER_FILE) -> IngestResult:
+           glob: str = ZIP_GLOB, max_rows_per_file: int = MAX_ROWS_PER_FILE, multiline: bool = False) -> IngestResult:
     """JB1-JB4: raw files of ``source`` -> ``<target_root>/<Table_Prefix>/``.
 
     ``source`` is a folder, a list of files, or a listing (path, length); ``glob``
     picks the files of a folder, ZIP archives (first member read) or plain CSV.
-    An archive that is there already is replaced.
+    ``multiline``: quoted values may hold line feeds.  A file that is there
+    already (by its path) is replaced.
     """
-    raw = scan_zip_csv(spark, source, S.raw_struct(S.TABLES[table]), glob)
+    raw = scan_zip_csv(spark, source, S.raw_struct(S.TABLES[table]), glob, multiline=multiline)
     typed = type_raw(raw, table)
     obs = Observation(f"ingest_{table}")
     typed = typed.observe(obs, F.count(F.lit(1)).alias("rows"),
                           F.sum(F.when(F.size("_rejected") > 0, 1).otherwise(0)).alias("rejected"))
     path = f"{target_root.rstrip('/')}/{TABLE_PREFIXES[table]}"
     write_archives(typed, path, max_rows_per_file)
-    m = obs.get
+    m = _counts(obs)
     return IngestResult(table, path, int(m.get("rows") or 0), int(m.get("rejected") or 0))
 
 
+def _counts(obs: Observation) -> dict:
+    """The counts of a write; an input found to be empty while it ran leaves none."""
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        return obs.get
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e.java_exception):
+            raise
+        return {}
+
+
+def archive_folder(path: Column) -> Column:
+    """What names the partition of a landed file: its name, and a digest of its path."""
+    digest = F.substring(F.md5(source_key(path).cast("binary")), 1, 16)
+    return F.concat(F.substring_index(path, "/", -1), F.lit("-"), digest)
+
+
 def write_archives(df: DataFrame, path: str, max_rows_per_file: int = MAX_ROWS_PER_FILE) -> None:
     """SK1: one folder of Parquet files an archive, replacing those of the archives
     in ``df``; a large archive is written by several tasks, small ones share one."""
-    named = df.withColumn("_archive", F.substring_index("_source_file", "/", -1))
+    named = df.withColumn("_archive", archive_folder(F.col("_source_file")))
     (named.hint("rebalance", F.col("_archive")).write.option("maxRecordsPerFile", max_rows_per_file)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("_archive").parquet(path))
 

@@ -165,17 +165,18 @@ def warehouse_job(spark: SparkSession, db: str, root: str, lake: str, prediction
     return counts
 
 
-def dashboard_pack(scored: DataFrame) -> dict[str, DataFrame]:
-    """The worksheets of both dashboards, by name."""
+def dashboard_pack(scored: DataFrame, method: str = "bracket") -> dict[str, DataFrame]:
+    """The worksheets of both dashboards, by name.  ``method`` of the medians: "bracket"
+    starts no job before a worksheet is read, "radix" moves no rows."""
     return {
         "sum_cost_by_age": dash.sum_cost_by_age(scored),
-        "median_cost_by_age": dash.median_cost_by_age(scored),
-        "median_cost_by_race": dash.median_cost_by(scored, "RACE"),
-        "median_cost_by_state": dash.median_cost_by(scored, "STATE"),
-        "median_cost_by_condition": dash.median_cost_by_condition(scored),
+        "median_cost_by_age": dash.median_cost_by_age(scored, method=method),
+        "median_cost_by_race": dash.median_cost_by(scored, "RACE", method=method),
+        "median_cost_by_state": dash.median_cost_by(scored, "STATE", method=method),
+        "median_cost_by_condition": dash.median_cost_by_condition(scored, method=method),
         "sum_cost_by_condition": dash.sum_cost_by_condition(scored),
         "trend_sum_by_age": dash.trend_cost_by_age(scored, "floor"),
-        "trend_median_by_age": dash.trend_cost_by_age(scored, "ceil"),
+        "trend_median_by_age": dash.trend_cost_by_age(scored, "ceil", method=method),
     }
 
 

@@ -9,7 +9,7 @@ from claimlake.sources.files import RAW_DATE_FORMAT, RAW_ENCODING
 
 
 def write_zip_csv(df: DataFrame, out_dir: str, stem: str, files: int | None = None,
-                  encoding: str = RAW_ENCODING, date_format: str = RAW_DATE_FORMAT) -> int:
+                  encoding: str = RAW_ENCODING, date_format: str = RAW_DATE_FORMAT, escape: str = "\\") -> int:
     """Write ``df`` as header CSV files, each zipped alone as ``<stem>_<n>.zip``.
 
     The CSV parts are written by Spark; each part is then zipped by one task
@@ -19,7 +19,7 @@ def write_zip_csv(df: DataFrame, out_dir: str, stem: str, files: int | None = No
     csv_dir = f"{out_dir.rstrip('/')}/_csv"
     w = df.repartition(files) if files else df
     (w.write.option("header", True).option("encoding", encoding).option("dateFormat", date_format)
-     .mode("overwrite").csv(csv_dir))
+     .option("escape", escape).mode("overwrite").csv(csv_dir))
     target = out_dir.rstrip("/")
 
     def zip_parts(batches):

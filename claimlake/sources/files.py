@@ -18,8 +18,17 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, encoding: str = RAW_ENCODING,
-             date_format: str = RAW_DATE_FORMAT, keep_corrupt: bool = False) -> DataFrame:
-    """SC1: typed CSV with a header; malformed rows keep their text in ``_corrupt_record``."""
+             date_format: str = RAW_DATE_FORMAT, keep_corrupt: bool = False, multiline: bool = False, **sizes) -> DataFrame:
+    """SC1: typed CSV with a header; malformed rows keep their text in ``_corrupt_record``.
+
+    ``multiline``: quoted values may hold line feeds.  Files are still read in
+    ranges (see :mod:`claimlake.sources.archives`), not one task a file."""
+    if multiline:
+        from claimlake.sources.archives import archive_records, list_archives, parse_records
+
+        lines = archive_records(list_archives(spark, path, "*"), [f.name for f in schema.fields], encoding, multiline=True, **sizes)
+        rows = parse_records(lines, schema, {"dateFormat": date_format})
+        return rows.select(*[f.name for f in schema.fields], *([CORRUPT_COLUMN] if keep_corrupt else []))
     reader = (spark.read.option("header", True).option("encoding", encoding)
               .option("dateFormat", date_format).option("mode", "PERMISSIVE"))
     if keep_corrupt:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
@@ -22,15 +23,20 @@ from pyspark.sql.streaming import StreamingQueryListener
 from claimlake.sources.archives import ZIP_GLOB
 
 
-def _checked_target(target: str) -> None:
-    """Raise if ``target`` holds data files but no log of a streaming sink."""
-    import pyarrow.fs as pafs
+def _listed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The files under a folder, seen as Spark sees it, or None if there is no such folder."""
+    try:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
+            return None
+        raise
 
-    from claimlake.sources.archives import arrow_fs
-    fs, path = arrow_fs(target)
-    found = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
-    names = [f.base_name for f in found]
-    if "_spark_metadata" not in names and any(n[:1] not in "._" for n in names):
+
+def _checked_target(spark: SparkSession, target: str) -> None:
+    """Raise if ``target`` holds data files but no log of a streaming sink."""
+    files = _listed(spark, target)
+    if files is not None and _listed(spark, f"{target}/_spark_metadata") is None and not files.isEmpty():
         raise ValueError(f"{target} holds files that no stream wrote; stream into a folder of its own")
 
 
@@ -86,7 +92,7 @@ def run_incremental(spark: SparkSession, landing: str, schema: T.StructType, tar
     stream: DataFrame = reader.load(landing)
     if transform is not None:
         stream = transform(stream)
-    _checked_target(target)
+    _checked_target(spark, target)
     return _finish(spark, _sink(stream, target, checkpoint))
 
 
@@ -116,5 +122,22 @@ def run_archive_ingest(spark: SparkSession, landing: str, table: str, target: st
     listing = reader.load(landing).select("path", "length")
     cols = [n for n, _ in S.TABLES[table]]
     typed = type_raw(parse_records(archive_records(listing, cols), cols), table)
-    _checked_target(target)
+    _checked_target(spark, target)
     return _finish(spark, _sink(typed, target, checkpoint))
+
+
+def run_record_ingest(spark: SparkSession, landing: str, table: str, target: str, checkpoint: str, glob: str = ZIP_GLOB, **options) -> dict:
+    """:func:`run_archive_ingest` through the data source ``claim_records``: the stream
+    reads the files itself, in the partitions that it plans."""
+    from claimlake import schemas as S
+    from claimlake.plans.ingest import type_raw
+    from claimlake.sources.landed import read_records
+
+    _checked_target(spark, target)
+    done = {"batches": 0, "rows": 0}
+    while True:  # a run takes one batch: after a failure the one that failed, as it was
+        rows = read_records(spark, landing, [n for n, _ in S.TABLES[table]], stream=True, glob=glob, log=f"{checkpoint}/landed", **options)
+        run = _finish(spark, _sink(type_raw(rows, table), target, f"{checkpoint}/stream"))
+        done = {k: v + run[k] for k, v in done.items()}
+        if not run["rows"]:
+            return done
