@@ -1,8 +1,8 @@
 """A training corpus from ``documents``: five stages, each of one operator.
 
 1. quality: the rule ensemble scores every text; documents below 0.3 go.
-2. near_dedup: a document goes if it has a similarity of 0.8 or more, on 5-word
-   shingles, to one of smaller id that stays.
+2. near_dedup: of each group of documents linked by SimHash fingerprints (4-word
+   shingles, 4 of 64 bits) the one of the smallest id stays.
 3. decontaminate: benchmark passages are cut out of the texts; a document of
    which they are more than half goes.
 4. mix: the sources are brought to their target weights; a document taken k times
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import decontaminate, hilbert, mixture, near_copies, rule_quality
+from claimlake.llm import decontaminate, hilbert, mixture, rule_quality, simhash
 from claimlake.llm.common import materialise, table
 
 
@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminated), ("mix", mix), ("shard", shard)]
 
-#: The stages are no SQL: trees and a lasso fit, XXH64 fingerprints and iterated components.
+#: No SQL: trees and a lasso fit, XXH64 fingerprints, iterated components, an automaton's cuts.
 ORACLE_SQL = None
 
 
