@@ -18,10 +18,11 @@ def keep_top(df: DataFrame, keys: list[str], by: str, tiebreak: list[str]) -> Da
     repeatable order; any orderable types).  A null ``by`` loses to any value.
     Written as a min over a struct ordered (by is null, -by, tiebreak...): the
     aggregate combines map-side, so a key holding a third of all rows is reduced
-    to one row per task before the shuffle.  A row_number window would be
-    limited map-side as well (a partial window group limit); the two plans are
-    close on one machine, and this one needs no sort of the rows.  Null keys
-    form their own group, as in a drop-duplicates.
+    to one row per task before the shuffle.  Since a struct is no fixed-width
+    buffer, Spark runs it as a sort aggregate: rows are sorted by the keys inside
+    each task, before and after the shuffle.  A hash aggregate of the score
+    alone would need a join of all rows with its result, which shuffles every row of a hot
+    key.  Null keys form their own group, as in a drop-duplicates.
     """
     others = [c for c in df.columns if c not in keys and c not in tiebreak and c != by]
     order = [F.col(by).isNull().alias("_null"), (-F.col(by)).alias("_neg")]

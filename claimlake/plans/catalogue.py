@@ -18,6 +18,7 @@ from claimlake.plans import dashboards as dash
 from claimlake.plans import standins as si
 from claimlake.plans.features import (beneficiary_projection, claims_per_patient,
                                       feature_table)
+from claimlake.session import scratch_path
 from claimlake.schemas import (CONDITION_FLAGS, DASHBOARD_CONDITIONS, FEATURE_COLUMNS,
                                PREDICTIONS)
 
@@ -896,6 +897,53 @@ def q_approx_distinct_columns_bound(spark, sf):
     return exact.join(estimate, exact["column_name"] == estimate["column"]).select("column_name", "exact", close.alias("within"))
 
 
+@register("approx_distinct_stored", ORACLES["approx_distinct_columns_bound"])
+def q_approx_distinct_stored(spark, sf):
+    """AG14 from stored sketches: two loads sketched apart, one of them twice, and united;
+    within four standard errors of the exact count."""
+    from claimlake.operators.sketches import column_sketches, distinct_counts, standard_error, store
+    df = acp(spark, sf)
+    cols = ["PATIENT_ID", "AGE_YRS", "STATE", "RACE", "DX"]
+    path = f"{scratch_path(spark, 'sketches')}/acp"
+    old = F.coalesce(F.col("AGE_YRS") >= 65, F.lit(False))
+    for name, rows in (("a", df.where(old)), ("b", df.where(~old)), ("b", df.where(~old))):
+        store(column_sketches(rows, cols).withColumn("load", F.lit(name)), path)
+    exact = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).unpivot([], cols, "column_name", "exact")
+    close = F.abs(F.col("approx_distinct") - F.col("exact")) <= 4 * standard_error() * F.col("exact") + 1
+    found = distinct_counts(spark, path)
+    return exact.join(found, exact["column_name"] == found["column"]).select("column_name", "exact", close.alias("within"))
+
+
+@register("linreg_refit", ORACLES["linreg_normal_equations"])
+def q_linreg_refit(spark, sf):
+    """ML4 from stored sums of three loads: the residuals of the training rows are
+    orthogonal to all 18 inputs, as only those of the least-squares solution are."""
+    from pyspark.ml.functions import vector_to_array
+
+    from claimlake.plans.model import complete, prepare, split_label
+    from claimlake.plans.refit import add_load, refit
+    f = features(spark, sf)
+    path = f"{scratch_path(spark, 'refit')}/sums"
+    part = F.pmod(F.xxhash64("PATIENT_ID"), F.lit(3))
+    for k in range(3):
+        add_load(f.where(part == k), path, f"load-{k}")
+    fit = refit(spark, path)
+    _, assembled = prepare(f)
+    rows = assembled.where(complete() & F.col("ANNUAL_COST").isNotNull() & (split_label() == "train"))
+    names = ["(intercept)", *FEATURE_COLUMNS]
+    x = F.concat(F.array(F.lit(1.0)), vector_to_array("features"))
+    weights = F.array(*[F.lit(float(b)) for b in [fit.intercept, *fit.coefficients]])
+    rows = rows.select(x.alias("x"), F.col("ANNUAL_COST").alias("y"))
+    guess = F.aggregate(F.zip_with("x", weights, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    rows = rows.select("x", "y", (F.col("y") - guess).alias("e"))
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y") * F.col("y")).alias("yy"),
+                    *[F.sum(F.col("x")[k] * F.col("e")).alias(f"d{k}") for k in range(len(names))],
+                    *[F.sum(F.col("x")[k] * F.col("x")[k]).alias(f"s{k}") for k in range(len(names))])
+    return sums.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("name"), (F.abs(F.col(f"d{k}")) <= 1e-6 * F.sqrt(F.col(f"s{k}") * F.col("yy")) + 1e-6).alias("orthogonal"),
+        F.col("n").alias("n_train")) for k, c in enumerate(names)])))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Median predicted annual cost by state over the model's scored table."""
     from claimlake.plans.model import annual_cost_predictions

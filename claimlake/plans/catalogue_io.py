@@ -176,6 +176,20 @@ def q_snapshot_extract(spark, sf):
     return snapshot(acp(spark, sf), scratch_path(spark, "snapshot"))
 
 
+@register("snapshot_join", ORACLES["join_beneficiary_claims"])
+def q_snapshot_join(spark, sf):
+    """SC9, JO1: beneficiaries and claims as bucketed snapshots, joined bucket by bucket."""
+    from claimlake.plans.snapshots import bucketed_snapshot, join_snapshots
+    root = scratch_path(spark, "snapshots")
+    db = f"snapshots_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}.db'")
+    ben = si.ben(spark, sf).select(F.col("DESYNPUF_ID").alias("PATIENT_ID"), F.col("BENRES_IP").alias("ANNUAL_COST"))
+    inp = si.inp(spark, sf).select("DESYNPUF_ID", "CLM_ID", "CLM_PMT_AMT")
+    left = bucketed_snapshot(ben, f"{db}.ben", root, "PATIENT_ID", 8)
+    right = bucketed_snapshot(inp, f"{db}.inp", root, "DESYNPUF_ID", 8, ["CLM_ID"])
+    return join_snapshots(left, right, "PATIENT_ID", "DESYNPUF_ID")
+
+
 # ------------------------------------------------------------------ sinks
 PDE_TABLE_SQL = V(ddl_sql(S.DRUG_EVENTS, {n: n for n, _ in S.DRUG_EVENTS}, "pde"), "pde")
 
