@@ -88,22 +88,51 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(F.array(*[F.lit(b) for b in range(bits - 1, -1, -1)]), start, step, lambda acc: acc["index"])
 
 
-def _number(docs: DataFrame, col: str) -> Column:
-    """A number in the order of the column: texts by their first seven bytes."""
-    if docs.schema[col].dataType.typeName() in ("string", "binary"):
-        return F.conv(F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("double")
-    return F.col(col).cast("double")
+def _is_text(docs: DataFrame, col: str) -> bool:
+    return docs.schema[col].dataType.typeName() in ("string", "binary")
+
+
+def text_cuts(docs: DataFrame, col: str, cells: int) -> list:
+    """The first value of each cell of a text column: cells hold about equal numbers
+    of rows, and a value is in one of them.  Values are counted map-side, sorted by
+    range, and compared whole; a running count inside each range and the ranges' sums
+    (one row each) give a value's place among all rows."""
+    counted = docs.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ordered = counted.repartitionByRange("v").sortWithinPartitions("v").withColumn("p", F.spark_partition_id()).checkpoint()
+    sums = dict(ordered.groupBy("p").agg(F.sum("n")).collect())
+    parts = sorted(sums)
+    starts = dict(zip(parts, accumulate([0, *(sums[p] for p in parts)]), strict=False))
+    total = sum(sums.values())
+    if not total:
+        return []
+    before = F.sum("n").over(Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, -1))
+    start = F.get(_longs([starts.get(p, 0) for p in range(max(parts) + 1)]), F.col("p"))
+    place = ordered.select("v", (start + F.coalesce(before, F.lit(0))).alias("at"))
+    firsts = place.groupBy(F.expr(f"at * {cells}L div {total}L").alias("cell")).agg(F.min("v").alias("v"))
+    return sorted(r["v"] for r in firsts.select("v").collect())  # at most ``cells`` rows
+
+
+def _count_in(points: Column, holds) -> Column:
+    return F.size(F.filter(points, holds))  # a function of one argument: of two, the second would be the place
 
 
 def quantised(docs: DataFrame, dims: list[str], bits: int = BITS) -> list[Column]:
-    """Cell of each dimension: the number of cut points below the value."""
+    """Cell of each dimension: the number of cut points below a number, or of first
+    values at or below a text but one; missing values are in cell 0."""
+    numbers = [c for c in dims if not _is_text(docs, c)]
     cuts = [(k + 1) / (1 << bits) for k in range((1 << bits) - 1)]
-    row = docs.select(*[F.percentile_approx(_number(docs, c), cuts, 1_000).alias(f"d{k}") for k, c in enumerate(dims)]).first()
+    row = docs.agg(*[F.percentile_approx(F.col(c).cast("double"), cuts, 1_000).alias(f"d{k}") for k, c in enumerate(numbers)]).first() if numbers else None
     out = []
-    for k, c in enumerate(dims):
-        points = F.array(*[F.lit(float(x)) for x in sorted(set(row[k] or ()))]).cast("array<double>")
-        value = _number(docs, c)
-        out.append(F.coalesce(F.size(F.filter(points, lambda p, value=value: p < value)), F.lit(0)))
+    for c in dims:
+        if c in numbers:
+            points = sorted(set(row[f"d{numbers.index(c)}"] or ()))
+            held, value = F.array(*[F.lit(float(x)) for x in points]).cast("array<double>"), F.col(c).cast("double")
+            cell = _count_in(held, lambda p: p < value)  # noqa: B023  used at once
+        else:
+            points = text_cuts(docs, c, 1 << bits)
+            held, value = F.array(*[F.lit(x) for x in points]).cast(f"array<{docs.schema[c].dataType.simpleString()}>"), F.col(c)
+            cell = F.greatest(_count_in(held, lambda p: p <= value) - 1, F.lit(0))  # noqa: B023
+        out.append(F.when(value.isNotNull(), cell).otherwise(0))
     return out
 
 
