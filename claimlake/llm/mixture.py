@@ -8,12 +8,16 @@ repetitions.  Within a pattern, documents are put in a seeded order (a hash of
 the id); all are taken as often as the whole passes of the flow, and those
 before a cut point once more, the document at the cut with the part that is left.
 
-Scale: texts are read once, to count words; only patterns reach the driver, and
-their number is checked.  The cut point of a pattern is found from sums by
+Scale: texts are read once, to count words.  A pattern of one source that no other
+pattern shares, and there may be any number of those, takes its source's quota,
+by joins of small tables; the targets are a few aggregations over the sources.
+Only patterns that overlap reach the driver, and their number is checked
+(``max_patterns``, beyond which the operator raises).  The cut point of a pattern is found from sums by
 leading hash digits (combined map-side) and then inside one such bucket, whose
 size the number of digits bounds; no pattern is ever sorted in one task, however
-many documents it has.  The cut points are a bounded table, so the decision for
-a document needs no shuffle.
+many documents it has.  The cut points are a table of one row a pattern, joined to
+the documents by pattern: sent to all tasks while it is small, else by a shuffle
+of ids and sizes whose hot patterns AQE splits.
 
 Defined cases: a null text has no words; a null source is a source of its own,
 after the others; a document without sources (an empty list) is not taken; ids
@@ -29,11 +33,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlake.llm.common import WORD, materialise
+from claimlake.operators.rowindex import with_row_index
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SEED = 7
-#: Patterns, and memberships in them, that the driver takes: the flow network's size.
+#: Overlapping patterns that the driver takes: the flow network's size.
 MAX_PATTERNS = 20_000
 #: Documents of one pattern that share their leading hash digits, about.
 BUCKET_ROWS = 10_000
@@ -112,29 +117,65 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def source_goals(patterns: DataFrame, weights=WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
+    """``patterns`` (sources, size, rows) -> (source, source_size, target) of every
+    source, :func:`targets` as a few aggregations: sources above their limit are set
+    aside until the share of the rest, which only grows, is above none."""
+    sizes = patterns.select(F.explode("sources").alias("source"), "size").groupBy("source").agg(F.sum("size").alias("source_size"))
+    ranked = with_row_index(sizes, [F.col("source").isNull(), F.col("source")], "place")
+    weight = F.get(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights)).cast("int")).cast("long")
+    goals = materialise(ranked.select("source", "source_size", weight.alias("weight")), "mix-sources")
+    total = patterns.agg(F.sum("size")).first()[0] or 0
+    left, weight_left = total, goals.agg(F.sum("weight")).first()[0] or 1
+
+    def above(left: int, weight_left: int) -> Column:
+        return F.expr(f"cast({repeats} * source_size as decimal(38,0)) * {weight_left} < cast({left} as decimal(38,0)) * weight")
+
+    while True:
+        size, weight = goals.where(above(left, weight_left)).agg(F.sum("source_size"), F.sum("weight")).first()
+        now = total - repeats * (size or 0), goals.agg(F.sum("weight")).first()[0] or 1
+        now = now[0], now[1] - (weight or 0)
+        if now == (left, weight_left):
+            break
+        left, weight_left = now
+    share = F.lit(float(left)) * F.col("weight") / F.lit(float(max(1, weight_left)))
+    target = F.when(above(left, weight_left), (repeats * F.col("source_size")).cast("double")).otherwise(share)
+    return materialise(goals.select("source", "source_size", target.alias("target")), "mix-goals")
+
+
 def plan(docs: DataFrame, weights=WEIGHTS, repeats: int = MAX_REPEATS, seed: int = SEED,
-         max_patterns: int = MAX_PATTERNS) -> tuple[DataFrame, DataFrame, dict, dict]:
+         max_patterns: int = MAX_PATTERNS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``docs`` (doc_id, sources array, size) -> cut points by pattern (whole
-    passes, key at the cut, tokens left there and tokens of that key), and the
-    sizes and targets of the sources."""
+    passes, key at the cut, tokens left there and tokens of that key), the tokens
+    routed by pattern, and the sizes and targets of the sources.
+
+    A pattern of one source that no other pattern shares takes that source's quota:
+    these are routed by a join, however many there are.  Patterns that overlap, and
+    those of one source which share it with them, are the flow network, on the driver."""
     spark = docs.sparkSession
-    found = docs.groupBy("sources").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(max_patterns + 1).collect()
-    if len(found) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns; group the sources first")
-    found = sorted(found, key=lambda r: [(s is None, s or "") for s in r["sources"]])
-    sizes: dict = {}
-    for r in found:
-        for s in r["sources"]:
-            sizes[s] = sizes.get(s, 0) + r["size"]
-    ordered = sorted(sizes, key=lambda s: (s is None, s or ""))
-    by_weight = {s: weights[k % len(weights)] for k, s in enumerate(ordered)}
-    total = sum(r["size"] for r in found)
-    goal = targets(sizes, by_weight, total, repeats) if sizes else {}
-    flow = min_cost_flow([(tuple(r["sources"]), r["size"]) for r in found], {s: round(t) for s, t in goal.items()}, repeats)
-    passes = [(r["sources"], *(divmod(sum(f.values()), r["size"]) if r["size"] else (0, 0))) for r, f in zip(found, flow, strict=True)]
-    routed = spark.createDataFrame(passes, "sources array<string>, whole long, rest long")
-    digits = max(1, min(8, math.ceil(math.log(max(1, max((r["rows"] for r in found), default=1)) / BUCKET_ROWS + 1, 16))))
-    return _cuts(docs, routed, seed, digits), routed, sizes, goal
+    patterns = materialise(docs.groupBy("sources").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")), "mix-patterns")
+    goals = source_goals(patterns, weights, repeats)
+    shared = patterns.where(F.size("sources") > 1).select(F.explode("sources").alias("s")).distinct()
+    first = F.get("sources", F.lit(0))
+    single = patterns.where(F.size("sources") == 1).withColumn("first", first)
+    meets = single.join(shared, single["first"].eqNullSafe(shared["s"]), "left_semi").drop("first")
+    network = patterns.where(F.size("sources") != 1).unionByName(meets).limit(max_patterns + 1).collect()
+    if len(network) > max_patterns:
+        raise ValueError(f"more than {max_patterns} membership patterns overlap; group the sources first")
+    network = sorted(network, key=lambda r: [(s is None, s or "") for s in r["sources"]])
+    wanted = spark.createDataFrame([(s,) for s in {s for r in network for s in r["sources"]}], "s string")
+    quotas = {r["source"]: round(r["target"]) for r in goals.join(F.broadcast(wanted), F.col("source").eqNullSafe(F.col("s")), "left_semi").collect()}
+    flow = min_cost_flow([(tuple(r["sources"]), r["size"]) for r in network], quotas, repeats)
+    passes = [(r["sources"], *(divmod(sum(f.values()), r["size"]) if r["size"] else (0, 0))) for r, f in zip(network, flow, strict=True)]
+    alone = single.join(shared, single["first"].eqNullSafe(shared["s"]), "left_anti")
+    alone = alone.join(goals, alone["first"].eqNullSafe(goals["source"]))
+    quota = F.bround("target", 0).cast("long")
+    direct = alone.select("sources", F.when(F.col("size") > 0, F.expr("cast(bround(target, 0) as bigint) div size")).otherwise(0).alias("whole"),
+                          F.when(F.col("size") > 0, quota % F.col("size")).otherwise(0).alias("rest"))
+    routed = materialise(direct.unionByName(spark.createDataFrame(passes, "sources array<string>, whole long, rest long")), "mix-routed")
+    rows = patterns.agg(F.max("rows")).first()[0] or 1
+    digits = max(1, min(8, math.ceil(math.log(rows / BUCKET_ROWS + 1, 16))))
+    return materialise(_cuts(docs, routed, seed, digits), "mix-cuts"), routed, goals
 
 
 def _cuts(docs: DataFrame, routed: DataFrame, seed: int, digits: int) -> DataFrame:
@@ -142,9 +183,9 @@ def _cuts(docs: DataFrame, routed: DataFrame, seed: int, digits: int) -> DataFra
     bucket = F.substring("key", 1, digits)
     sums = keyed.groupBy("sources", bucket.alias("bucket")).agg(F.sum("size").alias("size"))
     before = F.sum("size").over(Window.partitionBy("sources").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    at = (sums.withColumn("before", F.coalesce(before, F.lit(0))).join(F.broadcast(routed), "sources")
+    at = (sums.withColumn("before", F.coalesce(before, F.lit(0))).join(routed, "sources")
           .where("before <= rest and rest < before + size").select("sources", "bucket", "before", "whole", "rest"))
-    inside = (keyed.withColumn("bucket", bucket).join(F.broadcast(at), ["sources", "bucket"])
+    inside = (keyed.withColumn("bucket", bucket).join(at, ["sources", "bucket"])
               .groupBy("sources", "whole", "rest", "before", "key").agg(F.sum("size").alias("size")))
     earlier = F.sum("size").over(Window.partitionBy("sources").orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
     return (inside.withColumn("before", F.col("before") + F.coalesce(earlier, F.lit(0)))
@@ -157,7 +198,7 @@ def take(docs: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
     key = order_key("doc_id", seed)
     more = (F.when(key < F.col("cut"), F.col("size"))
             .when(key == F.col("cut"), F.expr("part * size div at_cut")).otherwise(F.lit(0)))
-    return (docs.join(F.broadcast(cuts), "sources", "left")  # a row for each pattern, their number checked
+    return (docs.join(cuts, "sources", "left")  # a row for each pattern
             .withColumn("taken", F.coalesce(F.col("whole") * F.col("size") + more, F.lit(0)).cast("long"))
             .drop("whole", "cut", "part", "at_cut"))
 
@@ -174,14 +215,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     several = docs.schema[source_col].dataType.typeName() == "array"
     sources = F.array_sort(F.array_distinct(F.coalesce(F.col(source_col), F.array().cast("array<string>")))) if several else F.array(F.col(source_col).cast("string"))
     sized = materialise(_sized(docs, id_col, text_col, sources), "mix")
-    cuts, _, sizes, goal = plan(sized, weights, repeats, seed)
-    spark = docs.sparkSession
-    known = spark.createDataFrame([(s, sizes[s], goal[s]) for s in sizes], "source string, source_size long, target double")
+    cuts, _, goals = plan(sized, weights, repeats, seed)
     taken = take(sized, cuts, seed)
     if several:
         return taken.select("doc_id", "sources", "size", "taken")
     return (taken.withColumn("source", F.get("sources", F.lit(0)))
-            .join(F.broadcast(known.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s")), "left")
+            .join(goals.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left")
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
@@ -192,12 +231,12 @@ def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     Rows without words, which no quota counts, stay once."""
     sources = F.array(F.col(source_col).cast("string"))
     sized = materialise(_sized(docs, id_col, text_col, sources), "mix")
-    cuts, _, _, _ = plan(sized, weights, repeats, seed)
+    cuts, _, _ = plan(sized, weights, repeats, seed)
     key = order_key(F.col("__id"), seed)
     times = F.col("__whole") + F.when(key < F.col("__cut"), 1).when(key == F.col("__cut"), F.round(F.col("__part") / F.col("__at")).cast("int")).otherwise(0)
     renamed = cuts.select(*[F.col(c).alias(n) for c, n in (("sources", "__sources"), ("whole", "__whole"), ("cut", "__cut"), ("part", "__part"), ("at_cut", "__at"))])
     marked = docs.withColumns({"__source": F.col(source_col).cast("string"), "__id": F.col(id_col), "__empty": ~F.coalesce(F.col(text_col).rlike(WORD), F.lit(False))})
-    joined = marked.join(F.broadcast(renamed), F.col("__source").eqNullSafe(F.get("__sources", F.lit(0))), "left")
+    joined = marked.join(renamed, F.col("__source").eqNullSafe(F.get("__sources", F.lit(0))), "left")
     copies = F.when(F.col("__empty"), 1).otherwise(F.coalesce(times, F.lit(0)).cast("int"))
     return (joined.withColumn("__copies", copies).where("__copies > 0")
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns))
