@@ -115,7 +115,8 @@ def fit(sample: DataFrame, trees: int = TREES, depth: int = DEPTH, penalty: floa
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    sample = materialise(sample.coalesce(8), "rules")
+    # an exchange, so that the texts are read by all tasks; dealt and sorted by value, so that reruns grow the same trees
+    sample = materialise(sample.repartition(8, F.xxhash64("label", "__stats")).sortWithinPartitions("label", "__stats"), "rules")
     n, ones = sample.agg(F.count(F.lit(1)), F.sum("label")).first()
     ones = ones or 0
     prior = math.log((ones + 1) / (n - ones + 1))
