@@ -31,8 +31,8 @@ of all documents hold is one entry a batch.  Parts hold about ``PART_PHRASES``.
 Nothing is collected or broadcast.  Sizes follow from the bytes of the input.
 
 Defined cases: a null text is empty; texts shorter than ``length`` lose nothing;
-rows with one id are one document for the order; rows with a null id come after
-all others; repeats inside one document alone are kept; other columns are not
+rows with one id are one document for the order; rows with a null id are one, after
+all others, in batches by their text; repeats inside one document alone are kept; other columns are not
 read; very long texts are parsed in pieces of ``PIECE`` bytes (windows that a
 piece end cuts off from their phrase form phrases of their own).
 """
@@ -405,13 +405,14 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      texts: bool = False, batch_bytes: int = BATCH_BYTES, part_phrases: int = PART_PHRASES) -> DataFrame:
     """One row per document: bytes, bytes removed, maximal removed runs and the
     SHA-256 of what is left; with ``texts`` also what is left, as bytes."""
-    if not GRAM < length <= GRAM + 32:
-        raise ValueError(f"length must be {GRAM + 1} to {GRAM + 32}")
+    if not GRAM < length < GRAM + 32:  # a phrase has length - GRAM + 1 windows at most, one bit each
+        raise ValueError(f"length must be {GRAM + 1} to {GRAM + 31}")
     base = id_and_body(docs, id_col, text_col)
     total = base.agg(F.sum(F.length("body"))).first()[0] or 0
     batches = max(1, math.ceil(total / batch_bytes))
     parts = max(1, math.ceil(total / (length - GRAM) * 2 / part_phrases))
-    base = base.select(F.col("doc_id").cast("long").alias("doc_id"), "body", F.pmod(F.hash("doc_id"), F.lit(batches)).alias("batch"))
+    base = base.select(F.col("doc_id").cast("long").alias("doc_id"), "body",
+                       F.pmod(F.hash("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("body"))), F.lit(batches)).alias("batch"))
     parted = "part int, batch int, packed binary"
     phrases = base.groupBy("batch").applyInArrow(_parser(length, parts), parted)
     answers = phrases.groupBy("part").applyInArrow(_dictionary, parted)
