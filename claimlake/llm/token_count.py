@@ -16,7 +16,7 @@ stands.
 
 Scale: no shuffle; documents are counted where they are read.  The vocabulary is
 read on the driver and broadcast, its number of pieces checked.  A worker keeps
-at most ``MEMO`` counts and the trie of one batch.
+at most ``MEMO`` counts of ``MEMO_CHARS`` code points and the trie of one batch.
 
 Defined cases: a null or empty text has no tokens; repeated rows give repeated
 counts; other columns are not read.
@@ -35,6 +35,8 @@ from claimlake.llm.common import map_bodies
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ZIPF, PENALTY, MEMO, MAX_PIECES = 2.7, 10.0, 300_000, 1_000_000
+#: Code points of all pre-tokens whose counts are kept, and of one; longer ones are counted again when they come again.
+MEMO_CHARS, KEPT_CHARS = 8_000_000, 1_000
 
 
 def load_pieces(path: str = VOCABULARY) -> list[str]:
@@ -67,6 +69,7 @@ class UnigramTrie:
         # a line feed that no piece holds ends a pre-token as well
         self.cut = re.compile(r" *[^ ]+| +" if any("\n" in p for p in pieces) else r" *[^ \n]+| +|\n")
         self.counts: dict[str, int] = {}
+        self.held = 0  # code points of the counted pre-tokens
 
     def insert(self, words: list[str]) -> None:
         """Grow the trie of sorted distinct pre-tokens and store their counts.
@@ -106,11 +109,19 @@ class UnigramTrie:
     def count(self, texts: list[str]) -> tuple[list[int], list[int]]:
         """Tokens and pre-tokens of each text."""
         found = [Counter(self.pretokens(t)) for t in texts]
-        if len(self.counts) > MEMO:
+        if len(self.counts) > MEMO or self.held > MEMO_CHARS:
             self.counts.clear()
-        self.insert(sorted({w for words in found for w in words if w not in self.counts}))
+            self.held = 0
+        fresh = sorted({w for words in found for w in words if w not in self.counts})
+        self.insert(fresh)
         get = self.counts.__getitem__
-        return [sum(get(w) * k for w, k in words.items()) for words in found], [words.total() for words in found]
+        tokens = [sum(get(w) * k for w, k in words.items()) for words in found]
+        for w in fresh:
+            if len(w) > KEPT_CHARS:
+                del self.counts[w]
+            else:
+                self.held += len(w)
+        return tokens, [words.total() for words in found]
 
 
 _KEPT: dict[str, UnigramTrie] = {}
