@@ -61,7 +61,7 @@ class SuffixAutomaton:
         self.next: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.length = [0]
-        self.windows: dict[int, set[tuple[int, int]]] = {}
+        self.windows: dict[int, dict[int, set[int]]] = {}  # state -> size -> items
         self.shortest = window
         coded = []
         for item_id, words in items:
@@ -81,7 +81,7 @@ class SuffixAutomaton:
                     v = state
                     while self.length[self.link[v]] >= size:
                         v = self.link[v]
-                    self.windows.setdefault(v, set()).add((size, k))
+                    self.windows.setdefault(v, {}).setdefault(size, set()).add(k)
         # nearest state at or above v on the suffix links that ends a window
         self.above = [0] * len(self.link)
         for v in sorted(range(1, len(self.link)), key=self.length.__getitem__):
@@ -119,7 +119,7 @@ class SuffixAutomaton:
     def matches(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Ranges of words inside window occurrences, and the items hit."""
         ranges: list[tuple[int, int]] = []
-        items: set[int] = set()
+        hits: set[tuple[int, int]] = set()  # (state, size) met; the items of each are put together once
         n, get = len(words), self.vocab.get
         codes = np.fromiter((get(w, -1) for w in words), np.int64, n)
         known = np.concatenate(([0], (codes >= 0).view(np.int8), [0]))
@@ -138,10 +138,10 @@ class SuffixAutomaton:
                     matched += 1
                 v, longest = above[state], 0
                 while v:
-                    for size, item in windows[v]:
+                    for size in windows[v]:
                         if size <= matched:
                             longest = max(longest, size)
-                            items.add(item)
+                            hits.add((v, size))
                     v = above[link[v]]
                 if longest:
                     start = i + 1 - longest
@@ -149,7 +149,7 @@ class SuffixAutomaton:
                         while ranges and start <= ranges[-1][1]:
                             start = min(start, ranges.pop()[0])
                     ranges.append((start, i + 1))
-        return ranges, {self.ids[k] for k in items}
+        return ranges, {self.ids[k] for v, size in hits for k in windows[v][size]}
 
 
 def _merge(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -44,3 +44,22 @@ def test_stages(spark, tmp_path):
 def test_run_is_the_stages(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard", "slot"] and out.count() > 0
+
+
+def _through(spark, df, folder):
+    for name, stage in corpus_pipeline.STAGES:
+        before = df
+        df = corpus_pipeline.materialise(stage(spark, df, folder), f"edge-{name}")
+        own = [c for c in before.columns if c not in ("shard", "slot")]
+        assert [c for c in df.columns if c not in ("shard", "slot")] == own, name
+    return df
+
+
+def test_stages_with_clashing_columns_nulls_and_repeated_rows(spark, edge):
+    out = _through(spark, edge, SF_SMALL)
+    assert out.columns[-2:] == ["shard", "slot"] and out.where("n_words <> 'clash'").isEmpty()
+    assert 0 < out.count() and out.where("doc_id IS NOT NULL").select("doc_id").distinct().count() <= edge.count()
+
+
+def test_stages_on_an_empty_table(spark, no_docs):
+    assert _through(spark, no_docs, SF_SMALL).isEmpty()
