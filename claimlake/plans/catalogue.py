@@ -696,6 +696,15 @@ def q_join_natural(spark, sf):
     return natural_join(left, right)
 
 
+@register("join_natural_split", ORACLES["join_natural"])
+def q_join_natural_split(spark, sf):
+    """JO2 with the keys of more than a hundred rows dealt as blocks on both sides."""
+    from claimlake.operators.joins import natural_join_split
+    left = features(spark, sf).select("PATIENT_ID", "AGE_YRS", "DX", "STATE")
+    right = acp(spark, sf).select("AGE_YRS", "DX", "STATE", "prediction")
+    return natural_join_split(left, right, block_rows=100)
+
+
 # ------------------------------------------------------ positional / types
 @register("project_positional", "SELECT o_orderstatus, o_totalprice, o_orderdate FROM orders")
 def q_project_positional(spark, sf):

@@ -153,3 +153,28 @@ def test_a_constant_input_gets_no_weight(spark, tmp_dir):
     R.add_load(df, f"{tmp_dir}/s", "0", categoricals=[], feature_cols=["AGE_YRS", "K"])
     got = R.refit(spark, f"{tmp_dir}/s", [], ["AGE_YRS", "K"])
     assert np.allclose(got.coefficients, [3.0, 0.0]) and got.intercept == pytest.approx(1.0) and got.r2["train"] == pytest.approx(1.0)
+
+
+# joins on heavy keys --------------------------------------------------------------------
+
+def test_a_key_with_a_third_of_both_sides_is_spread(spark):
+    from claimlake.operators.joins import heavy_keys, natural_join, natural_join_split
+    left = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) AS k", "if(id % 3 = 0, null, id % 5) AS j", "id AS a")
+    right = spark.range(2400).selectExpr("if(id % 3 = 0, -1, id) AS k", "if(id % 3 = 0, null, id % 5) AS j", "id AS b")
+    assert list(heavy_keys(left, ["k", "j"], 500).values()) == [1000]
+    plain, split = natural_join(left, right), natural_join_split(left, right, block_rows=100)
+    assert split.columns == plain.columns and split.count() == plain.count() > 800_000
+    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        def largest(df):
+            return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        assert largest(plain) >= 800_000 and largest(split) < 200_000
+    finally:
+        for k, v in (("adaptive.enabled", "true"), ("autoBroadcastJoinThreshold", str(10 << 20)), ("shuffle.partitions", "8")):
+            spark.conf.set(f"spark.sql.{k}", v)
+    assert natural_join_split(left, right, block_rows=10_000).count() == plain.count()
+    with pytest.raises(ValueError):
+        natural_join_split(left, right.withColumnRenamed("k", "x").drop("j"))
