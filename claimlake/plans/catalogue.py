@@ -154,23 +154,47 @@ def q_sum_cost_by_age(spark, sf):
     """SELECT CAST(ceil(AGE_YRS) AS INTEGER) AS rounded_age, median(prediction) AS median_prediction
 FROM acp GROUP BY 1""", "acp"))
 def q_median_cost_by_age(spark, sf):
-    return dash.median_cost_by_age(acp(spark, sf), method="radix")
+    return dash.median_cost_by_age(acp(spark, sf))
 
 
 @register("median_cost_by_race", V(
     "SELECT RACE, median(prediction) AS median_prediction FROM acp GROUP BY RACE", "acp"))
 def q_median_cost_by_race(spark, sf):
-    return dash.median_cost_by(acp(spark, sf), "RACE", method="radix")
+    return dash.median_cost_by(acp(spark, sf), "RACE")
 
 
 @register("median_cost_by_state", V(
     "SELECT STATE, median(prediction) AS median_prediction FROM acp GROUP BY STATE", "acp"))
 def q_median_cost_by_state(spark, sf):
-    return dash.median_cost_by(acp(spark, sf), "STATE", method="radix")
+    return dash.median_cost_by(acp(spark, sf), "STATE")
 
 
 @register("median_cost_by_condition", _panes_sql("median(prediction)", "median_prediction"))
 def q_median_cost_by_condition(spark, sf):
+    return dash.median_cost_by_condition(acp(spark, sf))
+
+
+@register("median_cost_by_age_radix", ORACLES["median_cost_by_age"])
+def q_median_cost_by_age_radix(spark, sf):
+    """AG6 by radix selection: bins are shuffled, no rows."""
+    return dash.median_cost_by_age(acp(spark, sf), method="radix")
+
+
+@register("median_cost_by_race_radix", ORACLES["median_cost_by_race"])
+def q_median_cost_by_race_radix(spark, sf):
+    """AG7 by radix selection."""
+    return dash.median_cost_by(acp(spark, sf), "RACE", method="radix")
+
+
+@register("median_cost_by_state_radix", ORACLES["median_cost_by_state"])
+def q_median_cost_by_state_radix(spark, sf):
+    """AG8 by radix selection."""
+    return dash.median_cost_by(acp(spark, sf), "STATE", method="radix")
+
+
+@register("median_cost_by_condition_radix", ORACLES["median_cost_by_condition"])
+def q_median_cost_by_condition_radix(spark, sf):
+    """AG9 by radix selection."""
     return dash.median_cost_by_condition(acp(spark, sf), method="radix")
 
 
@@ -230,7 +254,7 @@ def q_trend_cost_by_age(spark, sf):
 def q_trend_median_cost_by_age(spark, sf):
     """AG12 on the second dashboard: trend over the median-by-rounded-up-age marks."""
     from claimlake.operators.aggregate import trend_line
-    marks = dash.median_cost_by_age(acp(spark, sf), method="radix").select(
+    marks = dash.median_cost_by_age(acp(spark, sf)).select(
         F.col("rounded_age"), F.round("median_prediction", 6).alias("y"))
     t = trend_line(marks, "rounded_age", "y")
     return t.select(*[F.round(c, 6).alias(c) for c in ("slope", "intercept", "r2")], "n_marks")
