@@ -344,9 +344,11 @@ def q_run_log(spark, sf):
 @register("run_log_rows", V("SELECT 'drug_events' AS job, 2 AS files, count(*) AS rows, true AS dated FROM pde", "pde"))
 def q_run_log_rows(spark, sf):
     """SK7, FN17: the stable columns of a run-log row; the id holds the date and the job."""
-    from claimlake.plans.warehouse import logged_write
-    root = scratch_path(spark, "run_log")
-    log = logged_write(si.pde(spark, sf).repartition(2), f"{root}/data", "drug_events", f"{root}/log", files=2)
+    from claimlake.plans.warehouse import logged_write, union_branches
+    root, p = scratch_path(spark, "run_log"), si.pde(spark, sf)
+    odd = F.coalesce(F.col("DAYS_SUPLY_NUM") % 2 == 1, F.lit(False))
+    drops = [p.where(odd), p.where(~odd)]  # two files processed by one run; each task writes what it reads
+    log = logged_write(union_branches(*drops), f"{root}/data", "drug_events", f"{root}/log", files=len(drops))
     return log.select("job", "files", "rows", F.col("run_id").rlike("^[0-9]{2}/[0-9]{2}/[0-9]{2}/drug_events/").alias("dated"))
 
 

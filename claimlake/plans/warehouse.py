@@ -125,7 +125,8 @@ def snapshot(df: DataFrame, path: str) -> DataFrame:
 
 def logged_write(df: DataFrame, path: str, job: str, log_path: str, files: int | None = None,
                  max_rows_per_file: int | None = None) -> DataFrame:
-    """SK7: write ``df`` and append one run-log row (rows counted during the write)."""
+    """SK7: write ``df`` and append one run-log row (rows counted during the write;
+    ``files``: the source files that the run processed, not those that it writes)."""
     spark = df.sparkSession
     obs = Observation(f"log_{job}")
     started = time.time()
