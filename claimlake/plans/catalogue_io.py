@@ -488,12 +488,12 @@ def q_ingest_rerun(spark, sf):
 def q_ingest_same_name(spark, sf):
     """JB4: files of the same names in three folders, two ingested by one call and one by another, then all again: every row once."""
     from claimlake.plans.ingest import ingest, read_ingested
-    from claimlake.plans.zip_fixture import write_zip_csv
+    from claimlake.plans.zip_fixture import ARCHIVE_ROWS, write_zip_csv
     root = scratch_path(spark, "same_name")
     raw, year = _raw_drug_events(spark, sf), F.coalesce(F.year("SRVC_DT"), F.lit(0))
     stem = ARCHIVE_STEMS["prescription_drug_events"]
     for folder, part in (("a/1", year < 1994), ("a/2", (year >= 1994) & (year < 1996)), ("b", year >= 1996)):
-        write_zip_csv(raw.where(part), f"{root}/landing/{folder}", stem, files=2)
+        write_zip_csv(raw.where(part), f"{root}/landing/{folder}", stem, files=2, max_rows=ARCHIVE_ROWS)
     for source in (f"{root}/landing/a", f"{root}/landing/b", f"{root}/landing"):
         res = ingest(spark, source, "prescription_drug_events", f"{root}/lake")
     return read_ingested(spark, res.path, "prescription_drug_events")

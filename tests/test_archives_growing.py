@@ -40,3 +40,31 @@ def test_run_log_rows_are_written_without_a_shuffle(spark, drug_events, monkeypa
     (row,) = C.q_run_log_rows(spark, drug_events).collect()
     assert (row.job, row.files, row.rows, row.dated) == ("drug_events", 2, 700, True)
     assert "Exchange" not in plans[0]
+
+
+def test_archives_are_made_of_bounded_parts(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(zip_fixture, "PART_ROWS", 50)
+    df = spark.range(1000).select(F.col("id"), F.concat(F.lit("é "), "id").alias("v")).repartition(3)
+    assert zip_fixture.write_zip_csv(df, tmp_dir, "s", files=3) == 3
+    parts = [len(gzip.open(p).readlines()) - 1 for p in glob.glob(f"{tmp_dir}/_csv/part-*")]
+    assert sum(parts) == 1000 and max(parts) <= 50
+    texts = [_lines(f"{tmp_dir}/s_{k}.zip") for k in (1, 2, 3)]
+    assert all(t[0] == "id,v" and "id,v" not in t[1:] for t in texts)
+    assert max(map(len, texts)) - min(map(len, texts)) <= 60
+    assert sorted(x for t in texts for x in t[1:]) == sorted(f"{i},é {i}" for i in range(1000))
+
+
+def test_more_archives_for_more_rows(spark, tmp_dir):
+    df = spark.range(1000).select(F.col("id").cast("string"))
+    assert zip_fixture.write_zip_csv(df, tmp_dir, "s", files=2, max_rows=100) == 10
+    assert max(len(_lines(p)) for p in glob.glob(f"{tmp_dir}/s_*.zip")) <= 150
+
+
+@pytest.mark.parametrize("query", [C.q_ingest_same_name])
+def test_landing_queries_cut_archives_by_rows(spark, drug_events, monkeypatch, query):
+    made, real = [], zip_fixture.write_zip_csv
+    monkeypatch.setattr(zip_fixture, "ARCHIVE_ROWS", 60)
+    monkeypatch.setattr(zip_fixture, "write_zip_csv", lambda *a, **k: made.append(real(*a, **k)) or made[-1])
+    rows = query(spark, drug_events)
+    assert rows.count() == 700 and rows.where("PDE_ID < 0").isEmpty()
+    assert max(made) > 3
