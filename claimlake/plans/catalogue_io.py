@@ -576,16 +576,16 @@ def q_ingest_incremental_claims(spark, sf):
 @register("ingest_incremental_claims_source", ORACLES["ingest_incremental_claims"])
 def q_ingest_incremental_claims_source(spark, sf):
     """ST1 on raw archives through the data source ``claim_records``, in two drops."""
-    from claimlake.plans.zip_fixture import write_zip_csv
+    from claimlake.plans.zip_fixture import ARCHIVE_ROWS, write_zip_csv
     from claimlake.streaming.incremental import run_record_ingest
     raw = _raw_drug_events(spark, sf)
     root = scratch_path(spark, "incremental_source")
     early = F.col("SRVC_DT") < F.lit(dt.date(1995, 1, 1))
     stem = ARCHIVE_STEMS["prescription_drug_events"]
     args = (f"{root}/landing", "prescription_drug_events", f"{root}/target", f"{root}/checkpoint")
-    write_zip_csv(raw.where(early), f"{root}/landing", f"{stem}_A", files=3)
+    write_zip_csv(raw.where(early), f"{root}/landing", f"{stem}_A", files=3, max_rows=ARCHIVE_ROWS)
     run_record_ingest(spark, *args)
-    write_zip_csv(raw.where(~early | F.col("SRVC_DT").isNull()), f"{root}/landing", f"{stem}_B", files=3)
+    write_zip_csv(raw.where(~early | F.col("SRVC_DT").isNull()), f"{root}/landing", f"{stem}_B", files=3, max_rows=ARCHIVE_ROWS)
     run_record_ingest(spark, *args)
     return spark.read.schema(S.table_struct("prescription_drug_events")).parquet(f"{root}/target")
 

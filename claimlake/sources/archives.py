@@ -332,7 +332,14 @@ def archive_records(listing: DataFrame, columns: list[str], encoding: str = RAW_
     else:
         found = found.select("path", "start", F.lit(False).alias("inside"), F.lit(None).cast("boolean").alias("balanced"))
     blocks = found.mapInPandas(read, BLOCKS)
-    return lines_of(blocks.repartition(spark.sparkContext.defaultParallelism) if listing.isStreaming else blocks.hint("rebalance"))
+    return lines_of(spread(blocks) if listing.isStreaming else blocks.hint("rebalance"))
+
+
+def spread(blocks: DataFrame) -> DataFrame:
+    """Blocks of a stream over as many tasks as its shuffles have, so that a batch of
+    many files can be cut as finely as the session asks for."""
+    spark = blocks.sparkSession
+    return blocks.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 #: What a reader sends on: a block of lines, to be split by the JVM, or records.

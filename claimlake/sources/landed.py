@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from claimlake.sources.archives import (BLOCK_BYTES, BLOCKS, RANGE_BYTES, ZIP_GLOB, RecordReader, arrow_fs, is_archive, lines_of,
-                                        parse_records, storage_options)
+                                        parse_records, spread, storage_options)
 from claimlake.sources.files import RAW_ENCODING
 
 #: Files of a partition of the listing stream.
@@ -235,5 +235,4 @@ def read_records(spark: SparkSession, path: str, columns: list[str], stream: boo
     register(spark)
     reader = spark.readStream if stream else spark.read
     blocks = reader.format("claim_records").options(columns=",".join(columns), **source_options(spark), **options).load(path)
-    blocks = blocks.repartition(spark.sparkContext.defaultParallelism) if stream else blocks.hint("rebalance")
-    return parse_records(lines_of(blocks), columns)
+    return parse_records(lines_of(spread(blocks) if stream else blocks.hint("rebalance")), columns)

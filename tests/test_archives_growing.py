@@ -60,7 +60,16 @@ def test_more_archives_for_more_rows(spark, tmp_dir):
     assert max(len(_lines(p)) for p in glob.glob(f"{tmp_dir}/s_*.zip")) <= 150
 
 
-@pytest.mark.parametrize("query", [C.q_ingest_same_name])
+def test_a_stream_is_spread_by_the_partitions_of_its_shuffles(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        assert A.spread(spark.range(100).toDF("x")).rdd.getNumPartitions() == max(37, spark.sparkContext.defaultParallelism)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("query", [C.q_ingest_same_name, C.q_ingest_incremental_claims_source])
 def test_landing_queries_cut_archives_by_rows(spark, drug_events, monkeypatch, query):
     made, real = [], zip_fixture.write_zip_csv
     monkeypatch.setattr(zip_fixture, "ARCHIVE_ROWS", 60)
