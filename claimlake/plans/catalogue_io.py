@@ -594,17 +594,17 @@ def q_ingest_incremental_claims_source(spark, sf):
 def q_ingest_reissued(spark, sf):
     """ST1: archives are dropped, issued again under the same names with other rows, and joined by further ones."""
     from claimlake.plans.ingest import TABLE_PREFIXES, read_ingested
-    from claimlake.plans.zip_fixture import write_zip_csv
+    from claimlake.plans.zip_fixture import ARCHIVE_ROWS, write_zip_csv
     from claimlake.streaming.reissued import run_reissued_ingest
     raw = _raw_drug_events(spark, sf)
     root, table = scratch_path(spark, "reissued"), "prescription_drug_events"
     early = F.col("SRVC_DT") < F.lit(dt.date(1995, 1, 1))
     stem = ARCHIVE_STEMS[table]
     args = (f"{root}/landing", table, f"{root}/lake", f"{root}/checkpoint")
-    write_zip_csv(raw.where(early).withColumn("PDE_ID", -F.col("PDE_ID")), f"{root}/landing", f"{stem}_A", files=3)
+    write_zip_csv(raw.where(early).withColumn("PDE_ID", -F.col("PDE_ID")), f"{root}/landing", f"{stem}_A", files=3, max_rows=ARCHIVE_ROWS)
     run_reissued_ingest(spark, *args)
-    write_zip_csv(raw.where(early), f"{root}/landing", f"{stem}_A", files=3)
-    write_zip_csv(raw.where(~early | F.col("SRVC_DT").isNull()), f"{root}/landing", f"{stem}_B", files=3)
+    write_zip_csv(raw.where(early), f"{root}/landing", f"{stem}_A", files=3, max_rows=ARCHIVE_ROWS)
+    write_zip_csv(raw.where(~early | F.col("SRVC_DT").isNull()), f"{root}/landing", f"{stem}_B", files=3, max_rows=ARCHIVE_ROWS)
     run_reissued_ingest(spark, *args)
     run_reissued_ingest(spark, *args)  # nothing new
     return read_ingested(spark, f"{root}/lake/{TABLE_PREFIXES[table]}", table)

@@ -69,7 +69,7 @@ def test_a_stream_is_spread_by_the_partitions_of_its_shuffles(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("query", [C.q_ingest_same_name, C.q_ingest_incremental_claims_source])
+@pytest.mark.parametrize("query", [C.q_ingest_same_name, C.q_ingest_incremental_claims_source, C.q_ingest_reissued])
 def test_landing_queries_cut_archives_by_rows(spark, drug_events, monkeypatch, query):
     made, real = [], zip_fixture.write_zip_csv
     monkeypatch.setattr(zip_fixture, "ARCHIVE_ROWS", 60)
