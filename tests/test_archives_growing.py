@@ -54,6 +54,13 @@ def test_archives_are_made_of_bounded_parts(spark, tmp_dir, monkeypatch):
     assert sorted(x for t in texts for x in t[1:]) == sorted(f"{i},é {i}" for i in range(1000))
 
 
+@pytest.mark.parametrize("rows, files, made", [(0, 3, 1), (2, 3, 2), (3, 3, 3), (17, 8, 8)])
+def test_archives_of_few_rows(spark, tmp_dir, rows, files, made):
+    df = spark.range(0, rows, 1, 2).select(F.col("id").cast("string"))
+    assert zip_fixture.write_zip_csv(df, tmp_dir, "s", files=files) == made
+    assert sorted(x for p in glob.glob(f"{tmp_dir}/s_*.zip") for x in _lines(p)[1:]) == sorted(map(str, range(rows)))
+
+
 def test_more_archives_for_more_rows(spark, tmp_dir):
     df = spark.range(1000).select(F.col("id").cast("string"))
     assert zip_fixture.write_zip_csv(df, tmp_dir, "s", files=2, max_rows=100) == 10
