@@ -104,7 +104,7 @@ def ingest(spark: SparkSession, source: str | list[str] | DataFrame, table: str,
     ``multiline``: quoted values may hold line feeds.  A file that is there
     already (by its path) is replaced.
     """
-    raw = scan_zip_csv(spark, source, S.raw_struct(S.TABLES[table]), glob, multiline=multiline)
+    raw = scan_zip_csv(spark, source, S.raw_struct(S.TABLES[table]), glob, multiline=multiline, by_file=True)
     typed = type_raw(raw, table)
     obs = Observation(f"ingest_{table}")
     typed = typed.observe(obs, F.count(F.lit(1)).alias("rows"),
@@ -135,9 +135,11 @@ def archive_folder(path: Column) -> Column:
 
 def write_archives(df: DataFrame, path: str, max_rows_per_file: int = MAX_ROWS_PER_FILE) -> None:
     """SK1: one folder of Parquet files an archive, replacing those of the archives
-    in ``df``; a large archive is written by several tasks, small ones share one."""
+    in ``df``.  Rows are written by the tasks that hold them: the scan has dealt the
+    text by archive (``by_file``), a large one to several tasks, small ones to one, which is
+    shuffled once and is far narrower than the typed rows."""
     named = df.withColumn("_archive", archive_folder(F.col("_source_file")))
-    (named.hint("rebalance", F.col("_archive")).write.option("maxRecordsPerFile", max_rows_per_file)
+    (named.write.option("maxRecordsPerFile", max_rows_per_file)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("_archive").parquet(path))
 
 

@@ -36,6 +36,8 @@ from pyspark.sql import types as T
 from claimlake.sources.files import CORRUPT_COLUMN, RAW_ENCODING
 
 BLOCK_BYTES, RANGE_BYTES = 1 << 20, 128 << 20
+#: Blocks of a file that are dealt together where a write has a folder a file: some 30 MB of text.
+CHUNK_BLOCKS = 32
 #: A record may not be longer than this; two stray quotes far apart could make one of all between them.
 MAX_RECORD_BYTES = 64 << 20
 ZIP_GLOB, CSV_GLOB = "*.[zZ][iI][pP]", "*.[cC][sS][vV]"
@@ -310,9 +312,11 @@ def quote_states(ranges: DataFrame, reader: RecordReader) -> DataFrame:
 
 
 def archive_records(listing: DataFrame, columns: list[str], encoding: str = RAW_ENCODING, block_bytes: int = BLOCK_BYTES,
-                    range_bytes: int = RANGE_BYTES, multiline: bool = False) -> DataFrame:
+                    range_bytes: int = RANGE_BYTES, multiline: bool = False, by_file: bool = False) -> DataFrame:
     """(line, _source_file, _member) of the files named in ``listing`` (path,
-    length), ZIP archives or plain CSV, a batch or a streaming listing."""
+    length), ZIP archives or plain CSV, a batch or a streaming listing.
+    ``by_file``: neighbouring blocks of a file stay together, for a write with a
+    folder a file; else the blocks are spread evenly."""
     spark = listing.sparkSession
     if listing.isStreaming and multiline:
         range_bytes = 1 << 62  # no prefix over a stream: a file is one range, its quotes counted by the task that reads it
@@ -323,16 +327,20 @@ def archive_records(listing: DataFrame, columns: list[str], encoding: str = RAW_
 
         for batch in batches:
             for path, start, inside, balanced in zip(*[batch[c] for c in ("path", "start", "inside", "balanced")], strict=True):
-                for block, rows, member in reader.read(path, int(start), bool(inside), None if balanced is None else bool(balanced)):
-                    yield pd.DataFrame({"block": [block], "rows": [rows], "_source_file": [path], "_member": [member]})
+                found = reader.read(path, int(start), bool(inside), None if balanced is None else bool(balanced))
+                for i, (block, rows, member) in enumerate(found):
+                    yield pd.DataFrame({"block": [block], "rows": [rows], "_source_file": [path], "_member": [member],
+                                        "_chunk": [int(start) + i // CHUNK_BLOCKS]})
 
     found = _ranges(listing, range_bytes)
     if multiline and not listing.isStreaming:
         found = quote_states(found, reader)
     else:
         found = found.select("path", "start", F.lit(False).alias("inside"), F.lit(None).cast("boolean").alias("balanced"))
-    blocks = found.mapInPandas(read, BLOCKS)
-    return lines_of(spread(blocks) if listing.isStreaming else blocks.hint("rebalance"))
+    blocks = found.mapInPandas(read, f"{BLOCKS}, _chunk long")
+    if listing.isStreaming:
+        return lines_of(spread(blocks))
+    return lines_of(blocks.hint("rebalance", *([F.col("_source_file"), F.col("_chunk")] if by_file else [])))
 
 
 def spread(blocks: DataFrame) -> DataFrame:

@@ -67,15 +67,6 @@ def test_more_archives_for_more_rows(spark, tmp_dir):
     assert max(len(_lines(p)) for p in glob.glob(f"{tmp_dir}/s_*.zip")) <= 150
 
 
-def test_a_stream_is_spread_by_the_partitions_of_its_shuffles(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "37")
-    try:
-        assert A.spread(spark.range(100).toDF("x")).rdd.getNumPartitions() == max(37, spark.sparkContext.defaultParallelism)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 @pytest.mark.parametrize("query", [C.q_ingest_same_name, C.q_ingest_incremental_claims_source, C.q_ingest_reissued])
 def test_landing_queries_cut_archives_by_rows(spark, drug_events, monkeypatch, query):
     made, real = [], zip_fixture.write_zip_csv
@@ -84,3 +75,40 @@ def test_landing_queries_cut_archives_by_rows(spark, drug_events, monkeypatch, q
     rows = query(spark, drug_events)
     assert rows.count() == 700 and rows.where("PDE_ID < 0").isEmpty()
     assert max(made) > 3
+
+
+def test_typed_rows_are_not_shuffled(spark, tmp_dir):
+    df = spark.range(0, 400, 1, 4).select("id", F.lit("/a/x.zip").alias("_source_file"))
+    I.write_archives(df, f"{tmp_dir}/out")
+    (folder,) = glob.glob(f"{tmp_dir}/out/_archive=*")
+    assert len(glob.glob(f"{folder}/part-*.parquet")) == 4  # one a task: written where they are
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 400
+
+
+def test_ingest_shuffles_the_text_once_by_archive(spark, tmp_dir, monkeypatch):
+    landing, shuffles, frame = f"{tmp_dir}/landing", [], type(spark.range(0))
+    real = frame.hint
+    zip_fixture.write_zip_csv(C.raw_frame(spark.range(300).select(F.col("id").alias("PDE_ID")), I.S.DRUG_EVENTS), landing, "s", files=5)
+    monkeypatch.setattr(frame, "hint", lambda self, name, *a: (shuffles.append(self.columns), real(self, name, *a))[1])
+    res = I.ingest(spark, landing, "prescription_drug_events", f"{tmp_dir}/lake")
+    assert res.rows == 300 and len(shuffles) == 1 and "block" in shuffles[0]
+    folders = glob.glob(f"{res.path}/_archive=*")
+    assert [len(glob.glob(f"{f}/part-*.parquet")) for f in folders] == [1] * 5  # a small archive is one file
+
+
+def test_a_large_archive_is_dealt_in_chunks(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(A, "CHUNK_BLOCKS", 2)
+    df = spark.range(5000).select(F.col("id").cast("string").alias("id"))
+    zip_fixture.write_zip_csv(df, tmp_dir, "s", files=1)
+    lines = A.archive_records(A.list_archives(spark, tmp_dir), ["id"], block_bytes=1000, by_file=True)
+    assert "hashpartitioning(_source_file" in _plan(lines) and "_chunk" in _plan(lines)
+    assert sorted(int(r.line) for r in lines.select("line").collect()) == list(range(5000))
+
+
+def test_a_stream_is_spread_by_the_partitions_of_its_shuffles(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        assert A.spread(spark.range(100).toDF("x")).rdd.getNumPartitions() == max(37, spark.sparkContext.defaultParallelism)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
