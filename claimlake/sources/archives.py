@@ -36,8 +36,10 @@ from pyspark.sql import types as T
 from claimlake.sources.files import CORRUPT_COLUMN, RAW_ENCODING
 
 BLOCK_BYTES, RANGE_BYTES = 1 << 20, 128 << 20
-#: Blocks of a file that are dealt together where a write has a folder a file: some 30 MB of text.
-CHUNK_BLOCKS = 32
+#: Blocks of a file that are dealt together where a write has a folder a file: some 8 MB of text.
+CHUNK_BLOCKS = 8
+#: Text that a task of such a write gets on average, and how much text an archive's byte holds at most, about.
+TASK_BYTES, ARCHIVE_RATIO = 64 << 20, 8
 #: A record may not be longer than this; two stray quotes far apart could make one of all between them.
 MAX_RECORD_BYTES = 64 << 20
 ZIP_GLOB, CSV_GLOB = "*.[zZ][iI][pP]", "*.[cC][sS][vV]"
@@ -340,7 +342,17 @@ def archive_records(listing: DataFrame, columns: list[str], encoding: str = RAW_
     blocks = found.mapInPandas(read, f"{BLOCKS}, _chunk long")
     if listing.isStreaming:
         return lines_of(spread(blocks))
-    return lines_of(blocks.hint("rebalance", *([F.col("_source_file"), F.col("_chunk")] if by_file else [])))
+    if by_file:
+        return lines_of(blocks.repartition(_tasks(listing), "_source_file", "_chunk"))
+    return lines_of(blocks.hint("rebalance"))
+
+
+def _tasks(listing: DataFrame) -> int:
+    """Tasks for the text of the listed files: their number grows with it, so that
+    what a task holds of it, typed and sorted by file, does not."""
+    text = F.col("length") * F.when(F.lower("path").endswith(".zip"), ARCHIVE_RATIO).otherwise(1)
+    total = listing.agg(F.sum(text)).first()[0] or 0
+    return max(listing.sparkSession.sparkContext.defaultParallelism, -(-int(total) // TASK_BYTES))
 
 
 def spread(blocks: DataFrame) -> DataFrame:

@@ -87,9 +87,9 @@ def test_typed_rows_are_not_shuffled(spark, tmp_dir):
 
 def test_ingest_shuffles_the_text_once_by_archive(spark, tmp_dir, monkeypatch):
     landing, shuffles, frame = f"{tmp_dir}/landing", [], type(spark.range(0))
-    real = frame.hint
+    real = frame.repartition
     zip_fixture.write_zip_csv(C.raw_frame(spark.range(300).select(F.col("id").alias("PDE_ID")), I.S.DRUG_EVENTS), landing, "s", files=5)
-    monkeypatch.setattr(frame, "hint", lambda self, name, *a: (shuffles.append(self.columns), real(self, name, *a))[1])
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *a: (shuffles.append(self.columns), real(self, n, *a))[1])
     res = I.ingest(spark, landing, "prescription_drug_events", f"{tmp_dir}/lake")
     assert res.rows == 300 and len(shuffles) == 1 and "block" in shuffles[0]
     folders = glob.glob(f"{res.path}/_archive=*")
@@ -112,3 +112,9 @@ def test_a_stream_is_spread_by_the_partitions_of_its_shuffles(spark):
         assert A.spread(spark.range(100).toDF("x")).rdd.getNumPartitions() == max(37, spark.sparkContext.defaultParallelism)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_tasks_of_an_ingest_grow_with_the_text(spark):
+    least = spark.sparkContext.defaultParallelism
+    tasks = [A._tasks(spark.createDataFrame([("/a/x.zip", n << 20), ("/a/y.csv", 1 << 20)], "path string, length long")) for n in (1, 800, 8000)]
+    assert tasks == [least, 101, 1001]
