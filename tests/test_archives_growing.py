@@ -61,6 +61,25 @@ def test_archives_of_few_rows(spark, tmp_dir, rows, files, made):
     assert sorted(x for p in glob.glob(f"{tmp_dir}/s_*.zip") for x in _lines(p)[1:]) == sorted(map(str, range(rows)))
 
 
+def test_file_counts_rows_gives_no_task_an_archive(spark, drug_events, monkeypatch):
+    n, dealt, frame, paths = F.col("id"), [], type(spark.range(0)), {}
+    (spark.range(500).select(n.alias("c_custkey"), F.concat(F.lit("c"), "id").alias("c_name"), (n % 25).cast("int").alias("c_nationkey"),
+                             F.when(n % 9 != 0, n * 1.5).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment"))
+     .write.parquet(f"{drug_events}/customer.parquet"))
+    repartition, scan, counts = frame.repartition, I.scan_zip_csv, I.file_counts
+    monkeypatch.setattr(A, "CHUNK_BLOCKS", 1)
+    monkeypatch.setattr(A, "TASK_BYTES", 2000)
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: (dealt.append(a), repartition(self, *a))[1])
+    monkeypatch.setattr(I, "scan_zip_csv", lambda *a, **k: scan(*a, **k, block_bytes=1000))
+    monkeypatch.setattr(I, "file_counts", lambda s, p: (paths.update(p), counts(s, p))[1])
+    rows = C.q_ingest_file_counts_rows(spark, drug_events).collect()
+    assert sorted(map(tuple, rows)) == [("beneficiary_summary", 3, True, 500), ("prescription_drug_events", 3, True, 700)]
+    assert len(dealt) == 2 and all(a[1:] == ("_source_file", "_chunk") for a in dealt)  # the archives are made without a shuffle
+    for path, total in zip(paths.values(), (500, 700), strict=True):
+        task = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1)
+        assert max(r["count"] for r in spark.read.parquet(path).groupBy(task).count().collect()) < total / 3
+
+
 def test_more_archives_for_more_rows(spark, tmp_dir):
     df = spark.range(1000).select(F.col("id").cast("string"))
     assert zip_fixture.write_zip_csv(df, tmp_dir, "s", files=2, max_rows=100) == 10
