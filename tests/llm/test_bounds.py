@@ -4,12 +4,15 @@ import math
 import random
 import string
 import time
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from claimlake.llm import hilbert, mixture, rule_quality, secret_scan, substring_dedup, token_count
+from claimlake.llm import hilbert, mixture, neighbours, rule_quality, secret_scan, substring_dedup, token_count
 from tests.conftest import SF_SMALL
 
 
@@ -211,3 +214,92 @@ def test_many_rows_without_an_id_are_in_many_batches(spark):
     got = substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), batch_bytes=2_000).collect()
     # rows without an id are one document after all others: what id 2 holds goes from them, their own repeats stay
     assert len(got) == len(rows) and sorted(r.n_removed for r in got)[-2:] == [0, 300]
+
+
+# neighbours ---------------------------------------------------------------------
+
+def vector_column(x):
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+
+
+def stored_rows(lists, place, ids, x):
+    order = np.argsort(lists, kind="stable")
+    n, place = len(lists), place[order]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n), pa.int32()), pa.array(lists[order], pa.int32()), pa.array([ids[p][0] for p in place]), vector_column(x[place]),
+         pa.array([ids[p] for p in place], pa.list_(pa.int64())), pa.nulls(n, pa.binary())], names=["g", "list", "rep", "v", "ids", "bits"])
+
+
+def asking_rows(rep, x, asks):
+    n = len(x)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n), pa.int32()), pa.array(np.full(n, neighbours.QUERY), pa.int32()), pa.array(rep), vector_column(x), pa.nulls(n, pa.list_(pa.int64())),
+         pa.array([b.tobytes() for b in np.packbits(asks, axis=1)], pa.binary())], names=["g", "list", "rep", "v", "ids", "bits"])
+
+
+def test_neighbours_memory_does_not_grow_with_the_lists_that_queries_want():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(256 * 32, 8)).astype(np.float32)
+    stored = stored_rows(np.repeat(np.arange(256), 32), np.arange(len(x)), [[i] for i in range(len(x))], x)
+    scan = neighbours._scan(20, [0, 256], [0])
+
+    def peak(n):
+        asked = [asking_rows(np.arange(2000), x[:2000], np.ones((2000, 256), bool)) for _ in range(n // 2000)]
+        tracemalloc.start()
+        found = sum(b.num_rows for b in scan(iter([stored, *asked])))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found == n
+        return most
+
+    few = peak(2000)
+    assert few < 100e6 and peak(8000) < 1.2 * few  # 900 bytes for each list of each query would be 460 MB and 1.8 GB
+
+
+@pytest.mark.parametrize("kind, whole, scale", [(np.float32, False, 1), (np.float32, True, 1), (np.float64, True, 1), (np.float32, False, 1e18), (np.float64, False, 1e-9)])
+def test_neighbours_of_a_block_are_exact(kind, whole, scale):
+    rng = np.random.default_rng(3)
+    d, k = (3, 5) if whole else (12, 20)  # whole numbers tie
+    x = np.unique((rng.integers(-2, 3, size=(1500, d)) if whole else rng.normal(size=(1500, d)) * scale).astype(kind), axis=0)
+    x = x[rng.permutation(len(x))]
+    ids = [[3 * i + 100_000 * c for c in range(1 + i % 4)] for i in range(len(x))]
+    of = [rng.choice(30, rng.integers(1, 4), replace=False) for _ in x]
+    lists, place = np.concatenate(of), np.repeat(np.arange(len(x)), [len(o) for o in of])
+    n = min(100, len(x))
+    asks = rng.random((n, 30)) < 0.4
+    asks[0] = False
+    stored = stored_rows(lists + 7, place, ids, x)
+    asked = asking_rows(np.array([i[0] for i in ids[:n]]), x[:n], asks)
+    found = [r for b in neighbours._scan(k, [0, 7, 37], [1])(iter([stored.slice(0, 99), stored.slice(99), asked.slice(0, 40), asked.slice(40)])) for r in b.to_pylist()]
+    assert [r["rep"] for r in found] == [i[0] for i in ids[:n]]
+    for row, r in enumerate(found):
+        held = sorted(set(place[asks[row][lists]].tolist()))
+        score = (x[held].astype(np.float64) * x[row].astype(np.float64)).sum(1).tolist()
+        want = sorted((-v, i) for v, p in zip(score, held, strict=True) for i in ids[p])[:k + 1]
+        assert [(-v, i) for v, i in zip(r["scores"], r["ids"], strict=True)] == want
+
+
+def test_neighbours_in_many_groups(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(700, 6)), 1)
+    x[300:340] = 5 * x[300]  # more copies than a class lists
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(7, [float(v) for v in x[7]])] * 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = neighbours.nearest(df, k=5, every=4, list_rows=20, goal=1.0, spread=0.3).collect()
+    assert {r.query_id for r in whole} == set(range(0, 700, 4))
+    near = {q: [r.vec_id for r in sorted(whole, key=lambda r: r["rank"]) if r.query_id == q] for q in (300, 336)}
+    assert near == {300: [301, 302, 303, 304, 305], 336: [300, 301, 302, 303, 304]}
+    # several blocks a bin, several shares of its queries, several groups a partition
+    for name, value in (("BLOCKS", 10_000), ("LEAST_BLOCK", 10), ("ASKS", 7), ("GROUPS", 5)):
+        monkeypatch.setattr(neighbours, name, value)
+    assert sorted(neighbours.nearest(df, k=5, every=4, list_rows=20, goal=1.0, spread=0.3).collect()) == sorted(whole)
+
+
+def test_centroid_graph_of_many_dimensions():
+    rng = np.random.default_rng(0)
+    graph = neighbours.CentroidGraph(rng.normal(size=(2000, 40)))
+    x = rng.normal(size=(100, 40))
+    nodes, dist = graph.search(x, 24)
+    brute = ((x[:, None] - graph.c[None]) ** 2).sum(-1)
+    assert (nodes[:, 0] == brute.argmin(1)).mean() > 0.95 and (np.diff(dist, axis=1) >= 0).all()
+    assert np.allclose(dist, np.sqrt(np.take_along_axis(brute, nodes, 1)), atol=1e-5) and all(len(set(row)) == 24 for row in nodes.tolist())
